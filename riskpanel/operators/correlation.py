@@ -4,30 +4,58 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel.functions.columns import clean_number, numeric_columns
-from riskpanel.functions.numbers import round_half_even
+from riskpanel.functions.numbers import ratio, round_half_even
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
                        digits: int | None = None) -> DataFrame:
-    """Rows (col_x, col_y, corr) for the full square, in one pass over the table.
+    """Rows (col_x, col_y, corr) for the full square.
 
-    Each pair uses the rows where both are present; a constant column has no
-    correlation, not even with itself.
+    Each pair uses the rows where both are present; a column that is constant
+    there has no correlation, not even with itself. A first pass takes counts,
+    means and bounds. In the second, pairs of complete columns need one plain
+    sum of centred products each; only pairs with gaps need joint moments.
     """
     columns = numeric_columns(df) if columns is None else columns
     numbers = df.select(*[clean_number(df, c).alias(f"x{i}") for i, c in enumerate(columns)])
-    pairs = [(i, i) for i in range(len(columns))]
-    pairs += list(combinations(range(len(columns)), 2))
-    totals = numbers.agg(*[F.corr(f"x{i}", f"x{j}").alias(f"r{i}_{j}") for i, j in pairs])
+    size = range(len(columns))
+    first = numbers.agg(F.count(F.lit(1)).alias("rows"), *[
+        a for i in size for a in (
+            F.count(f"x{i}").alias(f"n{i}"), F.avg(f"x{i}").alias(f"mean{i}"),
+            F.min(f"x{i}").alias(f"min{i}"), F.max(f"x{i}").alias(f"max{i}"))]).first()
+    complete = [first[f"n{i}"] == first["rows"] for i in size]
+    # a constant centred on itself is exactly zero; its rounded mean may not be
+    centre = [first[f"min{i}"] if first[f"min{i}"] == first[f"max{i}"] else first[f"mean{i}"]
+              for i in size]
+    pairs = [(i, i) for i in size] + list(combinations(size, 2))
+    sums: list[Column] = []
+    for i, j in pairs:
+        if complete[i] and complete[j]:
+            product = (F.col(f"x{i}") - F.lit(centre[i])) * (F.col(f"x{j}") - F.lit(centre[j]))
+            sums.append(F.sum(product).alias(f"s{i}_{j}"))
+        else:
+            sums += _joint_moments(i, j)
+    totals = numbers.agg(*sums)
     cells = []
     for i, j in pairs:
-        value = F.when(~F.isnan(f"r{i}_{j}"), F.col(f"r{i}_{j}"))
+        if complete[i] and complete[j]:
+            spread = F.sqrt(F.col(f"s{i}_{i}")) * F.sqrt(F.col(f"s{j}_{j}"))
+            value = ratio(F.col(f"s{i}_{j}"), spread)
+        else:
+            value = ratio(F.col(f"c{i}_{j}"), F.col(f"a{i}_{j}") * F.col(f"b{i}_{j}"))
         value = value if digits is None else round_half_even(value, digits)
         for x, y in {(i, j), (j, i)}:
             cells.append(F.struct(F.lit(columns[x]).alias("col_x"),
                                   F.lit(columns[y]).alias("col_y"), value.alias("corr")))
     return totals.select(F.inline(F.array(*cells)))
+
+
+def _joint_moments(i: int, j: int) -> list[Column]:
+    x, y = F.col(f"x{i}"), F.col(f"x{j}")
+    return [F.covar_pop(x, y).alias(f"c{i}_{j}"),
+            F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"a{i}_{j}"),
+            F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"b{i}_{j}")]
