@@ -47,6 +47,8 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
             value = ratio(F.col(f"s{i}_{j}"), spread)
         else:
             value = ratio(F.col(f"c{i}_{j}"), F.col(f"a{i}_{j}") * F.col(f"b{i}_{j}"))
+        # rounding may overshoot by the last bit; least() alone would skip NULL
+        value = F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(1.0)), F.lit(-1.0)))
         value = value if digits is None else round_half_even(value, digits)
         for x, y in {(i, j), (j, i)}:
             cells.append(F.struct(F.lit(columns[x]).alias("col_x"),

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskpanel.functions.columns import clean_number, numeric_columns, ref, temporal_columns
 from riskpanel.functions.dates import day_span, from_wall_micros, wall_micros
-from riskpanel.operators.ranks import GATHER_ROWS, sketch_columns, values_at_ranks
+from riskpanel.operators.ranks import GATHER_ROWS, count_columns, values_at_ranks
 
 # The reported statistics in their order.
 STATISTICS = ("count", "mean", "min", "25%", "50%", "75%", "max", "std")
@@ -24,15 +24,15 @@ def date_range(df: DataFrame, date_col: str = "Date") -> DataFrame:
 
 def exact_quantiles(df: DataFrame, columns: list[str], shares,
                     gather_rows: int = GATHER_ROWS, extra=None):
-    """Linearly interpolated quantiles: {column: [value per share]}, plus sketches and
-    the results of any extra aggregates taken in the sketch pass."""
-    sketches, extras = sketch_columns(df, columns, extra)
-    ranks = {c: [r for share in shares for r in _neighbours(sketches[c].present, share)]
+    """Linearly interpolated quantiles: {column: [value per share]}, plus the counts and
+    the results of any extra aggregates taken in the counting pass."""
+    counts, extras = count_columns(df, columns, extra)
+    ranks = {c: [r for share in shares for r in _neighbours(counts[c].present, share)]
              for c in columns}
-    values = values_at_ranks(df, sketches, ranks, gather_rows)
-    quantiles = {c: [_interpolate(values[c], sketches[c].present, share) for share in shares]
+    values = values_at_ranks(df, counts, ranks, gather_rows)
+    quantiles = {c: [_interpolate(values[c], counts[c].present, share) for share in shares]
                  for c in columns}
-    return quantiles, sketches, extras
+    return quantiles, counts, extras
 
 
 def _neighbours(present: int, share: float) -> tuple[int, ...]:
@@ -63,11 +63,10 @@ def describe_numbers(df: DataFrame, columns: list[str] | None = None,
     moments = []
     for i, c in enumerate(columns):
         number = clean_number(df, c)
-        moments += [F.avg(number).alias(f"mean{i}"), F.min(number).alias(f"min{i}"),
-                    F.max(number).alias(f"max{i}"), F.stddev_samp(number).alias(f"std{i}")]
-    quantiles, sketches, extra = exact_quantiles(df, columns, QUARTILES, gather_rows, moments)
-    rows = [(c, sketches[c].present, extra[f"mean{i}"], extra[f"min{i}"], *quantiles[c],
-             extra[f"max{i}"], extra[f"std{i}"]) for i, c in enumerate(columns)]
+        moments += [F.avg(number).alias(f"mean{i}"), F.stddev_samp(number).alias(f"std{i}")]
+    quantiles, counts, extra = exact_quantiles(df, columns, QUARTILES, gather_rows, moments)
+    rows = [(c, counts[c].present, extra[f"mean{i}"], counts[c].low, *quantiles[c],
+             counts[c].high, extra[f"std{i}"]) for i, c in enumerate(columns)]
     return df.sparkSession.createDataFrame(rows, _statistics_schema("double"))
 
 
@@ -85,11 +84,11 @@ def describe_dates(df: DataFrame, columns: list[str] | None = None,
         total = F.sum(F.col(m).cast("decimal(20,0)"))
         means += [F.floor(total / F.count(m)).cast("long").alias(f"mean_{m}"),
                   F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}")]
-    quantiles, sketches, extra = exact_quantiles(micros, names, QUARTILES, gather_rows, means)
+    quantiles, counts, extra = exact_quantiles(micros, names, QUARTILES, gather_rows, means)
     rows = []
     for c, m in zip(columns, names):
         middle = [None if q is None else math.floor(q) for q in quantiles[m]]
-        rows.append((c, sketches[m].present, extra[f"mean_{m}"], extra[f"min_{m}"], *middle,
+        rows.append((c, counts[m].present, extra[f"mean_{m}"], extra[f"min_{m}"], *middle,
                      extra[f"max_{m}"]))
     fields = ["column", "count", *STATISTICS[1:-1]]
     schema = ", ".join(["column string", "`count` bigint"]

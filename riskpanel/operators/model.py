@@ -5,30 +5,45 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskpanel.functions.columns import clean_number, quoted, ref, require
+from riskpanel.functions.columns import quoted, ref, require
+from riskpanel.operators.describe import exact_quantiles
 from riskpanel.operators.metrics import class_ratio
+from riskpanel.operators.rows import feature_columns
 from riskpanel.session import ensure_checkpoint_dir, shared_folder
 
 FLAG = "__missing"
 INPUT = "__input"
 DEPTH_CAP = 30
+NAMES_SCHEMA = "features array<string>, slots array<string>"
 
 
 @dataclass(frozen=True)
-class FittedModel:
-    """A fitted Spark ML pipeline and the feature columns it reads, in order."""
+class Inputs:
+    """Stages that turn feature columns into one gap-free vector, and its slot names."""
 
-    stages: PipelineModel
+    fill: SQLTransformer
+    assemble: VectorAssembler
     features: tuple[str, ...]
-    inputs: tuple[str, ...]
+    slots: tuple[str, ...]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.assemble.transform(self.fill.transform(df))
+
+
+@dataclass(frozen=True)
+class FittedModel:
+    """Fitted trees with the input stages they were trained on."""
+
+    inputs: Inputs
+    trees: GBTClassificationModel
 
 
 def spark_params(params: dict[str, float]) -> dict:
@@ -59,91 +74,90 @@ def spark_params(params: dict[str, float]) -> dict:
     return settings
 
 
-def fit_classifier(train: DataFrame, params: dict[str, float], label_col: str = "Y",
-                   features: list[str] | None = None, seed: int = 42) -> FittedModel:
-    """Fit on all columns but the label, or on the given ones.
+def fit_inputs(train: DataFrame, features: list[str]) -> Inputs:
+    """Missing numbers take the training median and are marked by a 0/1 slot of their
+    own; booleans become 0 or 1."""
+    require(train, features)
+    numeric = [c for c in features if isinstance(train.schema[c].dataType, T.NumericType)]
+    flags = [c for c in features if isinstance(train.schema[c].dataType, T.BooleanType)]
+    rest = set(features) - set(numeric) - set(flags)
+    if rest:
+        raise ValueError(f"not numeric or boolean: {sorted(rest)}")
+    medians, counts, _ = exact_quantiles(train, numeric, (0.5,)) if numeric else ({}, {}, {})
+    parts, slots = [], []
+    for c in features:
+        value = f"CAST({quoted(c)} AS DOUBLE)"
+        fill = 0.0
+        if c in medians:
+            value = f"NANVL({value}, NULL)"
+            fill = medians[c][0] or 0.0
+        parts.append(f"COALESCE({value}, CAST('{fill!r}' AS DOUBLE)) AS {quoted(c + INPUT)}")
+        slots.append(c + INPUT)
+        if c in medians and counts[c].present < counts[c].rows:
+            parts.append(f"CAST({value} IS NULL AS DOUBLE) AS {quoted(c + FLAG)}")
+            slots.append(c + FLAG)
+    fill_stage = SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
+    assemble = VectorAssembler(inputCols=slots, outputCol="__features", handleInvalid="error")
+    return Inputs(fill_stage, assemble, tuple(features), tuple(slots))
+
 
-    Missing numbers take the training median and are marked by a 0/1 column;
-    both are stored in the model. Positives weigh ``scale_pos_weight``, by
-    default negatives over positives.
+def training_rows(train: DataFrame, inputs: Inputs, label_col: str = "Y",
+                  positive_weight: float | None = None) -> DataFrame:
+    """Vector, label and weight: what the trees read, and all that is worth caching.
+
+    Positives weigh ``positive_weight``, by default negatives over positives.
     """
     require(train, [label_col])
-    features = [c for c in train.columns if c != label_col] if features is None else features
-    require(train, features)
-    spark = train.sparkSession
-    ensure_checkpoint_dir(spark)
-    stages, inputs = _input_stage(train, features)
-    weight = params.get("scale_pos_weight")
-    if weight is None:
-        weight = class_ratio(train, label_col).first()["ratio"]
+    if positive_weight is None:
+        positive_weight = class_ratio(train, label_col).first()["ratio"] or 1.0
     label = ref(label_col).cast("double")
-    rows = train.select(*[ref(c) for c in features], label.alias("__label"),
-                        F.when(label == 1.0, F.lit(float(weight or 1.0)))
-                        .otherwise(F.lit(1.0)).alias("__weight"))
+    weight = F.when(label == 1.0, F.lit(float(positive_weight))).otherwise(F.lit(1.0))
+    rows = train.select(*[ref(c) for c in inputs.features], label.alias("__label"),
+                        weight.alias("__weight"))
+    return inputs.transform(rows).select("__features", "__label", "__weight")
+
+
+def fit_trees(rows: DataFrame, params: dict[str, float], seed: int = 42) -> GBTClassificationModel:
+    """Boosted trees on prepared training rows."""
+    ensure_checkpoint_dir(rows.sparkSession)
     trees = GBTClassifier(featuresCol="__features", labelCol="__label", weightCol="__weight",
                           predictionCol="__prediction", lossType="logistic", seed=seed,
                           **spark_params(params))
-    trees = trees.setRawPredictionCol("__raw").setProbabilityCol("__probability")
-    assembler = VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="error")
-    fitted = Pipeline(stages=[stages, assembler, trees]).fit(rows)
-    return FittedModel(fitted, tuple(features), tuple(inputs))
+    return trees.setRawPredictionCol("__raw").setProbabilityCol("__probability").fit(rows)
 
 
-def _input_stage(train: DataFrame, features: list[str]) -> tuple[SQLTransformer, list[str]]:
-    """A stage that turns features into doubles without gaps, fitted in one pass."""
-    numeric = [c for c in features if isinstance(train.schema[c].dataType, T.NumericType)]
-    flags = [c for c in features if isinstance(train.schema[c].dataType, T.BooleanType)]
-    rest = set(features) - set(numeric) - set(flags)
-    if rest:
-        raise ValueError(f"not numeric or boolean: {sorted(rest)}")
-    row = None
-    if numeric:
-        row = train.agg(F.count(F.lit(1)).alias("rows"), *[
-            a for i, c in enumerate(numeric) for a in (
-                F.count(clean_number(train, c)).alias(f"n{i}"),
-                F.percentile_approx(clean_number(train, c), 0.5, 10_000).alias(f"m{i}"))]).first()
-    parts, inputs = [], []
-    for c in features:
-        if c in flags:
-            text = f"CAST({quoted(c)} AS DOUBLE)"
-            parts.append(f"COALESCE({text}, 0D) AS {quoted(c + INPUT)}")
-            inputs.append(c + INPUT)
-            continue
-        i = numeric.index(c)
-        value = f"NANVL(CAST({quoted(c)} AS DOUBLE), NULL)"
-        fill = row[f"m{i}"] if row[f"m{i}"] is not None else 0.0
-        parts.append(f"COALESCE({value}, CAST('{float(fill)!r}' AS DOUBLE)) AS {quoted(c + INPUT)}")
-        inputs.append(c + INPUT)
-        if row[f"n{i}"] < row["rows"]:
-            parts.append(f"CAST({value} IS NULL AS DOUBLE) AS {quoted(c + FLAG)}")
-            inputs.append(c + FLAG)
-    statement = f"SELECT *, {', '.join(parts)} FROM __THIS__"
-    return SQLTransformer(statement=statement), inputs
+def fit_classifier(train: DataFrame, params: dict[str, float], label_col: str = "Y",
+                   features: list[str] | None = None, seed: int = 42) -> FittedModel:
+    """Fit on all columns but the label, or on the given ones."""
+    features = feature_columns(train, label_col) if features is None else features
+    inputs = fit_inputs(train, features)
+    rows = training_rows(train, inputs, label_col, params.get("scale_pos_weight"))
+    return FittedModel(inputs, fit_trees(rows, params, seed))
 
 
 def score(model: FittedModel, df: DataFrame, probability_col: str = "score",
           prediction_col: str = "prediction") -> DataFrame:
     """The table with its positive-class probability and hard class."""
-    scored = model.stages.transform(df)
+    scored = model.trees.transform(model.inputs.transform(df))
     return scored.select(*[ref(c) for c in df.columns],
                          vector_to_array("__probability")[1].alias(probability_col),
                          F.col("__prediction").cast("int").alias(prediction_col))
 
 
 def save_model(model: FittedModel, path: str) -> None:
-    """Write the pipeline and its feature list under one folder."""
-    model.stages.write().overwrite().save(f"{path}/stages")
-    spark = SparkSession.active()
-    (spark.createDataFrame([(list(model.features), list(model.inputs))],
-                           "features array<string>, inputs array<string>")
-     .coalesce(1).write.mode("overwrite").json(f"{path}/features"))
+    """Write the stages and the feature list under one folder."""
+    stages = PipelineModel([model.inputs.fill, model.inputs.assemble, model.trees])
+    stages.write().overwrite().save(f"{path}/stages")
+    names = [(list(model.inputs.features), list(model.inputs.slots))]
+    (SparkSession.active().createDataFrame(names, NAMES_SCHEMA).coalesce(1)
+     .write.mode("overwrite").json(f"{path}/features"))
 
 
 def load_model(spark: SparkSession, path: str) -> FittedModel:
-    row = spark.read.schema("features array<string>, inputs array<string>").json(
-        f"{path}/features").first()
-    return FittedModel(PipelineModel.load(f"{path}/stages"), tuple(row["features"]),
-                       tuple(row["inputs"]))
+    names = spark.read.schema(NAMES_SCHEMA).json(f"{path}/features").first()
+    fill, assemble, trees = PipelineModel.load(f"{path}/stages").stages
+    return FittedModel(Inputs(fill, assemble, tuple(names["features"]), tuple(names["slots"])),
+                       trees)
 
 
 def feature_importance(model: FittedModel, kind: str = "split",
@@ -155,8 +169,9 @@ def feature_importance(model: FittedModel, kind: str = "split",
     a new shared folder). ``gain`` sums the model's own importances.
     """
     spark = SparkSession.active()
-    trees = model.stages.stages[-1]
-    parents = [c[: -len(FLAG)] if c.endswith(FLAG) else c[: -len(INPUT)] for c in model.inputs]
+    trees = model.trees
+    parents = [c[: -len(FLAG)] if c.endswith(FLAG) else c[: -len(INPUT)]
+               for c in model.inputs.slots]
     names = spark.createDataFrame(list(enumerate(parents)), "slot int, feature string")
     if kind == "gain":
         values = [(i, float(x)) for i, x in enumerate(trees.featureImportances.toArray())]

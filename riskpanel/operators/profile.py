@@ -108,11 +108,7 @@ def quantiles(df: DataFrame, columns: list[str] | None = None,
     """Exact 5/25/50/75/95 percent points, range, interquartile range and the median
     absolute deviation, one row per numeric column."""
     columns = numeric_columns(df) if columns is None else columns
-    bounds = []
-    for i, c in enumerate(columns):
-        bounds += [F.min(clean_number(df, c)).alias(f"min{i}"),
-                   F.max(clean_number(df, c)).alias(f"max{i}")]
-    points, _, extra = exact_quantiles(df, columns, PROFILE_SHARES, gather_rows, bounds)
+    points, counts, _ = exact_quantiles(df, columns, PROFILE_SHARES, gather_rows)
     away = df.select(*[
         (F.abs(clean_number(df, c) - F.lit(points[c][2])) if points[c][2] is not None
          else F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)])
@@ -120,7 +116,7 @@ def quantiles(df: DataFrame, columns: list[str] | None = None,
     deviations, _, _ = exact_quantiles(away, names, (0.5,), gather_rows)
     rows = []
     for i, c in enumerate(columns):
-        q, low, high = points[c], extra[f"min{i}"], extra[f"max{i}"]
+        q, low, high = points[c], counts[c].low, counts[c].high
         spread = (None, None) if low is None else (high - low, q[3] - q[1])
         rows.append((c, *q, *spread, deviations[names[i]][0]))
     return df.sparkSession.createDataFrame(

@@ -1,18 +1,21 @@
 """Exact order statistics of many columns without sorting or shuffling the rows.
 
-Every step is one aggregate over the table. The first step counts each column
-and sketches its distribution. While more than ``gather_rows`` values could be
-the wanted one, a step takes up to three pivots from the sketch around the
-wanted rank, counts the values below and at each pivot, and sketches the values
-between the outer pivots for the next step. So each step reads the columns once,
-moves only counters, and shrinks the candidates by about the sketch's
-resolution; 10^12 rows need about four steps. Pivots are values of the column
-and are themselves resolved by the count, so repeated values cannot stall it.
-The last step takes the exact rank among the few candidates left.
+Every step is one aggregate over the table. The first counts each column. While
+more than ``gather_rows`` values could be the wanted one, a step samples the
+candidates to propose pivots around the wanted rank, and the next counts, over
+all rows, the values below and at each pivot. The sample only proposes; the
+counts decide, and a poor proposal costs another step, never a wrong value. A
+step that counts also samples between its outer pivots for the step after it,
+so each step reads the columns once, moves counters and a small sample, and
+leaves less than a hundredth of the candidates: 10^12 rows need about five
+steps. A pivot is a value of the column and is settled by its own count, so
+repeated values cannot stall the search. The last step takes the exact rank
+among the few candidates left.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -21,17 +24,19 @@ from pyspark.sql import functions as F
 from riskpanel.functions.columns import clean_number
 
 GATHER_ROWS = 100_000
-GRID = 400
-SKETCH_ACCURACY = 20_000
+SAMPLE_ROWS = 1_000_000
+GRID = 1_000
+ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
-class ColumnSketch:
-    """Row count, non-null count and approximate quantiles of one column."""
+class ColumnCount:
+    """Rows of the table, and the column's non-null count and bounds."""
 
     rows: int
     present: int
-    grid: tuple[float, ...]
+    low: float | None
+    high: float | None
 
 
 @dataclass
@@ -49,45 +54,51 @@ class _Search:
     grid_size: int = 0
     value: float | None = None
     pivots: list[float] = field(default_factory=list)
+    sampled: int = 0
 
     def holds(self, x: float) -> bool:
         return (self.low is None or x > self.low) and (self.high is None or x < self.high)
 
-    def choose_pivots(self) -> None:
-        """Sketch entries next to the wanted rank that lie among the candidates."""
-        usable = [x for x in sorted(set(self.grid)) if self.holds(x)]
+    def choose_pivots(self, sample_rows: int) -> None:
+        """Sampled values next to the wanted rank, four standard errors to each side."""
+        self.pivots, self.sampled = [], self.inside
+        usable = [x for x in self.grid if self.holds(x)]
         if not usable:
-            self.pivots = []
             return
-        steps = len(self.grid) - 1
-        position = (self.rank - self.grid_start) / max(self.grid_size - 1, 1) * steps
-        slot = min(max(int(position), 0), steps)
-        near = {self.grid[max(slot - 1, 0)], self.grid[slot],
-                self.grid[min(slot + 1, steps)], self.grid[min(slot + 2, steps)]}
-        near = sorted(x for x in near if self.holds(x))
-        if not near:
-            near = [min(usable, key=lambda x: abs(x - self.grid[slot]))]
-        self.pivots = near
-
-
-def sketch_columns(df: DataFrame, columns: list[str],
-                   extra: list[Column] | None = None) -> tuple[dict[str, ColumnSketch], dict]:
-    """Counts and sketches of all columns, plus any extra aggregates, in one pass."""
-    numbers = [clean_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)]
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    for i in range(len(columns)):
-        aggregates.append(F.count(f"c{i}").alias(f"n{i}"))
-        aggregates.append(_grid_of(f"c{i}").alias(f"g{i}"))
-    row = df.select("*", *numbers).agg(*aggregates, *(extra or [])).first()
-    sketches = {c: ColumnSketch(row["rows"], row[f"n{i}"], tuple(row[f"g{i}"] or ()))
-                for i, c in enumerate(columns)}
-    taken = {"rows"} | {f"{p}{i}" for i in range(len(columns)) for p in "ng"}
-    return sketches, {k: v for k, v in row.asDict().items() if k not in taken}
-
-
-def values_at_ranks(df: DataFrame, sketches: dict[str, ColumnSketch],
-                    ranks: dict[str, list[int]],
-                    gather_rows: int = GATHER_ROWS) -> dict[str, dict[int, float | None]]:
+        share = min(max((self.rank - self.grid_start) / max(self.grid_size - 1, 1), 0.0), 1.0)
+        size = min(sample_rows, self.grid_size)
+        margin = math.ceil(4 * math.sqrt(share * (1 - share) / size) * GRID) + 1
+        slot = int(share * GRID)
+        slots = [max(slot - margin, 0), slot, min(slot + 1, GRID), min(slot + 1 + margin, GRID)]
+        near = sorted({self.grid[i] for i in slots if self.holds(self.grid[i])})
+        self.pivots = near or [min(usable, key=lambda x: abs(x - self.grid[slot]))]
+        if len(self.pivots) > 1:
+            width = (slots[-1] - slots[0] + 1) / GRID
+            self.sampled = min(self.inside, math.ceil(self.grid_size * width))
+
+    def sample_bounds(self) -> tuple[float | None, float | None]:
+        if len(self.pivots) > 1:
+            return self.pivots[0], self.pivots[-1]
+        return self.low, self.high
+
+
+def count_columns(df: DataFrame, columns: list[str],
+                  extra: list[Column] | None = None) -> tuple[dict[str, ColumnCount], dict]:
+    """Counts and bounds of all columns, plus any extra aggregates, in one pass."""
+    numbers = [clean_number(df, c) for c in columns]
+    aggregates = [F.count(F.lit(1)).alias("_rows")]
+    for i, x in enumerate(numbers):
+        aggregates += [F.count(x).alias(f"_n{i}"), F.min(x).alias(f"_lo{i}"),
+                       F.max(x).alias(f"_hi{i}")]
+    row = df.agg(*aggregates, *(extra or [])).first()
+    counts = {c: ColumnCount(row["_rows"], row[f"_n{i}"], row[f"_lo{i}"], row[f"_hi{i}"])
+              for i, c in enumerate(columns)}
+    return counts, {k: v for k, v in row.asDict().items() if not k.startswith("_")}
+
+
+def values_at_ranks(df: DataFrame, counts: dict[str, ColumnCount], ranks: dict[str, list[int]],
+                    gather_rows: int = GATHER_ROWS,
+                    sample_rows: int = SAMPLE_ROWS) -> dict[str, dict[int, float | None]]:
     """The value at each 0-based rank of each column's ascending non-null values.
 
     A rank at or past the number of non-null values gives None: NULLs sort last.
@@ -95,24 +106,26 @@ def values_at_ranks(df: DataFrame, sketches: dict[str, ColumnSketch],
     found: dict[str, dict[int, float | None]] = {c: {} for c in ranks}
     searches: list[_Search] = []
     for column, wanted in ranks.items():
-        sketch = sketches[column]
+        present = counts[column].present
         for rank in sorted(set(wanted)):
-            if rank < 0 or rank >= sketch.present:
+            if rank < 0 or rank >= present:
                 found[column][rank] = None
+            elif rank == 0:
+                found[column][rank] = counts[column].low
+            elif rank == present - 1:
+                found[column][rank] = counts[column].high
             else:
-                searches.append(_Search(column, rank, None, None, 0, sketch.present,
-                                        sketch.grid, 0, sketch.present))
+                searches.append(_Search(column, rank, None, None, 0, present))
     columns = sorted({s.column for s in searches})
     if not columns:
         return found
-    numbers = df.select(*[clean_number(df, c).alias(f"c{columns.index(c)}") for c in columns])
     names = {c: f"c{i}" for i, c in enumerate(columns)}
-
+    numbers = df.select(*[clean_number(df, c).alias(names[c]) for c in columns])
     while True:
-        open_searches = [s for s in searches if s.value is None and s.inside > gather_rows]
-        if not open_searches:
+        wide = [s for s in searches if s.value is None and s.inside > gather_rows]
+        if not wide:
             break
-        _narrow(numbers, names, open_searches)
+        _narrow(numbers, names, wide, sample_rows)
     _gather(numbers, names, [s for s in searches if s.value is None])
     for s in searches:
         found[s.column][s.rank] = s.value
@@ -125,75 +138,57 @@ def shares_sql(steps: int) -> str:
             + "', ',') as array<double>)")
 
 
-def _literal(x: float) -> str:
-    return f"cast('{x!r}' as double)"
-
-
-def _grid_of(number: str, low: float | None = None, high: float | None = None) -> Column:
-    """Sketch of the values of one plain-named number column within open bounds."""
+def _within(number: str, low: float | None, high: float | None, rate: float = 1.0) -> str:
+    """SQL for a number column where it lies within open bounds, sampled at a rate."""
     conditions = []
     if low is not None:
-        conditions.append(f"{number} > {_literal(low)}")
+        conditions.append(f"{number} > cast('{low!r}' as double)")
     if high is not None:
-        conditions.append(f"{number} < {_literal(high)}")
-    values = number
-    if conditions:
-        values = f"CASE WHEN {' AND '.join(conditions)} THEN {number} END"
-    return F.expr(f"percentile_approx({values}, {shares_sql(GRID)}, {SKETCH_ACCURACY})")
+        conditions.append(f"{number} < cast('{high!r}' as double)")
+    if rate < 1.0:
+        conditions.append(f"_draw < {rate!r}D")
+    return f"CASE WHEN {' AND '.join(conditions)} THEN {number} END" if conditions else number
 
 
-def _between(column: Column, low: float | None, high: float | None) -> Column:
-    inside = column
-    if low is not None:
-        inside = F.when(column > F.lit(low), inside)
-    if high is not None:
-        inside = F.when(column < F.lit(high), inside)
-    return inside
-
-
-def _narrow(numbers: DataFrame, names: dict[str, str], searches: list[_Search]) -> None:
-    """One pass: place each wanted rank among its pivots and sketch the gap around it."""
+def _narrow(numbers: DataFrame, names: dict[str, str], searches: list[_Search],
+            sample_rows: int) -> None:
+    """One pass: place each wanted rank among its pivots and sample the gap around it."""
     aggregates: dict[tuple, Column] = {}
     for s in searches:
-        s.choose_pivots()
-        column = F.col(names[s.column])
+        s.choose_pivots(sample_rows)
+        number = names[s.column]
         for x in s.pivots:
-            aggregates[(s.column, "below", x)] = F.count_if(column < F.lit(x))
-            aggregates[(s.column, "upto", x)] = F.count_if(column <= F.lit(x))
-        low, high = _sketch_bounds(s)
-        aggregates[(s.column, "grid", low, high)] = _grid_of(names[s.column], low, high)
+            aggregates[(s.column, "below", x)] = F.count_if(F.col(number) < F.lit(x))
+            aggregates[(s.column, "upto", x)] = F.count_if(F.col(number) <= F.lit(x))
+        bounds = s.sample_bounds()
+        values = _within(number, *bounds, rate=sample_rows / max(s.sampled, 1))
+        aggregates[(s.column, "grid", *bounds)] = F.expr(
+            f"percentile_approx({values}, {shares_sql(GRID)}, {ACCURACY})")
     keys = list(aggregates)
-    row = numbers.agg(*[aggregates[k].alias(f"a{i}") for i, k in enumerate(keys)]).first()
+    row = numbers.select("*", F.rand(7).alias("_draw")).agg(*[aggregates[k].alias(f"a{i}") for i, k in enumerate(keys)]).first()
     results = {k: row[f"a{i}"] for i, k in enumerate(keys)}
     for s in searches:
         _settle(s, results)
 
 
-def _sketch_bounds(s: _Search) -> tuple[float | None, float | None]:
-    if len(s.pivots) >= 2:
-        return s.pivots[0], s.pivots[-1]
-    return s.low, s.high
-
-
 def _settle(s: _Search, results: dict) -> None:
-    low_sketch, high_sketch = _sketch_bounds(s)
-    sketch = tuple(results[(s.column, "grid", low_sketch, high_sketch)] or ())
+    grid = tuple(results[(s.column, "grid", *s.sample_bounds())] or ())
     end = s.below + s.inside
-    edges: list[tuple[float, int, int]] = [
-        (x, results[(s.column, "below", x)], results[(s.column, "upto", x)]) for x in s.pivots]
-    sketch_start, sketch_end = s.below, end
-    if len(edges) >= 2:
-        sketch_start, sketch_end = edges[0][2], edges[-1][1]
+    edges = [(x, results[(s.column, "below", x)], results[(s.column, "upto", x)])
+             for x in s.pivots]
+    grid_start, grid_end = s.below, end
+    if len(edges) > 1:
+        grid_start, grid_end = edges[0][2], edges[-1][1]
     for x, below, upto in edges:
         if below <= s.rank < upto:
             s.value = x
             return
         if upto <= s.rank:
             s.low, s.below = x, upto
-        elif s.rank < below and below < end:
+        elif below < end:
             s.high, end = x, below
     s.inside = end - s.below
-    s.grid, s.grid_start, s.grid_size = sketch, sketch_start, sketch_end - sketch_start
+    s.grid, s.grid_start, s.grid_size = grid, grid_start, max(grid_end - grid_start, 1)
 
 
 def _gather(numbers: DataFrame, names: dict[str, str], searches: list[_Search]) -> None:
@@ -203,14 +198,14 @@ def _gather(numbers: DataFrame, names: dict[str, str], searches: list[_Search])
         groups.setdefault((s.column, s.low, s.high), []).append(s)
     if not groups:
         return
-    candidates, aggregates = [], []
+    aggregates = []
     for i, ((column, low, high), members) in enumerate(groups.items()):
-        candidates.append(_between(F.col(names[column]), low, high).alias(f"t{i}"))
         # the middle of the wanted rank's share, so the discrete percentile is that rank
         shares = ", ".join(f"{(s.rank - s.below + 0.5) / s.inside!r}D" for s in members)
+        values = _within(names[column], low, high)
         aggregates.append(F.expr(
-            f"percentile_disc(array({shares})) WITHIN GROUP (ORDER BY t{i})").alias(f"v{i}"))
-    row = numbers.select(*candidates).agg(*aggregates).first()
+            f"percentile_disc(array({shares})) WITHIN GROUP (ORDER BY {values})").alias(f"v{i}"))
+    row = numbers.agg(*aggregates).first()
     for i, members in enumerate(groups.values()):
         for s, value in zip(members, row[f"v{i}"]):
             s.value = value

@@ -8,14 +8,18 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from py4j.protocol import Py4JError
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel.functions.columns import ref
 from riskpanel.operators.metrics import average_precision, class_ratio
-from riskpanel.operators.model import fit_classifier, save_model, score
+from riskpanel.operators.model import (FittedModel, fit_inputs, fit_trees, save_model,
+                                       training_rows)
+from riskpanel.operators.rows import feature_columns
 from riskpanel.sources.trials import TRIAL_SCHEMA, append_trial, read_trials
 
 
@@ -105,23 +109,6 @@ class Study:
             return self.sampler(trial_id)
         return draw_params(self.space or DEFAULT_SPACE, trial_id, self.seed)
 
-    def objective(self, trial_id: int, ratio: float | None) -> tuple:
-        """One trial: draw, fit on train, average precision on validation, record."""
-        params = {k: float(v) for k, v in self.params_of(trial_id).items()}
-        if ratio is not None:
-            params["scale_pos_weight"] = float(ratio)
-        model = fit_classifier(self.train, params, self.label_col, self.features, self.seed)
-        scored = score(model, self.val)
-        metric = average_precision(scored, self.label_col).first()["pr_auc"]
-        model_path = None
-        if self.trials_path:
-            model_path = f"{self.trials_path}/models/{self.experiment}/{trial_id}"
-            save_model(model, model_path)
-        row = (trial_id, params, metric, model_path)
-        if self.trials_path:
-            append_trial(SparkSession.active(), self.trials_path, self.experiment, row)
-        return row
-
     def run(self, n_trials: int = 30, parallelism: int = 1, attempts: int = 3,
             delay: float = 5.0) -> DataFrame:
         """The trials table. Raises RuntimeError when trials still fail at the end."""
@@ -130,43 +117,67 @@ class Study:
         if self.trials_path:
             for r in read_trials(spark, self.trials_path, self.experiment).collect():
                 done[r["trial_id"]] = (r["trial_id"], r["params"], r["metric"], r["model_path"])
-        needed = [ref(c) for c in [*(self.features or self._features()), self.label_col]]
-        self.train = self.train.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
-        self.val = self.val.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
+        if any(t not in done for t in range(n_trials)):
+            self._run_missing(n_trials, parallelism, attempts, delay, done)
+        rows = [done[t] for t in sorted(done) if t < n_trials]
+        return spark.createDataFrame(rows, TRIAL_SCHEMA)
+
+    def _run_missing(self, n_trials: int, parallelism: int, attempts: int, delay: float,
+                     done: dict[int, tuple]) -> None:
+        features = self.features or feature_columns(self.train, self.label_col)
+        inputs = fit_inputs(self.train, features)
+        ratio = class_ratio(self.train, self.label_col).first()["ratio"]
+        held_out = inputs.transform(self.val.select(
+            *[ref(c) for c in [*features, self.label_col]]))
+        rows = training_rows(self.train, inputs, self.label_col, ratio or 1.0)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        held_out = held_out.select("__features", ref(self.label_col).alias("__label"))
+        held_out = held_out.persist(StorageLevel.MEMORY_AND_DISK)
+
+        def trial(trial_id: int) -> tuple:
+            """Draw, fit on train, average precision on validation, record."""
+            params = {k: float(v) for k, v in self.params_of(trial_id).items()}
+            if ratio is not None:
+                params["scale_pos_weight"] = ratio
+            trees = fit_trees(rows, params, self.seed)
+            probability = vector_to_array("__probability")[1].alias("score")
+            scored = trees.transform(held_out).select("__label", probability)
+            metric = average_precision(scored, "__label").first()["pr_auc"]
+            return self._record(trial_id, params, metric, FittedModel(inputs, trees))
+
         try:
-            ratio = class_ratio(self.train, self.label_col).first()["ratio"]
-            for attempt in range(attempts):
+            for attempt in range(1, attempts + 1):
                 missing = [t for t in range(n_trials) if t not in done]
-                failure = self._pass(missing, ratio, parallelism, done)
+                failure = _run_trials(trial, missing, parallelism, done)
                 if failure is None:
-                    break
-                if attempt + 1 == attempts:
+                    return
+                if attempt == attempts:
                     raise RuntimeError(f"study failed after {attempts} attempts") from failure
                 time.sleep(delay)
         finally:
-            self.train.unpersist()
-            self.val.unpersist()
-        rows = [done[t] for t in sorted(done) if t < n_trials]
-        return spark.createDataFrame(rows, TRIAL_SCHEMA)
+            rows.unpersist()
+            held_out.unpersist()
+
+    def _record(self, trial_id: int, params: dict[str, float], metric: float,
+                model: FittedModel) -> tuple:
+        if not self.trials_path:
+            return (trial_id, params, metric, None)
+        model_path = f"{self.trials_path}/models/{self.experiment}/{trial_id}"
+        save_model(model, model_path)
+        row = (trial_id, params, metric, model_path)
+        append_trial(self.train.sparkSession, self.trials_path, self.experiment, row)
+        return row
+
 
-    def _features(self) -> list[str]:
-        return [c for c in self.train.columns if c != self.label_col]
-
-    def _pass(self, missing: list[int], ratio: float | None, parallelism: int,
-              done: dict[int, tuple]) -> Exception | None:
-        failure = None
-        if parallelism <= 1:
-            for t in missing:
-                try:
-                    done[t] = self.objective(t, ratio)
-                except (PySparkException, OSError, RuntimeError) as exc:
-                    return exc
-            return None
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            jobs = {t: pool.submit(self.objective, t, ratio) for t in missing}
-            for t, job in jobs.items():
-                try:
-                    done[t] = job.result()
-                except (PySparkException, OSError, RuntimeError) as exc:
-                    failure = exc
-        return failure
+def _run_trials(trial: Callable[[int], tuple], missing: list[int], parallelism: int,
+                done: dict[int, tuple]) -> Exception | None:
+    """Run the trials, a few at a time; finished ones land in ``done``."""
+    failure = None
+    with ThreadPoolExecutor(max_workers=max(parallelism, 1)) as pool:
+        jobs = {t: pool.submit(inheritable_thread_target(trial), t) for t in missing}
+        for t, job in jobs.items():
+            try:
+                done[t] = job.result()
+            except (PySparkException, Py4JError, OSError, RuntimeError) as exc:
+                failure = exc
+    return failure

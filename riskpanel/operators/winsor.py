@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel.functions.columns import clean_number, numeric_columns, ref
-from riskpanel.operators.ranks import GATHER_ROWS, sketch_columns, values_at_ranks
+from riskpanel.operators.ranks import GATHER_ROWS, count_columns, values_at_ranks
+from riskpanel.operators.scale import Bounds
 
 
 @dataclass(frozen=True)
@@ -33,21 +34,41 @@ def fit_winsor(df: DataFrame, columns: list[str] | None = None, label_col: str =
     the lower cap's rank falls among them, the column becomes NULL throughout.
     ``ignore`` ranks the non-null values alone and leaves NULL as it is.
     """
+    columns = numeric_columns(df, exclude=[label_col]) if columns is None else columns
+    return fit_caps_and_bounds(df, columns, limits, null_policy, gather_rows)[0]
+
+
+def fit_caps_and_bounds(df: DataFrame, columns: list[str],
+                        limits: tuple[float, float] = (0.05, 0.05),
+                        null_policy: str = "upper_cap", gather_rows: int = GATHER_ROWS,
+                        extra: list[Column] | None = None) -> tuple[list[Cap], list[Bounds], dict]:
+    """Caps, the min-max bounds of the capped values, and any extra aggregates.
+
+    The capped minimum and maximum follow from the caps and the raw ones, so
+    scaling after winsorizing needs no pass of its own.
+    """
     if null_policy not in ("upper_cap", "ignore"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
-    columns = numeric_columns(df, exclude=[label_col]) if columns is None else columns
-    if not columns:
-        return []
-    sketches, _ = sketch_columns(df, columns)
+    counts, extras = count_columns(df, columns, extra)
     tails: dict[str, tuple[int, int, int]] = {}
     ranks: dict[str, list[int]] = {}
     for c in columns:
-        ranked = sketches[c].rows if null_policy == "upper_cap" else sketches[c].present
+        ranked = counts[c].rows if null_policy == "upper_cap" else counts[c].present
         lower, upper = int(limits[0] * ranked), int(limits[1] * ranked)
         tails[c] = (lower, upper, ranked)
         ranks[c] = [lower] * (lower > 0) + [ranked - upper - 1] * (upper > 0)
-    values = values_at_ranks(df, sketches, ranks, gather_rows)
-    return [_cap(c, sketches[c].present, *tails[c], values[c]) for c in columns]
+    values = values_at_ranks(df, counts, ranks, gather_rows)
+    caps = [_cap(c, counts[c].present, *tails[c], values[c]) for c in columns]
+    bounds = [_capped_bounds(cap, counts[cap.column].low, counts[cap.column].high)
+              for cap in caps]
+    return caps, bounds, extras
+
+
+def _capped_bounds(cap: Cap, low: float | None, high: float | None) -> Bounds:
+    if cap.blank:
+        return Bounds(cap.column, None, None)
+    return Bounds(cap.column, low if cap.low is None else cap.low,
+                  high if cap.high is None else cap.high)
 
 
 def _cap(column: str, present: int, lower: int, upper: int, ranked: int,

@@ -6,14 +6,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from riskpanel.functions.columns import ref
+from riskpanel.functions.columns import numeric_columns, ref
+from riskpanel.functions.dates import day_span
 from riskpanel.operators.attach import attach
 from riskpanel.operators.describe import date_range, describe
 from riskpanel.operators.encode import OneHot, apply_one_hot, fit_one_hot
 from riskpanel.operators.rows import after_cutoff, keep_columns, split_label
-from riskpanel.operators.scale import Bounds, apply_min_max, fit_min_max
+from riskpanel.operators.scale import Bounds, apply_min_max
 from riskpanel.operators.series import daily_returns, fill_calendar
-from riskpanel.operators.winsor import Cap, apply_winsor, fit_winsor
+from riskpanel.operators.winsor import Cap, apply_winsor, fit_caps_and_bounds
 from riskpanel.sources.outputs import save_summary
 from riskpanel.sources.prices import price_series
 
@@ -52,19 +53,23 @@ def fit_preparation(df: DataFrame, category_col: str, label_col: str = "Y",
                     null_policy: str = "upper_cap", summary_path: str | None = None) -> Preparation:
     """Fit categories, caps and bounds on the filtered panel, or on ``fit_on``.
 
-    Bounds are fitted on the capped values, and the summary describes them.
+    The bounds are those of the capped values, which the summary describes.
+    Caps, bounds and the date span share their passes over the panel.
     """
     basis = df if fit_on is None else fit_on
     one_hot = fit_one_hot(df, category_col)
     encoded = apply_one_hot(basis, one_hot)
-    caps = fit_winsor(encoded, label_col=label_col, null_policy=null_policy)
-    capped = apply_winsor(encoded, caps)
+    numbers = numeric_columns(encoded, exclude=[label_col])
+    span = day_span(ref(date_col)) if fit_on is None else None
+    caps, bounds, found = fit_caps_and_bounds(encoded, numbers, null_policy=null_policy,
+                                              extra=span)
+    if fit_on is not None:
+        found = date_range(df, date_col).first().asDict()
     if summary_path is not None:
+        capped = apply_winsor(encoded, caps)
         shown = [c for c in capped.columns if c != label_col]
         save_summary(describe(capped.select(*[ref(c) for c in shown])), summary_path)
-    bounds = fit_min_max(capped, label_col=label_col)
-    span = date_range(df, date_col).first()
-    return Preparation(one_hot, caps, bounds, span["start"], span["end"])
+    return Preparation(one_hot, caps, bounds, found["start"], found["end"])
 
 
 def prepare_panel(panel: DataFrame, prices: DataFrame, category_col: str = "INDUSTRY2",

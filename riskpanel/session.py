@@ -34,7 +34,8 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting falls back to a temporary folder
     of this machine; on a cluster the setting is required.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
