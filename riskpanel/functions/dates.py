@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MICROS_PER_DAY = 86_400_000_000
-EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def parse_day(value: str | date | datetime) -> date:
@@ -48,11 +47,6 @@ def wall_micros(column: Column) -> Column:
     return day + seconds.cast("long") * 1_000_000 + micros
 
 
-def from_wall_micros(column: Column) -> Column:
-    """The inverse of :func:`wall_micros`, as TIMESTAMP_NTZ."""
-    return F.timestamp_add("MICROSECOND", column.cast("long"), F.expr(EPOCH))
-
-
 def day_span(column: Column, days_before: int = 1, days_after: int = 1) -> list[Column]:
     """Aggregates: first day minus and last day plus the margins, as ``yyyy-MM-dd``."""
     first = F.date_sub(F.min(column).cast("date"), days_before)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskpanel.functions.columns import clean_number, numeric_columns, ref, temporal_columns
-from riskpanel.functions.dates import day_span, from_wall_micros, wall_micros
+from riskpanel.functions.dates import day_span, wall_micros
 from riskpanel.operators.ranks import GATHER_ROWS, count_columns, values_at_ranks
 
 # The reported statistics in their order.
@@ -50,69 +51,75 @@ def _interpolate(values: dict[int, float | None], present: int, share: float) ->
     return low + (high - low) * (position - math.floor(position))
 
 
+def _statistics(df: DataFrame, numbers: list[str], dates: list[str],
+                gather_rows: int) -> list[tuple]:
+    """Rows (column, *STATISTICS) of numeric and date columns from shared passes.
+
+    Dates are whole microseconds in these rows; their mean and quantiles are
+    exact and rounded down.
+    """
+    columns = [clean_number(df, c) for c in numbers] + [wall_micros(ref(c)) for c in dates]
+    names = [f"v{i}" for i in range(len(columns))]
+    values = df.select(*[x.alias(v) for x, v in zip(columns, names)])
+    means, spreads = [], []
+    for i, v in enumerate(names):
+        mean = F.avg(v)
+        if i >= len(numbers):
+            mean = F.floor(F.sum(F.col(v).cast("decimal(20,0)")) / F.count(v)).cast("long")
+        else:
+            spreads.append(F.stddev_samp(v).alias(f"std_{v}"))
+        means.append(mean.alias(f"mean_{v}"))
+    quantiles, counts, extra = exact_quantiles(values, names, QUARTILES, gather_rows,
+                                               means + spreads)
+    rows = []
+    for i, (c, v) in enumerate(zip(numbers + dates, names)):
+        middle, low, high = quantiles[v], counts[v].low, counts[v].high
+        if i >= len(numbers):
+            middle = [None if q is None else math.floor(q) for q in middle]
+            low, high = (None if x is None else int(x) for x in (low, high))
+        rows.append((c, counts[v].present, extra[f"mean_{v}"], low, *middle, high,
+                     extra.get(f"std_{v}")))
+    return rows
+
+
 def _statistics_schema(value_type: str) -> str:
     fields = ["column string", "`count` bigint"]
     fields += [f"`{s}` {value_type}" for s in STATISTICS[1:-1]]
     return ", ".join(fields + ["`std` double"])
 
 
+def _moment(micros: int | None) -> datetime | None:
+    return None if micros is None else datetime(1970, 1, 1) + timedelta(microseconds=micros)
+
+
 def describe_numbers(df: DataFrame, columns: list[str] | None = None,
                      gather_rows: int = GATHER_ROWS) -> DataFrame:
     """One row per numeric column with the statistics of :data:`STATISTICS`."""
     columns = numeric_columns(df) if columns is None else columns
-    moments = []
-    for i, c in enumerate(columns):
-        number = clean_number(df, c)
-        moments += [F.avg(number).alias(f"mean{i}"), F.stddev_samp(number).alias(f"std{i}")]
-    quantiles, counts, extra = exact_quantiles(df, columns, QUARTILES, gather_rows, moments)
-    rows = [(c, counts[c].present, extra[f"mean{i}"], counts[c].low, *quantiles[c],
-             counts[c].high, extra[f"std{i}"]) for i, c in enumerate(columns)]
+    rows = _statistics(df, columns, [], gather_rows)
     return df.sparkSession.createDataFrame(rows, _statistics_schema("double"))
 
 
 def describe_dates(df: DataFrame, columns: list[str] | None = None,
                    gather_rows: int = GATHER_ROWS) -> DataFrame:
-    """The same statistics of date columns, as timestamps; a date has no std.
-
-    Means and quantiles are exact to the microsecond, rounded down.
-    """
+    """The same statistics of date columns, as timestamps; a date has no std."""
     columns = temporal_columns(df) if columns is None else columns
-    names = [f"m{i}" for i in range(len(columns))]
-    micros = df.select(*[wall_micros(ref(c)).alias(m) for c, m in zip(columns, names)])
-    means = []
-    for m in names:
-        total = F.sum(F.col(m).cast("decimal(20,0)"))
-        means += [F.floor(total / F.count(m)).cast("long").alias(f"mean_{m}"),
-                  F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}")]
-    quantiles, counts, extra = exact_quantiles(micros, names, QUARTILES, gather_rows, means)
-    rows = []
-    for c, m in zip(columns, names):
-        middle = [None if q is None else math.floor(q) for q in quantiles[m]]
-        rows.append((c, counts[m].present, extra[f"mean_{m}"], extra[f"min_{m}"], *middle,
-                     extra[f"max_{m}"]))
-    fields = ["column", "count", *STATISTICS[1:-1]]
-    schema = ", ".join(["column string", "`count` bigint"]
-                       + [f"`{s}` bigint" for s in STATISTICS[1:-1]])
-    frame = df.sparkSession.createDataFrame(rows, schema)
-    moments = [from_wall_micros(ref(f)).alias(f) for f in fields[2:]]
-    return frame.select("column", "count", *moments, F.lit(None).cast("double").alias("std"))
+    rows = [(c, n, *map(_moment, moments), std)
+            for c, n, *moments, std in _statistics(df, [], columns, gather_rows)]
+    return df.sparkSession.createDataFrame(rows, _statistics_schema("timestamp_ntz"))
 
 
 def describe(df: DataFrame, gather_rows: int = GATHER_ROWS) -> DataFrame:
     """The summary layout: one text row per statistic, one column per table column,
     numeric columns first and date columns after them."""
     numbers, dates = numeric_columns(df), temporal_columns(df)
-    cells: dict[str, dict[str, str | None]] = {s: {} for s in STATISTICS}
-    tables = []
-    if numbers:
-        tables.append(describe_numbers(df, numbers, gather_rows))
-    if dates:
-        tables.append(describe_dates(df, dates, gather_rows))
-    for table in tables:
-        for row in table.collect():
-            for s in STATISTICS:
-                cells[s][row["column"]] = None if row[s] is None else str(row[s])
-    rows = [(s, *[cells[s][c] for c in numbers + dates]) for s in STATISTICS]
+    found = {c: dict(zip(STATISTICS, values))
+             for c, *values in _statistics(df, numbers, dates, gather_rows)}
+    for c in dates:
+        moments = {s: _moment(found[c][s]) for s in STATISTICS[1:-1]}
+        found[c].update(moments)
+    rows = [(s, *[None if found[c][s] is None else str(found[c][s]) for c in numbers + dates])
+            for s in STATISTICS]
     schema = T.StructType([T.StructField(c, T.StringType())
                            for c in ["statistic", *numbers, *dates]])
     return df.sparkSession.createDataFrame(rows, schema)

@@ -103,27 +103,25 @@ def evaluate_long(df: DataFrame, label_col: str = "Y", score_col: str = "score",
                         "metric", "value")
 
 
-def _score_bounds(df: DataFrame, keys: list[str], buckets: int | None) -> list[float]:
-    """Boundaries that cut every group's scores into parts of about equal size.
+def _score_bounds(df: DataFrame, buckets: int | None) -> list[float]:
+    """Boundaries that cut all scores into parts of about equal size.
 
     They come from a sample and only balance the tasks; any boundaries give the
-    same metrics. A table that fits one task needs none.
+    same metrics. Rows that fit one task need none.
     """
-    rows = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.count("_score").alias("scored"),
-        F.count("_y").alias("labelled")).collect()
-    for r in rows:
-        if min(r["scored"], r["labelled"]) < r["n"]:
-            raise ValueError("every row needs a label and a score")
-    total = sum(r["n"] for r in rows)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count("_score").alias("scored"),
+                 F.count("_y").alias("labelled")).first()
+    total = row["n"]
+    if min(row["scored"], row["labelled"]) < total:
+        raise ValueError("every row needs a label and a score")
     wanted = buckets or min(-(-total // ROWS_PER_BUCKET), MAX_BUCKETS)
-    if wanted <= 1:
+    if wanted <= 1 or total == 0:
         return []
     rate = min(SAMPLE_ROWS / total, 1.0)
     sampled = df.where(F.rand(7) < rate) if rate < 1.0 else df
-    grids = sampled.groupBy(*keys).agg(F.expr(
-        f"percentile_approx(_score, {shares_sql(wanted)}, {10 * MAX_BUCKETS})").alias("grid"))
-    return sorted({x for r in grids.collect() for x in r["grid"][1:-1]})
+    grid = sampled.agg(F.expr(
+        f"percentile_approx(_score, {shares_sql(wanted)}, {10 * MAX_BUCKETS})")).first()[0]
+    return sorted(set((grid or [])[1:-1]))
 
 
 def _ranked(df: DataFrame, label_col: str, score_col: str, prediction_col: str | None,
@@ -132,8 +130,9 @@ def _ranked(df: DataFrame, label_col: str, score_col: str, prediction_col: str |
 
     Equal scores collapse to one row first, so a frequent score is no burden.
     Score buckets with fixed boundaries spread the ordered pass over tasks; a
-    bucket starts from the totals of the buckets above it, a table of at most
-    ``MAX_BUCKETS`` rows per group.
+    bucket starts from the totals of its group's buckets above it, at most
+    ``MAX_BUCKETS`` of them. The join to those totals keeps the partitioning
+    and order of the ordered pass, whatever the number of groups.
     """
     require(df, [label_col, score_col, *by])
     keys = [f"_k{i}" for i in range(len(by))] or ["_k0"]
@@ -141,7 +140,7 @@ def _ranked(df: DataFrame, label_col: str, score_col: str, prediction_col: str |
     hit = ref(prediction_col).cast("int") if prediction_col else F.lit(0)
     base = df.select(*key_columns, ref(label_col).cast("int").alias("_y"),
                      ref(score_col).cast("double").alias("_score"), hit.alias("_hat"))
-    bounds = _score_bounds(base, keys, buckets)
+    bounds = _score_bounds(base, buckets)
     if bounds:
         cutter = Bucketizer(splits=[float("-inf"), *bounds, float("inf")],
                             inputCol="_score", outputCol="_bucket")
@@ -171,7 +170,7 @@ def _ranked(df: DataFrame, label_col: str, score_col: str, prediction_col: str |
     running = (scores
                .select("*", F.sum("n").over(inner).alias("cum_n"),
                        F.sum("pos").over(inner).alias("cum_pos"))
-               .join(F.broadcast(offsets), same_bucket)
+               .join(offsets, same_bucket)
                .withColumn("upto_n", F.col("cum_n") + F.col("n_above"))
                .withColumn("upto_pos", F.col("cum_pos") + F.col("pos_above")))
     gained = F.col("pos").cast("double") * F.col("upto_pos") / F.col("upto_n")

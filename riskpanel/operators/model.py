@@ -127,10 +127,13 @@ def fit_trees(rows: DataFrame, params: dict[str, float], seed: int = 42) -> GBTC
 
 
 def fit_classifier(train: DataFrame, params: dict[str, float], label_col: str = "Y",
-                   features: list[str] | None = None, seed: int = 42) -> FittedModel:
-    """Fit on all columns but the label, or on the given ones."""
-    features = feature_columns(train, label_col) if features is None else features
-    inputs = fit_inputs(train, features)
+                   features: list[str] | None = None, seed: int = 42,
+                   inputs: Inputs | None = None) -> FittedModel:
+    """Fit on all columns but the label, or on the given ones; inputs fitted before are
+    used as they are."""
+    if inputs is None:
+        features = feature_columns(train, label_col) if features is None else features
+        inputs = fit_inputs(train, features)
     rows = training_rows(train, inputs, label_col, params.get("scale_pos_weight"))
     return FittedModel(inputs, fit_trees(rows, params, seed))
 

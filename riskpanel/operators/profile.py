@@ -21,6 +21,7 @@ from riskpanel.operators.ranks import GATHER_ROWS
 
 # Quantiles of the numeric section.
 PROFILE_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
+MAX_K = 1_000
 
 
 def _value(df: DataFrame, name: str) -> Column:
@@ -132,11 +133,18 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _check_k(k: int) -> None:
+    """Up to this many rows per column, tasks cut their own rows before the shuffle."""
+    if not 1 <= k <= MAX_K:
+        raise ValueError(f"k must lie between 1 and {MAX_K}")
+
+
 def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 10) -> DataFrame:
     """The k most frequent values of each text column, ties by value.
 
     Each task keeps only its own k best per column before the last shuffle.
     """
+    _check_k(k)
     columns = text_columns(df) if columns is None else columns
     order = Window.partitionBy("column").orderBy(F.desc("n"), "value")
     return (value_counts(df, columns)
@@ -245,6 +253,7 @@ def duplicate_summary(df: DataFrame, columns: list[str] | None = None) -> DataFr
 def extremes(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
     """Rows (column, side, position, value, n): the k smallest and largest distinct
     values of each numeric column. Each task keeps only its own k per column and side."""
+    _check_k(k)
     columns = numeric_columns(df) if columns is None else columns
     numbers = df.select(*[clean_number(df, c).alias(c) for c in columns])
     counted = (numbers.unpivot([], [ref(c) for c in columns], "column", "value")

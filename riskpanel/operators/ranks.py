@@ -1,16 +1,18 @@
 """Exact order statistics of many columns without sorting or shuffling the rows.
 
 Every step is one aggregate over the table. The first counts each column. While
-more than ``gather_rows`` values could be the wanted one, a step samples the
-candidates to propose pivots around the wanted rank, and the next counts, over
-all rows, the values below and at each pivot. The sample only proposes; the
-counts decide, and a poor proposal costs another step, never a wrong value. A
-step that counts also samples between its outer pivots for the step after it,
-so each step reads the columns once, moves counters and a small sample, and
-leaves less than a hundredth of the candidates: 10^12 rows need about five
-steps. A pivot is a value of the column and is settled by its own count, so
-repeated values cannot stall the search. The last step takes the exact rank
-among the few candidates left.
+too many values could be the wanted one, a step samples the candidates to
+propose pivots around the wanted rank, and the next counts, over all rows, the
+values below and at each pivot. The sample only proposes; the counts decide,
+and a poor proposal costs another step, never a wrong value. A step that counts
+also samples between its outer pivots for the step after it, so each step reads
+the columns once, moves counters and a small sample, and leaves less than a
+hundredth of the candidates: 10^12 rows need about five steps. A pivot is a
+value of the column and is settled by its own count, so repeated values cannot
+stall the search. The last step takes the exact rank among the candidates left.
+
+``gather_rows`` bounds the candidates of all searches together, as the last
+step holds them in one task.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from riskpanel.functions.columns import clean_number
 
-GATHER_ROWS = 100_000
+GATHER_ROWS = 1_000_000
 SAMPLE_ROWS = 1_000_000
 GRID = 1_000
 ACCURACY = 10_000
@@ -122,7 +124,10 @@ def values_at_ranks(df: DataFrame, counts: dict[str, ColumnCount], ranks: dict[s
     names = {c: f"c{i}" for i, c in enumerate(columns)}
     numbers = df.select(*[clean_number(df, c).alias(names[c]) for c in columns])
     while True:
-        wide = [s for s in searches if s.value is None and s.inside > gather_rows]
+        unsettled = [s for s in searches if s.value is None]
+        groups = {(s.column, s.low, s.high) for s in unsettled}
+        limit = max(gather_rows // max(len(groups), 1), 1)
+        wide = [s for s in unsettled if s.inside > limit]
         if not wide:
             break
         _narrow(numbers, names, wide, sample_rows)
@@ -192,7 +197,7 @@ def _settle(s: _Search, results: dict) -> None:
 
 
 def _gather(numbers: DataFrame, names: dict[str, str], searches: list[_Search]) -> None:
-    """One pass over the remaining candidates, at most ``gather_rows`` per search."""
+    """One pass over the remaining candidates; searches of one interval share them."""
     groups: dict[tuple, list[_Search]] = {}
     for s in searches:
         groups.setdefault((s.column, s.low, s.high), []).append(s)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from riskpanel.functions.columns import ref
 from riskpanel.operators.metrics import average_precision, class_ratio
-from riskpanel.operators.model import (FittedModel, fit_inputs, fit_trees, save_model,
+from riskpanel.operators.model import (FittedModel, Inputs, fit_inputs, fit_trees, save_model,
                                        training_rows)
 from riskpanel.operators.rows import feature_columns
 from riskpanel.sources.trials import TRIAL_SCHEMA, append_trial, read_trials
@@ -103,6 +103,7 @@ class Study:
     experiment: str = "boosted-trees"
     trials_path: str | None = None
     sampler: Callable[[int], dict[str, float]] | None = None
+    inputs: Inputs | None = None
 
     def params_of(self, trial_id: int) -> dict[str, float]:
         if self.sampler:
@@ -124,11 +125,11 @@ class Study:
 
     def _run_missing(self, n_trials: int, parallelism: int, attempts: int, delay: float,
                      done: dict[int, tuple]) -> None:
-        features = self.features or feature_columns(self.train, self.label_col)
-        inputs = fit_inputs(self.train, features)
+        inputs = self.inputs or fit_inputs(
+            self.train, self.features or feature_columns(self.train, self.label_col))
         ratio = class_ratio(self.train, self.label_col).first()["ratio"]
         held_out = inputs.transform(self.val.select(
-            *[ref(c) for c in [*features, self.label_col]]))
+            *[ref(c) for c in [*inputs.features, self.label_col]]))
         rows = training_rows(self.train, inputs, self.label_col, ratio or 1.0)
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         held_out = held_out.select("__features", ref(self.label_col).alias("__label"))
@@ -148,7 +149,8 @@ class Study:
         try:
             for attempt in range(1, attempts + 1):
                 missing = [t for t in range(n_trials) if t not in done]
-                failure = _run_trials(trial, missing, parallelism, done)
+                failure = _run_trials(inheritable_thread_target(rows.sparkSession)(trial),
+                                      missing, parallelism, done)
                 if failure is None:
                     return
                 if attempt == attempts:
@@ -174,7 +176,7 @@ def _run_trials(trial: Callable[[int], tuple], missing: list[int], parallelism:
     """Run the trials, a few at a time; finished ones land in ``done``."""
     failure = None
     with ThreadPoolExecutor(max_workers=max(parallelism, 1)) as pool:
-        jobs = {t: pool.submit(inheritable_thread_target(trial), t) for t in missing}
+        jobs = {t: pool.submit(trial, t) for t in missing}
         for t, job in jobs.items():
             try:
                 done[t] = job.result()

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 
 from riskpanel.functions.columns import ref
 from riskpanel.operators.metrics import confusion_matrix, evaluate_long
-from riskpanel.operators.model import (FittedModel, feature_importance, fit_classifier,
-                                       save_model, score)
-from riskpanel.operators.rows import NON_FEATURES, drop_columns, split_frames, with_split
+from riskpanel.operators.model import (FittedModel, Inputs, feature_importance, fit_classifier,
+                                       fit_inputs, save_model, score)
+from riskpanel.operators.rows import (NON_FEATURES, drop_columns, feature_columns, split_frames,
+                                      with_split)
 from riskpanel.operators.tuning import Range, Study, best_trial
 from riskpanel.sources.outputs import save_best_params
 
@@ -29,9 +30,11 @@ class Modelling:
 
 def tune(train: DataFrame, val: DataFrame, label_col: str = "Y", n_trials: int = 30,
          space: dict[str, Range] | None = None, parallelism: int = 1, seed: int = 42,
-         trials_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+         trials_path: str | None = None,
+         inputs: Inputs | None = None) -> tuple[DataFrame, DataFrame]:
     """The trials and the best of them."""
-    study = Study(train, val, label_col, space=space, seed=seed, trials_path=trials_path)
+    study = Study(train, val, label_col, space=space, seed=seed, trials_path=trials_path,
+                  inputs=inputs)
     trials = study.run(n_trials, parallelism)
     return trials, best_trial(trials)
 
@@ -49,10 +52,11 @@ def model_panel(prepared: DataFrame, val_start, test_start, label_col: str = "Y"
     unwanted = tuple(c for c in drop if c != split_col)
     slim = drop_columns(labelled, unwanted)
     train, val, _ = (part.drop(split_col) for part in split_frames(slim, split_col))
+    inputs = fit_inputs(train, feature_columns(train, label_col))
     trials, best = tune(train, val, label_col, n_trials, space, parallelism, seed,
-                        None if output is None else f"{output}/study")
+                        None if output is None else f"{output}/study", inputs)
     chosen = best.first()["params"]
-    model = fit_classifier(train, chosen, label_col, seed=seed)
+    model = fit_classifier(train, chosen, label_col, seed=seed, inputs=inputs)
     held_out = slim.where(ref(split_col).isin("val", "test"))
     scored = score(model, held_out)
     metrics = evaluate_long(scored, label_col, by=(split_col,))
