@@ -6,9 +6,6 @@ columns with few values, such as the split.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -135,10 +132,11 @@ def _ranked(df: DataFrame, label_col: str, score_col: str, prediction_col: str |
     and order of the ordered pass, whatever the number of groups.
     """
     require(df, [label_col, score_col, *by])
-    keys = [f"_k{i}" for i in range(len(by))] or ["_k0"]
-    key_columns = [ref(b).alias(k) for b, k in zip(by, keys)] or [F.lit(0).alias("_k0")]
+    # groups and slots are structs: never NULL themselves, so a plain equi-join
+    # matches groups whose value is NULL and needs no other partitioning
+    group = F.struct(*[ref(b).alias(f"k{i}") for i, b in enumerate(by)] or [F.lit(0).alias("k")])
     hit = ref(prediction_col).cast("int") if prediction_col else F.lit(0)
-    base = df.select(*key_columns, ref(label_col).cast("int").alias("_y"),
+    base = df.select(group.alias("_group"), ref(label_col).cast("int").alias("_y"),
                      ref(score_col).cast("double").alias("_score"), hit.alias("_hat"))
     bounds = _score_bounds(base, buckets)
     if bounds:
@@ -148,41 +146,40 @@ def _ranked(df: DataFrame, label_col: str, score_col: str, prediction_col: str |
     else:
         base = base.withColumn("_bucket", F.lit(0.0))
     positive, claimed = F.col("_y") == 1, F.col("_hat") == 1
-    scores = base.groupBy(*keys, "_bucket", "_score").agg(
+    slot = F.struct("_group", "_bucket").alias("_slot")
+    scores = base.groupBy(slot, "_score").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(positive).alias("pos"),
         F.count_if(claimed).alias("claimed"), F.count_if(positive & claimed).alias("hits"))
 
-    # Both branches below read every count of ``scores`` and join null-safely, so
-    # they plan the same exchange and Spark computes the grouped table once.
-    above = (Window.partitionBy(*keys).orderBy(F.desc("_bucket"))
+    # Both branches below read every count of ``scores``, so they plan the same
+    # exchange and Spark computes the grouped table once.
+    whole = Window.partitionBy("_slot._group")
+    above = (whole.orderBy(F.desc("_slot._bucket"))
              .rowsBetween(Window.unboundedPreceding, -1))
-    whole = Window.partitionBy(*keys)
     sums = [F.sum(c).alias(f"b_{c}") for c in ("n", "pos", "claimed", "hits")]
-    offsets = scores.groupBy(*keys, "_bucket").agg(*sums).select(
-        *[F.col(k).alias(f"_at{k}") for k in [*keys, "_bucket"]],
+    offsets = scores.groupBy("_slot").agg(*sums).select(
+        "_slot",
         F.coalesce(F.sum("b_n").over(above), F.lit(0)).alias("n_above"),
         F.coalesce(F.sum("b_pos").over(above), F.lit(0)).alias("pos_above"),
         *[F.sum(f"b_{c}").over(whole).alias(f"all_{c}") for c in ("n", "pos", "claimed", "hits")])
-    inner = (Window.partitionBy(*keys, "_bucket").orderBy(F.desc("_score"))
+    inner = (Window.partitionBy("_slot").orderBy(F.desc("_score"))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    same_bucket = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_at{k}"))
-                                for k in [*keys, "_bucket"]])
     running = (scores
                .select("*", F.sum("n").over(inner).alias("cum_n"),
                        F.sum("pos").over(inner).alias("cum_pos"))
-               .join(offsets, same_bucket)
+               .join(offsets, "_slot")
                .withColumn("upto_n", F.col("cum_n") + F.col("n_above"))
                .withColumn("upto_pos", F.col("cum_pos") + F.col("pos_above")))
     gained = F.col("pos").cast("double") * F.col("upto_pos") / F.col("upto_n")
     neg = F.col("n") - F.col("pos")
     negatives_below = (F.col("all_n") - F.col("all_pos")) - (F.col("upto_n") - F.col("upto_pos"))
     ordered = F.col("pos").cast("double") * (negatives_below + neg / 2.0)
-    totals = running.groupBy(*keys).agg(
+    totals = running.groupBy(F.col("_slot._group").alias("_group")).agg(
         F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum("claimed").alias("claimed"),
         F.sum("hits").alias("hits"), F.sum(gained).alias("gained"),
         F.sum(ordered).alias("ordered"),
         *[F.max(f"all_{c}").alias(f"all_{c}") for c in ("n", "pos", "claimed", "hits")])
-    return totals.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *_metrics())
+    return totals.select(*[F.col(f"_group.k{i}").alias(b) for i, b in enumerate(by)], *_metrics())
 
 
 def _metrics() -> list[Column]:
