@@ -1,15 +1,14 @@
 """Exact order statistics of many columns without sorting or shuffling the rows.
 
 Every step is one aggregate over the table. The first counts each column. While
-too many values could be the wanted one, a step samples the candidates to
-propose pivots around the wanted rank, and the next counts, over all rows, the
-values below and at each pivot. The sample only proposes; the counts decide,
-and a poor proposal costs another step, never a wrong value. A step that counts
-also samples between its outer pivots for the step after it, so each step reads
-the columns once, moves counters and a small sample, and leaves less than a
-hundredth of the candidates: 10^12 rows need about five steps. A pivot is a
-value of the column and is settled by its own count, so repeated values cannot
-stall the search. The last step takes the exact rank among the candidates left.
+too many values could be the wanted one, a sampling step proposes pivots around
+the wanted rank, and a counting step counts, over all rows, the values below and
+at each pivot. The sample only proposes; the counts decide, and a poor proposal
+costs another round, never a wrong value. A round reads the columns twice, moves
+a bounded sample and a few counters, and leaves less than a hundredth of the
+candidates: 10^12 rows need three rounds. A pivot is a value of the column and
+is settled by its own count, so repeated values cannot stall the search. The
+last step takes the exact rank among the candidates left.
 
 ``gather_rows`` bounds the candidates of all searches together, as the last
 step holds them in one task.
@@ -18,8 +17,9 @@ step holds them in one task.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +27,9 @@ from riskpanel.functions.columns import clean_number
 
 GATHER_ROWS = 1_000_000
 SAMPLE_ROWS = 1_000_000
-GRID = 1_000
-ACCURACY = 10_000
+GRID = 4_000
+ACCURACY = 40_000
+PARTS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -43,45 +44,45 @@ class ColumnCount:
 
 @dataclass
 class _Search:
-    """Candidates for one rank: the values strictly between ``low`` and ``high``."""
+    """Candidates for one rank: the finite values strictly between ``low`` and ``high``."""
 
     column: str
+    asked: int
     rank: int
-    low: float | None
-    high: float | None
-    below: int
     inside: int
-    grid: tuple[float, ...] = ()
-    grid_start: int = 0
-    grid_size: int = 0
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0
     value: float | None = None
-    pivots: list[float] = field(default_factory=list)
-    sampled: int = 0
 
-    def holds(self, x: float) -> bool:
-        return (self.low is None or x > self.low) and (self.high is None or x < self.high)
+    @property
+    def interval(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
 
-    def choose_pivots(self, sample_rows: int) -> None:
+    def pivots(self, grid: list[float], sample_rows: int) -> set[float]:
         """Sampled values next to the wanted rank, four standard errors to each side."""
-        self.pivots, self.sampled = [], self.inside
-        usable = [x for x in self.grid if self.holds(x)]
-        if not usable:
-            return
-        share = min(max((self.rank - self.grid_start) / max(self.grid_size - 1, 1), 0.0), 1.0)
-        size = min(sample_rows, self.grid_size)
+        if not grid:
+            return set()
+        share = (self.rank - self.below) / max(self.inside - 1, 1)
+        size = min(sample_rows, self.inside)
         margin = math.ceil(4 * math.sqrt(share * (1 - share) / size) * GRID) + 1
         slot = int(share * GRID)
-        slots = [max(slot - margin, 0), slot, min(slot + 1, GRID), min(slot + 1 + margin, GRID)]
-        near = sorted({self.grid[i] for i in slots if self.holds(self.grid[i])})
-        self.pivots = near or [min(usable, key=lambda x: abs(x - self.grid[slot]))]
-        if len(self.pivots) > 1:
-            width = (slots[-1] - slots[0] + 1) / GRID
-            self.sampled = min(self.inside, math.ceil(self.grid_size * width))
+        return {grid[min(max(i, 0), GRID)]
+                for i in (slot - margin, slot, slot + 1, slot + 1 + margin)}
 
-    def sample_bounds(self) -> tuple[float | None, float | None]:
-        if len(self.pivots) > 1:
-            return self.pivots[0], self.pivots[-1]
-        return self.low, self.high
+    def settle(self, edges: list[tuple[float, int, int]]) -> None:
+        """Narrow by ascending (pivot, values below it, values up to it)."""
+        end = self.below + self.inside
+        for x, below, upto in edges:
+            if below <= self.rank < upto:
+                self.value = x
+                return
+            if upto <= self.rank and x > self.low:
+                self.low, self.below = x, upto
+            elif self.rank < below and x < self.high:
+                self.high, end = x, below
+                break
+        self.inside = end - self.below
 
 
 def count_columns(df: DataFrame, columns: list[str],
@@ -106,111 +107,159 @@ def values_at_ranks(df: DataFrame, counts: dict[str, ColumnCount], ranks: dict[s
     A rank at or past the number of non-null values gives None: NULLs sort last.
     """
     found: dict[str, dict[int, float | None]] = {c: {} for c in ranks}
-    searches: list[_Search] = []
+    asked: dict[str, list[int]] = {}
     for column, wanted in ranks.items():
-        present = counts[column].present
+        count = counts[column]
         for rank in sorted(set(wanted)):
-            if rank < 0 or rank >= present:
+            if rank < 0 or rank >= count.present:
                 found[column][rank] = None
-            elif rank == 0:
-                found[column][rank] = counts[column].low
-            elif rank == present - 1:
-                found[column][rank] = counts[column].high
+            elif rank in (0, count.present - 1):
+                found[column][rank] = count.low if rank == 0 else count.high
             else:
-                searches.append(_Search(column, rank, None, None, 0, present))
-    columns = sorted({s.column for s in searches})
-    if not columns:
+                asked.setdefault(column, []).append(rank)
+    if not asked:
         return found
-    names = {c: f"c{i}" for i, c in enumerate(columns)}
-    numbers = df.select(*[clean_number(df, c).alias(names[c]) for c in columns])
+    names = {c: f"c{i}" for i, c in enumerate(asked)}
+    # adding zero turns minus zero into zero
+    numbers = df.select(*[(clean_number(df, c) + F.lit(0.0)).alias(names[c]) for c in asked])
+    searches = [s for c in asked for s in _finite_searches(numbers, names[c], c, counts[c],
+                                                           asked[c])]
+    numbers = numbers.select(*[F.when(F.abs(x) < math.inf, F.col(x)).alias(x)
+                               for x in names.values()])
     while True:
         unsettled = [s for s in searches if s.value is None]
-        groups = {(s.column, s.low, s.high) for s in unsettled}
-        limit = max(gather_rows // max(len(groups), 1), 1)
+        limit = max(gather_rows // max(len({s.interval for s in unsettled}), 1), 1)
         wide = [s for s in unsettled if s.inside > limit]
         if not wide:
             break
-        _narrow(numbers, names, wide, sample_rows)
+        _narrow(numbers, names, wide, searches, sample_rows)
     _gather(numbers, names, [s for s in searches if s.value is None])
     for s in searches:
-        found[s.column][s.rank] = s.value
+        found[s.column][s.asked] = s.value
     return found
 
 
+def _finite_searches(numbers: DataFrame, name: str, column: str, count: ColumnCount,
+                     ranks: list[int]) -> list[_Search]:
+    """Searches among the finite values; ranks that fall on infinities are settled."""
+    first, finite = 0, count.present
+    if math.isinf(count.low) or math.isinf(count.high):
+        row = numbers.agg(F.count_if(F.col(name) == -math.inf).alias("low"),
+                          F.count_if(F.col(name) == math.inf).alias("high")).first()
+        first, finite = row["low"], count.present - row["low"] - row["high"]
+    searches = []
+    for rank in ranks:
+        search = _Search(column, rank, rank - first, finite)
+        if search.rank < 0:
+            search.value = -math.inf
+        elif search.rank >= finite:
+            search.value = math.inf
+        searches.append(search)
+    return searches
+
+
 def shares_sql(steps: int) -> str:
     """Evenly spaced shares 0..1 as one foldable array literal."""
     return ("cast(split('" + ",".join(repr(i / steps) for i in range(steps + 1))
             + "', ',') as array<double>)")
 
 
-def _within(number: str, low: float | None, high: float | None, rate: float = 1.0) -> str:
-    """SQL for a number column where it lies within open bounds, sampled at a rate."""
-    conditions = []
-    if low is not None:
-        conditions.append(f"{number} > cast('{low!r}' as double)")
-    if high is not None:
-        conditions.append(f"{number} < cast('{high!r}' as double)")
-    if rate < 1.0:
-        conditions.append(f"_draw < {rate!r}D")
-    return f"CASE WHEN {' AND '.join(conditions)} THEN {number} END" if conditions else number
+def _cut(numbers: DataFrame, names: dict[str, str],
+         edges: dict[str, set[float]]) -> tuple[DataFrame, dict[str, list[float]]]:
+    """Long rows (part, value) of every column, cut at its finite edges, and the edges.
 
+    Part ``i * PARTS + j`` holds the values of column i from edge j up to the next edge.
+    """
+    columns = list(edges)
+    splits = {c: [-math.inf, *sorted(x for x in edges[c] if math.isfinite(x)), math.inf]
+              for c in columns}
+    cut = [c for c in columns if len(splits[c]) > 2]
+    frame = numbers
+    if cut:
+        frame = Bucketizer(splitsArray=[splits[c] for c in cut],
+                           inputCols=[names[c] for c in cut],
+                           outputCols=[f"part_{names[c]}" for c in cut]).transform(numbers)
+    cells = []
+    for i, c in enumerate(columns):
+        part = F.col(f"part_{names[c]}") if c in cut else F.lit(0.0)
+        cells.append((part + F.lit(float(i * PARTS))).cast("int"))
+        cells.append(F.col(names[c]))
+    rows = frame.select(F.stack(F.lit(len(columns)), *cells).alias("part", "value"))
+    return rows.where("value IS NOT NULL"), splits
 
-def _narrow(numbers: DataFrame, names: dict[str, str], searches: list[_Search],
-            sample_rows: int) -> None:
-    """One pass: place each wanted rank among its pivots and sample the gap around it."""
-    aggregates: dict[tuple, Column] = {}
+
+def _after(x: float) -> float:
+    """The next larger double: values from here on are strictly larger than x."""
+    return math.nextafter(x, math.inf)
+
+
+def _candidates(numbers: DataFrame, names: dict[str, str],
+                searches: list[_Search]) -> tuple[DataFrame, dict[tuple, int]]:
+    """Long rows (part, value) of the searches' candidates only, and each interval's part."""
+    edges: dict[str, set[float]] = {}
     for s in searches:
-        s.choose_pivots(sample_rows)
-        number = names[s.column]
-        for x in s.pivots:
-            aggregates[(s.column, "below", x)] = F.count_if(F.col(number) < F.lit(x))
-            aggregates[(s.column, "upto", x)] = F.count_if(F.col(number) <= F.lit(x))
-        bounds = s.sample_bounds()
-        values = _within(number, *bounds, rate=sample_rows / max(s.sampled, 1))
-        aggregates[(s.column, "grid", *bounds)] = F.expr(
-            f"percentile_approx({values}, {shares_sql(GRID)}, {ACCURACY})")
-    keys = list(aggregates)
-    row = numbers.select("*", F.rand(7).alias("_draw")).agg(*[aggregates[k].alias(f"a{i}") for i, k in enumerate(keys)]).first()
-    results = {k: row[f"a{i}"] for i, k in enumerate(keys)}
+        start = s.low if s.low == -math.inf else _after(s.low)
+        edges.setdefault(s.column, set()).update((start, s.high))
+    rows, splits = _cut(numbers, names, edges)
+    columns = list(edges)
+    parts = {}
     for s in searches:
-        _settle(s, results)
-
-
-def _settle(s: _Search, results: dict) -> None:
-    grid = tuple(results[(s.column, "grid", *s.sample_bounds())] or ())
-    end = s.below + s.inside
-    edges = [(x, results[(s.column, "below", x)], results[(s.column, "upto", x)])
-             for x in s.pivots]
-    grid_start, grid_end = s.below, end
-    if len(edges) > 1:
-        grid_start, grid_end = edges[0][2], edges[-1][1]
-    for x, below, upto in edges:
-        if below <= s.rank < upto:
-            s.value = x
-            return
-        if upto <= s.rank:
-            s.low, s.below = x, upto
-        elif below < end:
-            s.high, end = x, below
-    s.inside = end - s.below
-    s.grid, s.grid_start, s.grid_size = grid, grid_start, max(grid_end - grid_start, 1)
+        start = s.low if s.low == -math.inf else _after(s.low)
+        parts[s.interval] = columns.index(s.column) * PARTS + splits[s.column].index(start)
+    return rows.where(F.col("part").isin(*parts.values())), parts
 
 
-def _gather(numbers: DataFrame, names: dict[str, str], searches: list[_Search]) -> None:
-    """One pass over the remaining candidates; searches of one interval share them."""
-    groups: dict[tuple, list[_Search]] = {}
+def _narrow(numbers: DataFrame, names: dict[str, str], wide: list[_Search],
+            searches: list[_Search], sample_rows: int) -> None:
+    """One round: sample the candidates of each interval, then place ranks among pivots."""
+    rows, parts = _candidates(numbers, names, wide)
+    rates = {parts[s.interval]: min(sample_rows / s.inside, 1.0) for s in wide}
+    rate = F.create_map(*[F.lit(x) for item in rates.items() for x in item])[F.col("part")]
+    grids = {r["part"]: r["grid"] for r in rows.where(F.rand() < rate).groupBy("part").agg(
+        F.expr(f"percentile_approx(value, {shares_sql(GRID)}, {ACCURACY})").alias("grid")
+    ).collect()}
+    pivots: dict[str, set[float]] = {}
+    for s in wide:
+        near = s.pivots(grids.get(parts[s.interval]), sample_rows)
+        if near:
+            pivots.setdefault(s.column, set()).update(near)
+    if not pivots:
+        return
+    placed = _place(numbers, names, pivots)
     for s in searches:
-        groups.setdefault((s.column, s.low, s.high), []).append(s)
-    if not groups:
+        if s.value is None and s.column in placed:
+            s.settle(placed[s.column])
+
+
+def _place(numbers: DataFrame, names: dict[str, str],
+           pivots: dict[str, set[float]]) -> dict[str, list[tuple[float, int, int]]]:
+    """Exact (pivot, values below, values up to) by counting the parts between pivots."""
+    rows, splits = _cut(numbers, names,
+                        {c: xs | {_after(x) for x in xs} for c, xs in pivots.items()})
+    counted = {r["part"]: r["count"] for r in rows.groupBy("part").count().collect()}
+    placed = {}
+    for i, c in enumerate(pivots):
+        upto, total = {}, 0
+        for j, end in enumerate(splits[c][1:]):
+            total += counted.get(i * PARTS + j, 0)
+            upto[end] = total
+        placed[c] = [(x, upto[x], upto[_after(x)]) for x in sorted(pivots[c])]
+    return placed
+
+
+def _gather(numbers: DataFrame, names: dict[str, str], searches: list[_Search]) -> None:
+    """One pass over the remaining candidates: each interval's are sorted in one task."""
+    if not searches:
         return
-    aggregates = []
-    for i, ((column, low, high), members) in enumerate(groups.items()):
-        # the middle of the wanted rank's share, so the discrete percentile is that rank
-        shares = ", ".join(f"{(s.rank - s.below + 0.5) / s.inside!r}D" for s in members)
-        values = _within(names[column], low, high)
-        aggregates.append(F.expr(
-            f"percentile_disc(array({shares})) WITHIN GROUP (ORDER BY {values})").alias(f"v{i}"))
-    row = numbers.agg(*aggregates).first()
-    for i, members in enumerate(groups.values()):
-        for s, value in zip(members, row[f"v{i}"]):
-            s.value = value
+    rows, parts = _candidates(numbers, names, searches)
+    places: dict[int, list[int]] = {}
+    for s in searches:
+        places.setdefault(parts[s.interval], []).append(s.rank - s.below)
+    wanted = F.create_map(*[x for part, at in places.items()
+                            for x in (F.lit(part), F.array(*[F.lit(i) for i in at]))])
+    lists = rows.groupBy("part").agg(F.sort_array(F.collect_list("value")).alias("list"))
+    picked = lists.select("part", F.transform(wanted[F.col("part")],
+                                              lambda i: F.col("list")[i]).alias("values"))
+    values = {r["part"]: dict(zip(places[r["part"]], r["values"])) for r in picked.collect()}
+    for s in searches:
+        s.value = values[parts[s.interval]][s.rank - s.below]

@@ -18,6 +18,7 @@ def numbers(spark, tmp_path_factory):
         "hot": np.where(rng.random(N) < 0.4, 7.0, rng.exponential(size=N) * 10),
         "gaps": np.where(rng.random(N) < 0.05, np.nan, rng.random(N)),
         "same": np.full(N, 0.1),
+        "endless": rng.choice([-np.inf, np.inf, 0.0, -0.0, 1.5, 5e-324], N),
         "wild": np.where(rng.random(N) < 0.001, 1e300, rng.random(N) * 1e-300),
     })
     path = str(tmp_path_factory.mktemp("ranks") / "numbers")
