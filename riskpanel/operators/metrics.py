@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskpanel.functions.columns import ref, require
+from riskpanel.functions.columns import TEMPORAL_TYPES, ref, require
 from riskpanel.functions.numbers import ratio, ratio_or_zero
 from riskpanel.operators.ranks import shares_sql
 
@@ -132,54 +133,66 @@ def _ranked(df: DataFrame, label_col: str, score_col: str, prediction_col: str |
     and order of the ordered pass, whatever the number of groups.
     """
     require(df, [label_col, score_col, *by])
-    # groups and slots are structs: never NULL themselves, so a plain equi-join
-    # matches groups whose value is NULL and needs no other partitioning
-    group = F.struct(*[ref(b).alias(f"k{i}") for i, b in enumerate(by)] or [F.lit(0).alias("k")])
+    # a group value that may be NULL becomes a non-null pair, so a plain equi-join
+    # matches it and infers no filter that would set the two branches apart
+    keys = [k for i in range(len(by)) for k in (f"_k{i}", f"_null{i}")] or ["_k"]
+    key_columns = [k for i, b in enumerate(by) for k in (
+        F.coalesce(ref(b), _stand_in(df.schema[b].dataType)).alias(f"_k{i}"),
+        ref(b).isNull().alias(f"_null{i}"))] or [F.lit(0).alias("_k")]
     hit = ref(prediction_col).cast("int") if prediction_col else F.lit(0)
-    base = df.select(group.alias("_group"), ref(label_col).cast("int").alias("_y"),
+    base = df.select(*key_columns, ref(label_col).cast("int").alias("_y"),
                      ref(score_col).cast("double").alias("_score"), hit.alias("_hat"))
     bounds = _score_bounds(base, buckets)
+    bucket = F.lit(0)
     if bounds:
         cutter = Bucketizer(splits=[float("-inf"), *bounds, float("inf")],
-                            inputCol="_score", outputCol="_bucket")
+                            inputCol="_score", outputCol="_part")
         base = cutter.transform(base)
-    else:
-        base = base.withColumn("_bucket", F.lit(0.0))
+        bucket = F.coalesce(F.col("_part").cast("int"), F.lit(-1))
     positive, claimed = F.col("_y") == 1, F.col("_hat") == 1
-    slot = F.struct("_group", "_bucket").alias("_slot")
-    scores = base.groupBy(slot, "_score").agg(
+    slot = [*keys, "_bucket"]
+    scores = base.groupBy(*keys, bucket.alias("_bucket"), "_score").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(positive).alias("pos"),
         F.count_if(claimed).alias("claimed"), F.count_if(positive & claimed).alias("hits"))
 
     # Both branches below read every count of ``scores``, so they plan the same
     # exchange and Spark computes the grouped table once.
-    whole = Window.partitionBy("_slot._group")
-    above = (whole.orderBy(F.desc("_slot._bucket"))
-             .rowsBetween(Window.unboundedPreceding, -1))
+    whole = Window.partitionBy(*keys)
+    above = whole.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     sums = [F.sum(c).alias(f"b_{c}") for c in ("n", "pos", "claimed", "hits")]
-    offsets = scores.groupBy("_slot").agg(*sums).select(
-        "_slot",
+    offsets = scores.groupBy(*slot).agg(*sums).select(
+        *slot,
         F.coalesce(F.sum("b_n").over(above), F.lit(0)).alias("n_above"),
         F.coalesce(F.sum("b_pos").over(above), F.lit(0)).alias("pos_above"),
         *[F.sum(f"b_{c}").over(whole).alias(f"all_{c}") for c in ("n", "pos", "claimed", "hits")])
-    inner = (Window.partitionBy("_slot").orderBy(F.desc("_score"))
+    inner = (Window.partitionBy(*slot).orderBy(F.desc("_score"))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     running = (scores
                .select("*", F.sum("n").over(inner).alias("cum_n"),
                        F.sum("pos").over(inner).alias("cum_pos"))
-               .join(offsets, "_slot")
+               .join(offsets, slot)
                .withColumn("upto_n", F.col("cum_n") + F.col("n_above"))
                .withColumn("upto_pos", F.col("cum_pos") + F.col("pos_above")))
     gained = F.col("pos").cast("double") * F.col("upto_pos") / F.col("upto_n")
     neg = F.col("n") - F.col("pos")
     negatives_below = (F.col("all_n") - F.col("all_pos")) - (F.col("upto_n") - F.col("upto_pos"))
     ordered = F.col("pos").cast("double") * (negatives_below + neg / 2.0)
-    totals = running.groupBy(F.col("_slot._group").alias("_group")).agg(
+    totals = running.groupBy(*keys).agg(
         F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum("claimed").alias("claimed"),
         F.sum("hits").alias("hits"), F.sum(gained).alias("gained"),
         F.sum(ordered).alias("ordered"),
         *[F.max(f"all_{c}").alias(f"all_{c}") for c in ("n", "pos", "claimed", "hits")])
-    return totals.select(*[F.col(f"_group.k{i}").alias(b) for i, b in enumerate(by)], *_metrics())
+    groups = [F.when(~F.col(f"_null{i}"), F.col(f"_k{i}")).alias(b) for i, b in enumerate(by)]
+    return totals.select(*groups, *_metrics())
+
+
+def _stand_in(data_type: T.DataType) -> Column:
+    """A value of the type, put where a group value is NULL."""
+    if isinstance(data_type, T.StringType):
+        return F.lit("")
+    if isinstance(data_type, TEMPORAL_TYPES):
+        return F.lit("1970-01-01").cast(data_type)
+    return F.lit(0).cast(data_type)
 
 
 def _metrics() -> list[Column]:

@@ -6,6 +6,7 @@ aggregate, and per-value sections share one grouped table of (column, value).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +23,8 @@ from riskpanel.operators.ranks import GATHER_ROWS
 # Quantiles of the numeric section.
 PROFILE_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
 MAX_K = 1_000
+SMALL_ROWS = 1_000_000
+CUT_SHARES = (0.001, 0.05, None)
 
 
 def _value(df: DataFrame, name: str) -> Column:
@@ -250,22 +253,66 @@ def duplicate_summary(df: DataFrame, columns: list[str] | None = None) -> DataFr
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_surplus"))
 
 
-def extremes(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
+def extremes(df: DataFrame, columns: list[str] | None = None, k: int = 5,
+             small_rows: int = SMALL_ROWS) -> DataFrame:
     """Rows (column, side, position, value, n): the k smallest and largest distinct
-    values of each numeric column. Each task keeps only its own k per column and side."""
+    values of each numeric column, at most 2 k rows per column.
+
+    On a table of more than ``small_rows`` rows only values beyond a sampled cut
+    are grouped. A side that finds k distinct values there has found the right
+    ones; any other is done again with a wider cut, at last with none.
+    """
     _check_k(k)
     columns = numeric_columns(df) if columns is None else columns
-    numbers = df.select(*[clean_number(df, c).alias(c) for c in columns])
-    counted = (numbers.unpivot([], [ref(c) for c in columns], "column", "value")
-               .where("value IS NOT NULL").groupBy("column", "value")
-               .agg(F.count(F.lit(1)).alias("n")))
-
-    def side(name: str, order: Column) -> DataFrame:
+    numbers = df.select(*[(clean_number(df, c) + F.lit(0.0)).alias(c) for c in columns])
+    total = numbers.count()
+    pending = {(c, side) for c in columns for side in ("smallest", "largest")}
+    kept = []
+    for share in CUT_SHARES if total > small_rows else CUT_SHARES[-1:]:
+        open_columns = [c for c in columns if {(c, "smallest"), (c, "largest")} & pending]
+        cuts = _cuts(numbers, open_columns, share, min(small_rows / max(total, 1), 1.0))
+        found: dict[tuple[str, str], list] = {}
+        for r in _beyond(numbers, cuts, k).collect():
+            found.setdefault((r["column"], r["side"]), []).append(tuple(r))
+        for side in sorted(pending):
+            if share is None or len(found.get(side, ())) == k:
+                kept += found.get(side, [])
+                pending.discard(side)
+        if not pending:
+            break
+    return df.sparkSession.createDataFrame(
+        kept, "column string, side string, position int, value double, n bigint")
+
+
+def _cuts(numbers: DataFrame, columns: list[str], share: float | None,
+          rate: float) -> dict[str, tuple[float, float]]:
+    """Per column a low and a high cut near the given share of a sample from each end."""
+    if share is None:
+        return {c: (math.inf, -math.inf) for c in columns}
+    drawn = numbers.where(F.rand() < rate)
+    row = drawn.agg(*[F.percentile_approx(ref(c), [share, 1 - share], 10_000).alias(f"q{i}")
+                      for i, c in enumerate(columns)]).first()
+    return {c: tuple(row[f"q{i}"] or (math.inf, -math.inf)) for i, c in enumerate(columns)}
+
+
+def _beyond(numbers: DataFrame, cuts: dict[str, tuple[float, float]], k: int) -> DataFrame:
+    """The k outermost distinct values beyond the cuts, by column and side. Each task
+    keeps only its own k per column and side before the last shuffle."""
+    low, high = (F.create_map(*[F.lit(x) for c, ends in cuts.items() for x in (c, ends[i])])
+                 [F.col("column")] for i in (0, 1))
+    value = F.col("value")
+    counted = (numbers.unpivot([], [ref(c) for c in cuts], "column", "value")
+               .where(value.isNotNull() & ((value <= low) | (value >= high)))
+               .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+
+    def side(name: str, beyond: Column, order: Column) -> DataFrame:
         position = F.row_number().over(Window.partitionBy("column").orderBy(order))
-        return (counted.withColumn("position", position).where(F.col("position") <= k)
+        return (counted.where(beyond).withColumn("position", position)
+                .where(F.col("position") <= k)
                 .select("column", F.lit(name).alias("side"), "position", "value", "n"))
 
-    return side("smallest", F.asc("value")).unionByName(side("largest", F.desc("value")))
+    return side("smallest", value <= low, F.asc("value")).unionByName(
+        side("largest", value >= high, F.desc("value")))
 
 
 def first_rows(df: DataFrame, k: int = 10) -> DataFrame:

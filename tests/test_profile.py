@@ -131,8 +131,10 @@ def test_duplicates(spark):
     assert tuple(profile.duplicate_summary(df, ["k", "v"]).first()) == (2, 3)
 
 
-def test_extremes(df, pdf):
-    rows = profile.extremes(df, ["x", "zero"], 3).collect()
+@pytest.mark.parametrize("small_rows", [1_000_000, 200, 20])
+def test_extremes(df, pdf, small_rows):
+    rows = profile.extremes(df, ["x", "zero", "same"], 3, small_rows).collect()
+    assert [(r["value"], r["n"]) for r in rows if r["column"] == "same"] == [(0.1, 300)] * 2
     for c in ("x", "zero"):
         ordered = sorted(pdf[c].unique())
         small = [r["value"] for r in sorted(rows, key=lambda r: r["position"])
