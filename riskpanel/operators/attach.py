@@ -11,7 +11,7 @@ from riskpanel.operators.series import DuplicateKeys
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1_000
-SALTS = 256
+MAX_SALTS = 10_000
 
 
 def attach(df: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
@@ -77,11 +77,12 @@ def _salted_join(df: DataFrame, lookup: DataFrame, keys: list[str], how: str) ->
     marks = F.broadcast(df.sparkSession.createDataFrame(hot, schema)
                         .withColumn("_hot", F.lit(True)))
     # the scan partition is a salt that stays the same when a task is run again
-    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    salts = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SALTS)
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
     salted = (df.withColumn("_part", salt).join(marks, keys, "left")
               .withColumn("_salt", F.when(F.col("_hot"), F.col("_part")).otherwise(F.lit(0)))
               .drop("_hot", "_part"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0)))
     spread = (lookup.join(marks, keys, "left")
               .withColumn("_salt", F.explode(copies)).drop("_hot"))

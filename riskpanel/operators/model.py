@@ -163,9 +163,9 @@ def load_model(spark: SparkSession, path: str) -> FittedModel:
                        trees)
 
 
-def feature_importance(model: FittedModel, kind: str = "split",
-                       path: str | None = None) -> DataFrame:
-    """Rows (feature, importance) for every feature, highest first.
+def feature_importance(model: FittedModel, kind: str = "split", path: str | None = None,
+                       ascending: bool = False) -> DataFrame:
+    """Rows (feature, importance) for every feature, highest first unless ``ascending``.
 
     ``split`` counts the tree nodes that split on the feature or on its missing
     flag, read from the node table of the saved model (saved to ``path``, or to
@@ -191,4 +191,4 @@ def feature_importance(model: FittedModel, kind: str = "split",
     # both sides hold at most one row per model input
     return (names.join(F.broadcast(used), "slot", "left").groupBy("feature")
             .agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("importance"))
-            .orderBy(F.desc("importance"), "feature"))
+            .orderBy(F.asc("importance") if ascending else F.desc("importance"), "feature"))

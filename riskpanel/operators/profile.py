@@ -24,6 +24,7 @@ from riskpanel.operators.ranks import GATHER_ROWS
 PROFILE_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
 MAX_K = 1_000
 SMALL_ROWS = 1_000_000
+EXACT_IN_DOUBLE = (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)
 CUT_SHARES = (0.001, 0.05, None)
 
 
@@ -34,7 +35,7 @@ def _value(df: DataFrame, name: str) -> Column:
 def _text(df: DataFrame, name: str) -> Column:
     value = _value(df, name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        value = value + F.lit(0.0)  # minus zero is zero
+        value = value + F.lit(0.0)
     return value.cast("string")
 
 
@@ -60,8 +61,9 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None,
     """Rows (column, n_distinct): one sketch per column, or one exact shuffle for all."""
     columns = df.columns if columns is None else columns
     if exact:
-        counted = value_counts(df, columns).groupBy("column").agg(
-            F.count(F.lit(1)).alias("n_distinct"))
+        as_double = all(isinstance(df.schema[c].dataType, EXACT_IN_DOUBLE) for c in columns)
+        values = number_counts(df, columns) if as_double else value_counts(df, columns)
+        counted = values.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
         every = _stacked(df.sparkSession.range(1), [
             F.struct(F.lit(c).alias("column")) for c in columns])
         return every.join(F.broadcast(counted), "column", "left").select(
@@ -130,8 +132,18 @@ def quantiles(df: DataFrame, columns: list[str] | None = None,
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows (column, value, n) over the non-null values of all columns, as text."""
-    texts = df.select(*[_text(df, c).alias(c) for c in columns])
-    stacked = texts.unpivot([], [ref(c) for c in columns], "column", "value")
+    return _counted(df.select(*[_text(df, c).alias(c) for c in columns]), columns)
+
+
+def number_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (column, value, n) over the non-null values of numeric columns, as doubles."""
+    # adding zero turns minus zero into zero
+    numbers = df.select(*[(clean_number(df, c) + F.lit(0.0)).alias(c) for c in columns])
+    return _counted(numbers, columns)
+
+
+def _counted(values: DataFrame, columns: list[str]) -> DataFrame:
+    stacked = values.unpivot([], [ref(c) for c in columns], "column", "value")
     return (stacked.where("value IS NOT NULL").groupBy("column", "value")
             .agg(F.count(F.lit(1)).alias("n")))
 

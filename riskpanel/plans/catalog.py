@@ -52,12 +52,13 @@ SPLIT_CASE = f"""CASE WHEN "Date" < TIMESTAMP '{T.VAL_START}' THEN 'train'
        WHEN "Date" < TIMESTAMP '{T.TEST_START}' THEN 'val' ELSE 'test' END"""
 
 
-def register(oracle: str | None = None):
-    """Register a query under its function's name."""
+def register(oracle: str | None = None, name: str | None = None):
+    """Register a query under its function's name, or the given one."""
     def add(build: Build) -> Build:
-        QUERIES[build.__name__] = build
+        key = name or build.__name__
+        QUERIES[key] = build
         if oracle is not None:
-            ORACLES[build.__name__] = oracle
+            ORACLES[key] = oracle
         return build
     return add
 
@@ -186,13 +187,14 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- winsorizing and scaling ------------------------------------------------
 
-def winsor_sql(source: str, column: str, name: str, ignore_nulls: bool = False) -> str:
-    """CTEs giving ``name``(o_orderkey, column) by ranks over the sorted column."""
+def winsor_sql(source: str, column: str, name: str, ignore_nulls: bool = False,
+               fit: str | None = None) -> str:
+    """CTEs giving ``name``(o_orderkey, column) by ranks over the sorted column of ``fit``."""
     counted = "count(x)" if ignore_nulls else "count(*)"
     return f"""
 {name}_r AS (
-  SELECT o_orderkey, {column} AS x,
-         row_number() OVER (ORDER BY {column} NULLS LAST) - 1 AS r FROM {source}),
+  SELECT {column} AS x, row_number() OVER (ORDER BY {column} NULLS LAST) - 1 AS r
+  FROM {fit or source}),
 {name}_n AS (
   SELECT n, m, floor(0.05::DOUBLE * n)::BIGINT AS u
   FROM (SELECT {counted} AS n, count(x) AS m FROM {name}_r)),
@@ -203,7 +205,7 @@ def winsor_sql(source: str, column: str, name: str, ignore_nulls: bool = False)
   SELECT o_orderkey, CASE WHEN u = 0 THEN x WHEN m <= u THEN NULL WHEN x < lo THEN lo
               WHEN n - m <= u AND x > hi THEN hi
               WHEN n - m <= u AND n > m AND x IS NULL THEN hi ELSE x END AS {column}
-  FROM {name}_r, {name}_c)
+  FROM (SELECT o_orderkey, {column} AS x FROM {source}), {name}_c)
 """
 
 
@@ -248,7 +250,7 @@ def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), 6) AS mean, min({c}) AS "min",
        round(quantile_cont({c}, 0.25), 6) AS "25%", round(quantile_cont({c}, 0.5), 6) AS "50%",
        round(quantile_cont({c}, 0.75), 6) AS "75%", max({c}) AS "max",
-       round(stddev_samp({c}), 6) AS std FROM panel_t""" for c in PROFILED))
+       round(stddev_samp({c}), 6) AS std FROM panel_t""" for c in PROFILED), name="describe")
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(describe_numbers(T.panel(spark, sf_dir), PROFILED))
 
@@ -262,7 +264,7 @@ SELECT name AS "column", count(us) AS "count", make_timestamp((sum(us) // count(
        make_timestamp(min(us)) AS "min", {_moment('0.25')} AS "25%", {_moment('0.5')} AS "50%",
        {_moment('0.75')} AS "75%", make_timestamp(max(us)) AS "max", NULL::DOUBLE AS std
 FROM (SELECT 'Date' AS name, epoch_us("Date") AS us FROM panel_t) GROUP BY name
-""")
+""", name="describe_dates")
 def describe_panel_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe_dates(T.panel(spark, sf_dir), ["Date"])
 
@@ -280,7 +282,7 @@ def describe_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("WITH" + PANEL_SQL + """
 SELECT strftime(min("Date") - INTERVAL 1 DAY, '%Y-%m-%d') AS "start",
        strftime(max("Date") + INTERVAL 1 DAY, '%Y-%m-%d') AS "end" FROM panel_t
-""")
+""", name="date_range")
 def panel_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_range(T.panel(spark, sf_dir))
 
@@ -351,29 +353,42 @@ def aux_join_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach(rows, daily_return(spark, sf_dir), ["symbol", "Date"])
 
 
-PREPARE_SQL = "WITH" + PANEL_SQL + "," + MARKET_SQL.replace(
-    "FROM orders),", f"FROM orders WHERE o_orderdate > TIMESTAMP '{T.CUTOFF}'),").replace(
-    "c FROM grid_t g LEFT JOIN prices_t p USING (symbol, d)",
-    "c FROM grid_t g LEFT JOIN prices_t p USING (symbol, d)") + f""",
+def prepare_sql(fit_where: str) -> str:
+    """The whole preparation, with caps and bounds fitted on the rows of a condition."""
+    calendar = MARKET_SQL.replace(
+        "FROM orders),", f"FROM orders WHERE o_orderdate > TIMESTAMP '{T.CUTOFF}'),")
+    return "WITH" + PANEL_SQL + "," + calendar + f""",
 recent_t AS (SELECT * FROM panel_t WHERE "Date" > TIMESTAMP '{T.CUTOFF}'),
-{",".join(winsor_sql("recent_t", c, f"w_{c}") for c in FEATURES)},
+fit_t AS (SELECT * FROM recent_t WHERE {fit_where}),
+{",".join(winsor_sql("recent_t", c, f"w_{c}", fit="fit_t") for c in FEATURES)},
 capped_t AS (
   SELECT r.o_orderkey, r."Date", r.cat, r.y, {", ".join(f"w_{c}.{c}" for c in FEATURES)}
-  FROM recent_t r {" ".join(f"JOIN w_{c} USING (o_orderkey)" for c in FEATURES)})
+  FROM recent_t r {" ".join(f"JOIN w_{c} USING (o_orderkey)" for c in FEATURES)}),
+bound_t AS (SELECT * FROM capped_t WHERE {fit_where})
 SELECT k.o_orderkey::VARCHAR AS "CompNo", k."Date", k.y AS "Y",
-       {", ".join(scale_sql(c, "capped_t") for c in FEATURES)},
+       {", ".join(scale_sql(c, "bound_t") for c in FEATURES)},
        {FLAGS_SQL.replace('"cat_', '"INDUSTRY2_')}, a."Close", a."Return"
 FROM capped_t k LEFT JOIN return_t a ON k."Date" = a."Date"::TIMESTAMP
 """
 
 
-@register(PREPARE_SQL)
-def prepare_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _prepared(spark: SparkSession, sf_dir: str, fit_on: str) -> DataFrame:
     prepared, _ = prepare_panel(T.flow_panel(spark, sf_dir), T.market_prices(spark, sf_dir),
-                                "INDUSTRY2", T.CUTOFF, T.MARKET)
+                                "INDUSTRY2", T.CUTOFF, T.MARKET, fit_on=fit_on,
+                                val_start=T.VAL_START, test_start=T.TEST_START)
     return prepared.drop("Company_name")
 
 
+@register(prepare_sql("TRUE"))
+def prepare_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prepared(spark, sf_dir, "all")
+
+
+@register(prepare_sql(f"""\"Date\" < TIMESTAMP '{T.VAL_START}'"""))
+def prepare_flow_fit_on_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prepared(spark, sf_dir, "train")
+
+
 # --- metrics ----------------------------------------------------------------
 
 @register("""
@@ -478,7 +493,7 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("WITH" + PANEL_SQL + " UNION ALL ".join(f"""
 SELECT '{a}' AS col_x, '{b}' AS col_y, round(corr({a}, {b}), 6) AS corr FROM panel_t"""
-          for a in [*PROFILED, "y"] for b in [*PROFILED, "y"]))
+          for a in [*PROFILED, "y"] for b in [*PROFILED, "y"]), name="correlation_matrix")
 def correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(correlation_matrix(T.panel(spark, sf_dir), [*PROFILED, "y"]))
 
@@ -502,7 +517,7 @@ trial_t AS (
   FROM scored_t, (SELECT unnest(generate_series(1, 19)) AS i) GROUP BY 1, 2)
 SELECT trial_id, threshold, round(metric, 9) AS metric FROM trial_t
 ORDER BY trial_t.metric DESC, trial_id LIMIT 1
-""")
+""", name="best_trial")
 def best_threshold_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trials are decision thresholds of the scored panel, measured by accuracy."""
     scored = T.scored_panel(spark, sf_dir)

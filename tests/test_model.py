@@ -80,6 +80,8 @@ def test_importance_counts_splits(spark, model, features, folder):
     assert {r["feature"] for r in counts} == {"a", "b", "flag", "empty"}
     amounts = [r["importance"] for r in counts]
     assert amounts == sorted(amounts, reverse=True) and amounts[-1] == 0
+    upwards = feature_importance(model, path=f"{folder}/trees", ascending=True).collect()
+    assert [r["importance"] for r in upwards] == amounts[::-1]
     nodes = sum(t.numNodes - (t.numNodes + 1) // 2 for t in model.trees.trees)
     assert sum(amounts) == nodes  # a binary tree of n nodes has (n - 1) / 2 splits
     gains = feature_importance(model, "gain").collect()
