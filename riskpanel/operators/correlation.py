@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,11 @@ from pyspark.sql import functions as F
 
 from riskpanel.functions.columns import clean_number, numeric_columns
 from riskpanel.functions.numbers import ratio, round_half_even
+from riskpanel.operators.ranks import ColumnCount, count_columns
+
+# Pairs per aggregate: few enough for the compiled code of one aggregate to stay fast.
+COMPLETE_PAIRS = 20
+GAPPED_PAIRS = 4
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
@@ -17,47 +23,62 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
 
     Each pair uses the rows where both are present; a column that is constant
     there has no correlation, not even with itself. A first pass takes counts,
-    means and bounds. In the second, pairs of complete columns need one plain
-    sum of centred products each; only pairs with gaps need joint moments.
+    means and spreads. After it a pair of complete columns needs one plain sum
+    of centred products; only a pair with gaps needs joint moments.
     """
     columns = numeric_columns(df) if columns is None else columns
+    counts = count_columns(df, columns, [F.avg("value").alias("mean"),
+                                         F.stddev_pop("value").alias("std")])
     numbers = df.select(*[clean_number(df, c).alias(f"x{i}") for i, c in enumerate(columns)])
-    size = range(len(columns))
-    first = numbers.agg(F.count(F.lit(1)).alias("rows"), *[
-        a for i in size for a in (
-            F.count(f"x{i}").alias(f"n{i}"), F.avg(f"x{i}").alias(f"mean{i}"),
-            F.min(f"x{i}").alias(f"min{i}"), F.max(f"x{i}").alias(f"max{i}"))]).first()
-    complete = [first[f"n{i}"] == first["rows"] for i in size]
-    # a constant centred on itself is exactly zero; its rounded mean may not be
-    centre = [first[f"min{i}"] if first[f"min{i}"] == first[f"max{i}"] else first[f"mean{i}"]
-              for i in size]
-    pairs = [(i, i) for i in size] + list(combinations(size, 2))
-    sums: list[Column] = []
-    for i, j in pairs:
-        if complete[i] and complete[j]:
-            product = (F.col(f"x{i}") - F.lit(centre[i])) * (F.col(f"x{j}") - F.lit(centre[j]))
-            sums.append(F.sum(product).alias(f"s{i}_{j}"))
-        else:
-            sums += _joint_moments(i, j)
-    totals = numbers.agg(*sums)
-    cells = []
-    for i, j in pairs:
+    complete = [counts[c].present == counts[c].rows for c in columns]
+    plain, gapped = [], []
+    for i, j in combinations(range(len(columns)), 2):
         if complete[i] and complete[j]:
-            spread = F.sqrt(F.col(f"s{i}_{i}")) * F.sqrt(F.col(f"s{j}_{j}"))
-            value = ratio(F.col(f"s{i}_{j}"), spread)
+            plain.append((i, j, _centred(i, j, counts[columns[i]], counts[columns[j]])))
         else:
-            value = ratio(F.col(f"c{i}_{j}"), F.col(f"a{i}_{j}") * F.col(f"b{i}_{j}"))
-        # rounding may overshoot by the last bit; least() alone would skip NULL
-        value = F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(1.0)), F.lit(-1.0)))
-        value = value if digits is None else round_half_even(value, digits)
-        for x, y in {(i, j), (j, i)}:
-            cells.append(F.struct(F.lit(columns[x]).alias("col_x"),
-                                  F.lit(columns[y]).alias("col_y"), value.alias("corr")))
-    return totals.select(F.inline(F.array(*cells)))
-
-
-def _joint_moments(i: int, j: int) -> list[Column]:
-    x, y = F.col(f"x{i}"), F.col(f"x{j}")
-    return [F.covar_pop(x, y).alias(f"c{i}_{j}"),
-            F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"a{i}_{j}"),
-            F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"b{i}_{j}")]
+            gapped.append((i, j, _joint(i, j)))
+    tables = [_batch(numbers, plain[k:k + COMPLETE_PAIRS])
+              for k in range(0, len(plain), COMPLETE_PAIRS)]
+    tables += [_batch(numbers, gapped[k:k + GAPPED_PAIRS])
+               for k in range(0, len(gapped), GAPPED_PAIRS)]
+    diagonal = [(i, i, 1.0 if _varies(counts[c]) else None) for i, c in enumerate(columns)]
+    tables.append(df.sparkSession.createDataFrame(diagonal, "i int, j int, corr double"))
+    half = reduce(DataFrame.unionByName, tables)
+
+    # rounding may overshoot by the last bit; least() alone would skip NULL
+    corr = F.when(F.col("corr").isNotNull(),
+                  F.greatest(F.least(F.col("corr"), F.lit(1.0)), F.lit(-1.0)))
+    corr = corr if digits is None else round_half_even(corr, digits)
+    names = F.array(*[F.lit(c) for c in columns])
+    both = F.array_distinct(F.array(F.struct(F.col("i").alias("x"), F.col("j").alias("y")),
+                                    F.struct(F.col("j").alias("x"), F.col("i").alias("y"))))
+    return half.select(F.inline(both), corr.alias("corr")).select(
+        names[F.col("x")].alias("col_x"), names[F.col("y")].alias("col_y"), "corr")
+
+
+def _batch(numbers: DataFrame, pairs: list[tuple[int, int, Column]]) -> DataFrame:
+    """Rows (i, j, corr) of some pairs, from one aggregate."""
+    totals = numbers.agg(*[corr.alias(f"r{k}") for k, (_, _, corr) in enumerate(pairs)])
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"r{k}").alias("corr"))
+        for k, (i, j, _) in enumerate(pairs)])))
+
+
+def _varies(count: ColumnCount) -> bool:
+    """Whether a column has two values; a merged spread of equal values may not be zero."""
+    return count.low is not None and count.low < count.high
+
+
+def _centred(i: int, j: int, first: ColumnCount, second: ColumnCount) -> Column:
+    if not (_varies(first) and _varies(second)):
+        return F.max(F.lit(None).cast("double"))
+    product = ((F.col(f"x{i}") - F.lit(first.extra["mean"]))
+               * (F.col(f"x{j}") - F.lit(second.extra["mean"])))
+    return F.sum(product) / F.lit(first.rows * first.extra["std"] * second.extra["std"])
+
+
+def _joint(i: int, j: int) -> Column:
+    x = F.when(F.col(f"x{j}").isNotNull(), F.col(f"x{i}"))
+    y = F.when(F.col(f"x{i}").isNotNull(), F.col(f"x{j}"))
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    return F.when(varies, ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))

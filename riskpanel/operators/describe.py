@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from riskpanel.functions.columns import clean_number, numeric_columns, ref, temporal_columns
 from riskpanel.functions.dates import day_span, wall_micros
-from riskpanel.operators.ranks import GATHER_ROWS, count_columns, values_at_ranks
+from riskpanel.operators.ranks import GATHER_ROWS, ColumnCount, count_columns, values_at_ranks
 
 # The reported statistics in their order.
 STATISTICS = ("count", "mean", "min", "25%", "50%", "75%", "max", "std")
@@ -23,17 +23,16 @@ def date_range(df: DataFrame, date_col: str = "Date") -> DataFrame:
     return df.agg(*day_span(ref(date_col)))
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], shares,
-                    gather_rows: int = GATHER_ROWS, extra=None):
-    """Linearly interpolated quantiles: {column: [value per share]}, plus the counts and
-    the results of any extra aggregates taken in the counting pass."""
-    counts, extras = count_columns(df, columns, extra)
+def exact_quantiles(df: DataFrame, columns: list[str], shares, gather_rows: int = GATHER_ROWS,
+                    extra=None) -> tuple[dict[str, list], dict[str, ColumnCount]]:
+    """Linearly interpolated quantiles: {column: [value per share]}, and the column counts
+    with the results of any extra aggregates."""
+    counts = count_columns(df, columns, extra)
     ranks = {c: [r for share in shares for r in _neighbours(counts[c].present, share)]
              for c in columns}
     values = values_at_ranks(df, counts, ranks, gather_rows)
-    quantiles = {c: [_interpolate(values[c], counts[c].present, share) for share in shares]
-                 for c in columns}
-    return quantiles, counts, extras
+    return {c: [_interpolate(values[c], counts[c].present, share) for share in shares]
+            for c in columns}, counts
 
 
 def _neighbours(present: int, share: float) -> tuple[int, ...]:
@@ -61,24 +60,21 @@ def _statistics(df: DataFrame, numbers: list[str], dates: list[str],
     columns = [clean_number(df, c) for c in numbers] + [wall_micros(ref(c)) for c in dates]
     names = [f"v{i}" for i in range(len(columns))]
     values = df.select(*[x.alias(v) for x, v in zip(columns, names)])
-    means, spreads = [], []
-    for i, v in enumerate(names):
-        mean = F.avg(v)
-        if i >= len(numbers):
-            mean = F.floor(F.sum(F.col(v).cast("decimal(20,0)")) / F.count(v)).cast("long")
-        else:
-            spreads.append(F.stddev_samp(v).alias(f"std_{v}"))
-        means.append(mean.alias(f"mean_{v}"))
-    quantiles, counts, extra = exact_quantiles(values, names, QUARTILES, gather_rows,
-                                               means + spreads)
+    value, is_date = F.col("value"), F.col("slot") >= len(numbers)
+    micros = F.sum(F.when(is_date, value.cast("decimal(20,0)")))
+    quantiles, counts = exact_quantiles(values, names, QUARTILES, gather_rows, [
+        F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.floor(micros / F.count(value)).cast("long").alias("middle")])
     rows = []
     for i, (c, v) in enumerate(zip(numbers + dates, names)):
-        middle, low, high = quantiles[v], counts[v].low, counts[v].high
+        count, quartiles = counts[v], quantiles[v]
+        mean, low, high, std = (count.extra.get("mean"), count.low, count.high,
+                                count.extra.get("std"))
         if i >= len(numbers):
-            middle = [None if q is None else math.floor(q) for q in middle]
+            mean, std = count.extra.get("middle"), None
+            quartiles = [None if q is None else math.floor(q) for q in quartiles]
             low, high = (None if x is None else int(x) for x in (low, high))
-        rows.append((c, counts[v].present, extra[f"mean_{v}"], low, *middle, high,
-                     extra.get(f"std_{v}")))
+        rows.append((c, count.present, mean, low, *quartiles, high, std))
     return rows
 
 

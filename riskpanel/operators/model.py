@@ -83,7 +83,7 @@ def fit_inputs(train: DataFrame, features: list[str]) -> Inputs:
     rest = set(features) - set(numeric) - set(flags)
     if rest:
         raise ValueError(f"not numeric or boolean: {sorted(rest)}")
-    medians, counts, _ = exact_quantiles(train, numeric, (0.5,)) if numeric else ({}, {}, {})
+    medians, counts = exact_quantiles(train, numeric, (0.5,))
     parts, slots = [], []
     for c in features:
         value = f"CAST({quoted(c)} AS DOUBLE)"

@@ -18,7 +18,7 @@ from riskpanel.functions.columns import (clean_number, nan_to_null, numeric_colu
 from riskpanel.functions.numbers import ratio
 from riskpanel.operators.correlation import correlation_matrix
 from riskpanel.operators.describe import exact_quantiles
-from riskpanel.operators.ranks import GATHER_ROWS
+from riskpanel.operators.ranks import GATHER_ROWS, long_numbers
 
 # Quantiles of the numeric section.
 PROFILE_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -78,31 +78,24 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None,
                     exact_distinct: bool = True) -> DataFrame:
     """One row per numeric column. Skewness and excess kurtosis are the population forms."""
     columns = numeric_columns(df) if columns is None else columns
-    numbers = df.select(*[clean_number(df, c).alias(f"x{i}") for i, c in enumerate(columns)])
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    for i in range(len(columns)):
-        x = F.col(f"x{i}")
-        aggregates += [
-            F.count(x).alias(f"count{i}"), F.count_if(x == 0).alias(f"zeros{i}"),
-            F.count_if(x < 0).alias(f"negatives{i}"), F.min(x).alias(f"min{i}"),
-            F.max(x).alias(f"max{i}"), F.avg(x).alias(f"mean{i}"), F.sum(x).alias(f"sum{i}"),
-            F.stddev_samp(x).alias(f"std{i}"), F.var_samp(x).alias(f"variance{i}"),
-            F.skewness(x).alias(f"skewness{i}"), F.kurtosis(x).alias(f"kurtosis{i}")]
-    totals = numbers.agg(*aggregates)
-    structs = []
-    for i, c in enumerate(columns):
-        got = {k: F.col(f"{k}{i}") for k in ("count", "zeros", "negatives", "min", "max", "mean",
-                                             "sum", "std", "variance", "skewness", "kurtosis")}
-        structs.append(F.struct(
-            F.lit(c).alias("column"), got["count"].alias("n"),
-            (F.col("rows") - got["count"]).alias("n_missing"), got["zeros"].alias("n_zeros"),
-            got["negatives"].alias("n_negative"), got["min"].alias("min"),
-            got["max"].alias("max"), got["mean"].alias("mean"), got["std"].alias("std"),
-            got["variance"].alias("variance"), ratio(got["std"], got["mean"]).alias("cv"),
-            got["sum"].alias("sum"), _plain(got["skewness"]).alias("skewness"),
-            _plain(got["kurtosis"]).alias("kurtosis")))
-    summary = _stacked(totals, structs)
-    return summary.join(F.broadcast(distinct_counts(df, columns, exact_distinct)), "column")
+    value = F.col("value")
+    distinct = [] if exact_distinct else [F.approx_count_distinct(value).alias("n_distinct")]
+    totals = long_numbers(df, columns).groupBy("slot").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(value).alias("n"),
+        F.count_if(value == 0).alias("n_zeros"), F.count_if(value < 0).alias("n_negative"),
+        F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"), F.var_samp(value).alias("variance"),
+        F.sum(value).alias("sum"), _plain(F.skewness(value)).alias("skewness"),
+        _plain(F.kurtosis(value)).alias("kurtosis"), *distinct)
+    named = F.array(*[F.lit(c) for c in columns])[F.col("slot")]
+    summary = totals.select(
+        named.alias("column"), "n", (F.col("rows") - F.col("n")).alias("n_missing"), "n_zeros",
+        "n_negative", "min", "max", "mean", "std", "variance",
+        ratio(F.col("std"), F.col("mean")).alias("cv"), "sum", "skewness", "kurtosis",
+        *(["n_distinct"] if distinct else []))
+    if not exact_distinct:
+        return summary
+    return summary.join(F.broadcast(distinct_counts(df, columns)), "column")
 
 
 def _plain(x: Column) -> Column:
@@ -114,12 +107,12 @@ def quantiles(df: DataFrame, columns: list[str] | None = None,
     """Exact 5/25/50/75/95 percent points, range, interquartile range and the median
     absolute deviation, one row per numeric column."""
     columns = numeric_columns(df) if columns is None else columns
-    points, counts, _ = exact_quantiles(df, columns, PROFILE_SHARES, gather_rows)
+    points, counts = exact_quantiles(df, columns, PROFILE_SHARES, gather_rows)
     away = df.select(*[
         (F.abs(clean_number(df, c) - F.lit(points[c][2])) if points[c][2] is not None
          else F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)])
     names = [f"x{i}" for i in range(len(columns))]
-    deviations, _, _ = exact_quantiles(away, names, (0.5,), gather_rows)
+    deviations, _ = exact_quantiles(away, names, (0.5,), gather_rows)
     rows = []
     for i, c in enumerate(columns):
         q, low, high = points[c], counts[c].low, counts[c].high

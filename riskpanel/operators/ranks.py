@@ -34,12 +34,13 @@ PARTS = 1 << 20
 
 @dataclass(frozen=True)
 class ColumnCount:
-    """Rows of the table, and the column's non-null count and bounds."""
+    """Rows of the table, the column's non-null count and bounds, and any extra results."""
 
     rows: int
     present: int
     low: float | None
     high: float | None
+    extra: dict
 
 
 @dataclass
@@ -85,18 +86,34 @@ class _Search:
         self.inside = end - self.below
 
 
+def long_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (slot, value): every value of every column, NULLs included.
+
+    Grouped by slot, one set of aggregates serves all columns. It stays small
+    enough to compile, which the same aggregates side by side for many columns
+    do not.
+    """
+    cells = [x for i, c in enumerate(columns)
+             for x in (F.lit(i), clean_number(df, c) + F.lit(0.0))]  # minus zero is zero
+    return df.select(F.stack(F.lit(len(columns)), *cells).alias("slot", "value"))
+
+
 def count_columns(df: DataFrame, columns: list[str],
-                  extra: list[Column] | None = None) -> tuple[dict[str, ColumnCount], dict]:
-    """Counts and bounds of all columns, plus any extra aggregates, in one pass."""
-    numbers = [clean_number(df, c) for c in columns]
-    aggregates = [F.count(F.lit(1)).alias("_rows")]
-    for i, x in enumerate(numbers):
-        aggregates += [F.count(x).alias(f"_n{i}"), F.min(x).alias(f"_lo{i}"),
-                       F.max(x).alias(f"_hi{i}")]
-    row = df.agg(*aggregates, *(extra or [])).first()
-    counts = {c: ColumnCount(row["_rows"], row[f"_n{i}"], row[f"_lo{i}"], row[f"_hi{i}"])
-              for i, c in enumerate(columns)}
-    return counts, {k: v for k, v in row.asDict().items() if not k.startswith("_")}
+                  extra: list[Column] | None = None) -> dict[str, ColumnCount]:
+    """Counts and bounds of all columns in one pass, with any extra aggregates of the
+    ``value`` and ``slot`` of :func:`long_numbers`."""
+    if not columns:
+        return {}
+    found = {r["slot"]: r.asDict() for r in long_numbers(df, columns).groupBy("slot").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("present"),
+        F.min("value").alias("low"), F.max("value").alias("high"), *(extra or [])).collect()}
+    empty = {"rows": 0, "present": 0, "low": None, "high": None}
+    counts = {}
+    for i, c in enumerate(columns):
+        row = found.get(i, {})
+        counts[c] = ColumnCount(*[row.get(k, v) for k, v in empty.items()],
+                                {k: v for k, v in row.items() if k not in empty and k != "slot"})
+    return counts
 
 
 def values_at_ranks(df: DataFrame, counts: dict[str, ColumnCount], ranks: dict[str, list[int]],

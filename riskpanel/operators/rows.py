@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskpanel.functions.columns import numeric_columns, ref, require
 from riskpanel.functions.dates import moment_literal
@@ -13,17 +14,25 @@ NON_FEATURES = ("Company_name", "Date", "CompNo", "indicator")
 SPLITS = ("train", "val", "test")
 
 
+def _moments(df: DataFrame, date_col: str) -> tuple[Column, T.DataType]:
+    """The date column and its type; a text column is read as dates."""
+    data_type = df.schema[date_col].dataType
+    if isinstance(data_type, T.StringType):
+        return ref(date_col).cast("timestamp_ntz"), T.TimestampNTZType()
+    return ref(date_col), data_type
+
+
 def after_cutoff(df: DataFrame, cutoff, date_col: str = "Date") -> DataFrame:
     """Rows dated strictly after the cutoff; rows without a date drop out."""
     require(df, [date_col])
-    return df.where(ref(date_col) > moment_literal(cutoff, df.schema[date_col].dataType))
+    day, data_type = _moments(df, date_col)
+    return df.where(day > moment_literal(cutoff, data_type))
 
 
 def split_label(df: DataFrame, val_start, test_start, date_col: str = "Date") -> Column:
     """``train`` before val_start, ``val`` before test_start, else ``test``;
     a row without a date is labelled ``test``."""
-    data_type = df.schema[date_col].dataType
-    day = ref(date_col)
+    day, data_type = _moments(df, date_col)
     first_val, first_test = (moment_literal(v, data_type) for v in (val_start, test_start))
     return (F.when(day < first_val, "train")
             .when((day >= first_val) & (day < first_test), "val")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import time
 from collections.abc import Callable
@@ -89,9 +90,11 @@ class Study:
     """A search that maximises average precision on the validation table.
 
     With ``trials_path`` every finished trial is appended to the trials table
-    under the experiment's name, with its model next to it, and a study that is
-    started again skips the trials already recorded. ``attempts`` counts whole
-    passes over the missing trials; finished trials count across passes.
+    under the experiment's name, with its model next to it. A study that is
+    started again on the same rows, features, space and seed skips the trials
+    already recorded; on anything else it is another study of the experiment.
+    ``attempts`` counts whole passes over the missing trials; finished trials
+    count across passes.
     """
 
     train: DataFrame
@@ -116,8 +119,10 @@ class Study:
         spark = self.train.sparkSession
         done: dict[int, tuple] = {}
         if self.trials_path:
-            for r in read_trials(spark, self.trials_path, self.experiment).collect():
-                done[r["trial_id"]] = (r["trial_id"], r["params"], r["metric"], r["model_path"])
+            self._study = self._identity()
+            stored = read_trials(spark, self.trials_path, self.experiment, self._study)
+            for r in stored.drop("experiment").collect():
+                done[r["trial_id"]] = tuple(r)
         if any(t not in done for t in range(n_trials)):
             self._run_missing(n_trials, parallelism, attempts, delay, done)
         rows = [done[t] for t in sorted(done) if t < n_trials]
@@ -160,13 +165,22 @@ class Study:
             rows.unpersist()
             held_out.unpersist()
 
+    def _identity(self) -> str:
+        """A name that changes with the rows, the features, the drawn parameters or the seed."""
+        features = self.features or feature_columns(self.train, self.label_col)
+        columns = [ref(c) for c in [*features, self.label_col]]
+        marks = [tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*columns))).first())
+                 for df in (self.train, self.val)]
+        told = (marks, features, self.label_col, self.seed, self.params_of(0))
+        return hashlib.sha1(repr(told).encode()).hexdigest()[:16]
+
     def _record(self, trial_id: int, params: dict[str, float], metric: float,
                 model: FittedModel) -> tuple:
         if not self.trials_path:
-            return (trial_id, params, metric, None)
-        model_path = f"{self.trials_path}/models/{self.experiment}/{trial_id}"
+            return (None, trial_id, params, metric, None)
+        model_path = f"{self.trials_path}/models/{self.experiment}/{self._study}/{trial_id}"
         save_model(model, model_path)
-        row = (trial_id, params, metric, model_path)
+        row = (self._study, trial_id, params, metric, model_path)
         append_trial(self.train.sparkSession, self.trials_path, self.experiment, row)
         return row
 

@@ -40,16 +40,16 @@ def fit_winsor(df: DataFrame, columns: list[str] | None = None, label_col: str =
 
 def fit_caps_and_bounds(df: DataFrame, columns: list[str],
                         limits: tuple[float, float] = (0.05, 0.05),
-                        null_policy: str = "upper_cap", gather_rows: int = GATHER_ROWS,
-                        extra: list[Column] | None = None) -> tuple[list[Cap], list[Bounds], dict]:
-    """Caps, the min-max bounds of the capped values, and any extra aggregates.
+                        null_policy: str = "upper_cap",
+                        gather_rows: int = GATHER_ROWS) -> tuple[list[Cap], list[Bounds]]:
+    """Caps, and the min-max bounds of the capped values.
 
     The capped minimum and maximum follow from the caps and the raw ones, so
     scaling after winsorizing needs no pass of its own.
     """
     if null_policy not in ("upper_cap", "ignore"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
-    counts, extras = count_columns(df, columns, extra)
+    counts = count_columns(df, columns)
     tails: dict[str, tuple[int, int, int]] = {}
     ranks: dict[str, list[int]] = {}
     for c in columns:
@@ -61,7 +61,7 @@ def fit_caps_and_bounds(df: DataFrame, columns: list[str],
     caps = [_cap(c, counts[c].present, *tails[c], values[c]) for c in columns]
     bounds = [_capped_bounds(cap, counts[cap.column].low, counts[cap.column].high)
               for cap in caps]
-    return caps, bounds, extras
+    return caps, bounds
 
 
 def _capped_bounds(cap: Cap, low: float | None, high: float | None) -> Bounds:

@@ -34,5 +34,5 @@ def run_job(spark: SparkSession, raw: DataFrame, prices: DataFrame,
     save_processed(with_split(prepared, val_start, test_start), f"{folder}/processed")
     processed = spark.read.parquet(f"{folder}/processed")
     return model_panel(processed, val_start, test_start, label_col, n_trials=n_trials,
-                       space=space, parallelism=parallelism, seed=seed,
+                       space=space, parallelism=parallelism, seed=seed, presplit=True,
                        output=None if output is None else folder)

@@ -42,12 +42,16 @@ def tune(train: DataFrame, val: DataFrame, label_col: str = "Y", n_trials: int =
 def model_panel(prepared: DataFrame, val_start, test_start, label_col: str = "Y",
                 drop: tuple[str, ...] = NON_FEATURES, split_col: str = "indicator",
                 n_trials: int = 30, space: dict[str, Range] | None = None,
-                parallelism: int = 1, seed: int = 42,
+                parallelism: int = 1, seed: int = 42, presplit: bool = False,
                 output: str | None = None) -> Modelling:
     """Split by date, tune on validation, fit the best parameters on train, evaluate
-    on validation and test, and count the model's splits and test outcomes."""
+    on validation and test, and count the model's splits and test outcomes.
+
+    A split column the table brings along is replaced, unless ``presplit`` says it
+    is this split already, as in a table written by split.
+    """
     labelled = prepared
-    if split_col not in prepared.columns:
+    if not presplit:
         labelled = with_split(prepared, val_start, test_start, split_col=split_col)
     unwanted = tuple(c for c in drop if c != split_col)
     slim = drop_columns(labelled, unwanted)

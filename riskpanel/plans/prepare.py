@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from riskpanel.functions.columns import numeric_columns, ref
-from riskpanel.functions.dates import day_span
 from riskpanel.operators.attach import attach
 from riskpanel.operators.describe import date_range, describe
 from riskpanel.operators.encode import OneHot, apply_one_hot, fit_one_hot
@@ -54,22 +53,18 @@ def fit_preparation(df: DataFrame, category_col: str, label_col: str = "Y",
     """Fit categories, caps and bounds on the filtered panel, or on ``fit_on``.
 
     The bounds are those of the capped values, which the summary describes.
-    Caps, bounds and the date span share their passes over the panel.
     """
     basis = df if fit_on is None else fit_on
     one_hot = fit_one_hot(df, category_col)
     encoded = apply_one_hot(basis, one_hot)
-    numbers = numeric_columns(encoded, exclude=[label_col])
-    span = day_span(ref(date_col)) if fit_on is None else None
-    caps, bounds, found = fit_caps_and_bounds(encoded, numbers, null_policy=null_policy,
-                                              extra=span)
-    if fit_on is not None:
-        found = date_range(df, date_col).first().asDict()
+    caps, bounds = fit_caps_and_bounds(encoded, numeric_columns(encoded, exclude=[label_col]),
+                                       null_policy=null_policy)
+    span = date_range(df, date_col).first()
     if summary_path is not None:
         capped = apply_winsor(encoded, caps)
         shown = [c for c in capped.columns if c != label_col]
         save_summary(describe(capped.select(*[ref(c) for c in shown])), summary_path)
-    return Preparation(one_hot, caps, bounds, found["start"], found["end"])
+    return Preparation(one_hot, caps, bounds, span["start"], span["end"])
 
 
 def prepare_panel(panel: DataFrame, prices: DataFrame, category_col: str = "INDUSTRY2",

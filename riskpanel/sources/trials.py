@@ -6,16 +6,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TRIAL_SCHEMA = "trial_id int, params map<string,double>, metric double, model_path string"
+TRIAL_SCHEMA = ("study string, trial_id int, params map<string,double>, metric double, "
+                "model_path string")
 
 
 def append_trial(spark: SparkSession, path: str, experiment: str, row: tuple) -> None:
-    """Record (trial_id, params, metric, model_path); the first trial creates the experiment."""
+    """Record one row of TRIAL_SCHEMA; the first trial creates the experiment."""
     (spark.createDataFrame([row], TRIAL_SCHEMA).coalesce(1)
      .write.mode("append").parquet(f"{path}/trials/experiment={experiment}"))
 
 
-def read_trials(spark: SparkSession, path: str, experiment: str | None = None) -> DataFrame:
+def read_trials(spark: SparkSession, path: str, experiment: str | None = None,
+                study: str | None = None) -> DataFrame:
     """Recorded trials with their experiment; of a trial recorded twice, one row stays."""
     schema = f"{TRIAL_SCHEMA}, experiment string"
     try:
@@ -26,4 +28,6 @@ def read_trials(spark: SparkSession, path: str, experiment: str | None = None) -
         found = spark.createDataFrame([], schema)
     if experiment is not None:
         found = found.where(F.col("experiment") == experiment)
-    return found.dropDuplicates(["experiment", "trial_id"])
+    if study is not None:
+        found = found.where(F.col("study") == study)
+    return found.dropDuplicates(["experiment", "study", "trial_id"])

@@ -147,6 +147,10 @@ def test_study_records_and_resumes(spark, panel, folder, monkeypatch):
     assert {t: kept[t] for t in (0, 1)} == {r["trial_id"]: r["metric"] for r in first.collect()}
     best = best_trial(more).first()
     assert best["metric"] == max(kept.values())
+    # other rows are another study: nothing is taken over
+    Study(train.limit(300), val, space=SPACE, trials_path=folder).run(1)
+    assert len(fitted) == 2
+    assert read_trials(spark, folder).select("study").distinct().count() == 2
 
 
 def test_study_retries_and_gives_up(panel, monkeypatch):
@@ -173,7 +177,8 @@ def test_study_retries_and_gives_up(panel, monkeypatch):
 
 
 def test_model_panel(spark, panel, folder):
-    done = model_panel(panel, dt.date(2021, 1, 1), "2021-05-01", n_trials=2, space=SPACE,
+    stale = panel.withColumn("indicator", F.lit("train"))
+    done = model_panel(stale, dt.date(2021, 1, 1), "2021-05-01", n_trials=2, space=SPACE,
                        output=folder)
     values = {(r["indicator"], r["metric"]): r["value"] for r in done.metrics.collect()}
     assert set(values) == {(s, m) for s in ("val", "test")

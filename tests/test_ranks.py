@@ -31,7 +31,7 @@ def numbers(spark, tmp_path_factory):
 def test_values_equal_sorting(numbers, gather_rows, sample_rows):
     df, pdf = numbers
     columns = list(pdf.columns)
-    counts, _ = count_columns(df, columns)
+    counts = count_columns(df, columns)
     wanted = [0, 1, 777, N // 20, N // 2, int(N * 0.95) - 10, N - 1, N + 5]
     got = values_at_ranks(df, counts, {c: wanted for c in columns}, gather_rows, sample_rows)
     for c in columns:
@@ -45,7 +45,7 @@ def test_values_equal_sorting(numbers, gather_rows, sample_rows):
 def test_empty_and_infinite(spark):
     df = spark.createDataFrame([(None, float("inf")), (None, float("-inf")), (None, 1.0)],
                                "a double, b double")
-    counts, _ = count_columns(df, ["a", "b"])
+    counts = count_columns(df, ["a", "b"])
     got = values_at_ranks(df, counts, {"a": [0, 1], "b": [0, 1, 2]}, gather_rows=1)
     assert got["a"] == {0: None, 1: None}
     assert got["b"] == {0: float("-inf"), 1: 1.0, 2: float("inf")}

@@ -130,9 +130,11 @@ def test_dates_keep_microseconds_in_any_zone(spark):
 def test_trials_table(spark, folder):
     assert read_trials(spark, folder).count() == 0
     for t, metric in ((2, 0.5), (0, 0.5), (1, 0.25), (1, 0.25)):
-        append_trial(spark, folder, "first", (t, {"a": float(t)}, metric, None))
-    append_trial(spark, folder, "second", (0, {"a": 9.0}, 0.9, None))
-    trials = read_trials(spark, folder, "first")
+        append_trial(spark, folder, "first", ("s", t, {"a": float(t)}, metric, None))
+    append_trial(spark, folder, "first", ("other", 0, {"a": 8.0}, 0.8, None))
+    append_trial(spark, folder, "second", ("s", 0, {"a": 9.0}, 0.9, None))
+    assert read_trials(spark, folder, "first").count() == 4
+    trials = read_trials(spark, folder, "first", "s")
     assert sorted(r["trial_id"] for r in trials.collect()) == [0, 1, 2]
     best = best_trial(trials)
     assert tuple(best.first()) == (0, {"a": 0.0}, 0.5)  # the earliest on a tie
