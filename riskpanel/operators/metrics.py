@@ -155,24 +155,25 @@ def _ranked(df: DataFrame, label_col: str, score_col: str, prediction_col: str |
         F.count(F.lit(1)).alias("n"), F.count_if(positive).alias("pos"),
         F.count_if(claimed).alias("claimed"), F.count_if(positive & claimed).alias("hits"))
 
-    # Both branches below read every count of ``scores``, so they plan the same
-    # exchange and Spark computes the grouped table once.
-    whole = Window.partitionBy(*keys)
-    above = whole.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    sums = [F.sum(c).alias(f"b_{c}") for c in ("n", "pos", "claimed", "hits")]
-    offsets = scores.groupBy(*slot).agg(*sums).select(
-        *slot,
-        F.coalesce(F.sum("b_n").over(above), F.lit(0)).alias("n_above"),
-        F.coalesce(F.sum("b_pos").over(above), F.lit(0)).alias("pos_above"),
-        *[F.sum(f"b_{c}").over(whole).alias(f"all_{c}") for c in ("n", "pos", "claimed", "hits")])
     inner = (Window.partitionBy(*slot).orderBy(F.desc("_score"))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = (scores
-               .select("*", F.sum("n").over(inner).alias("cum_n"),
-                       F.sum("pos").over(inner).alias("cum_pos"))
-               .join(offsets, slot)
-               .withColumn("upto_n", F.col("cum_n") + F.col("n_above"))
-               .withColumn("upto_pos", F.col("cum_pos") + F.col("pos_above")))
+    counts = ("n", "pos", "claimed", "hits")
+    whole = Window.partitionBy(*keys)
+    running = scores.select("*", F.sum("n").over(inner).alias("upto_n"),
+                            F.sum("pos").over(inner).alias("upto_pos"))
+    if bounds:
+        # Both branches read every count of ``scores``, so they plan the same exchange
+        # and Spark computes the grouped table once.
+        above = whole.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = scores.groupBy(*slot).agg(*[F.sum(c).alias(f"b_{c}") for c in counts]).select(
+            *slot, F.coalesce(F.sum("b_n").over(above), F.lit(0)).alias("n_above"),
+            F.coalesce(F.sum("b_pos").over(above), F.lit(0)).alias("pos_above"),
+            *[F.sum(f"b_{c}").over(whole).alias(f"all_{c}") for c in counts])
+        running = (running.join(offsets, slot)
+                   .withColumn("upto_n", F.col("upto_n") + F.col("n_above"))
+                   .withColumn("upto_pos", F.col("upto_pos") + F.col("pos_above")))
+    else:
+        running = running.select("*", *[F.sum(c).over(whole).alias(f"all_{c}") for c in counts])
     gained = F.col("pos").cast("double") * F.col("upto_pos") / F.col("upto_n")
     neg = F.col("n") - F.col("pos")
     negatives_below = (F.col("all_n") - F.col("all_pos")) - (F.col("upto_n") - F.col("upto_pos"))
