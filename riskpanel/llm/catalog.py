@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskpanel.llm import quality, substring
+from riskpanel.llm import bpe, pii, quality, substring
 
 
 def _over(table: str, report: Callable[[DataFrame], DataFrame]):
@@ -17,7 +17,9 @@ def _over(table: str, report: Callable[[DataFrame], DataFrame]):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": _over("documents", bpe.digests),
     "op6_substring_dedup": _over("documents", substring.substring_report),
+    "op7_pii": _over("documents", pii.report),
     "op9_quality_rules": _over("documents", quality.quality_report),
 }
 
