@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskpanel.llm import bpe, pii, quality, substring
+from riskpanel.llm import (
+    bpe, chat, decontaminate, html_extract, lm_score, pii, quality, substring)
 
 
 def _over(table: str, report: Callable[[DataFrame], DataFrame]):
@@ -16,14 +17,30 @@ def _over(table: str, report: Callable[[DataFrame], DataFrame]):
     return query
 
 
+def _contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                                      spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                          spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": _over("pages", html_extract.extract),
     "op2_bpe": _over("documents", bpe.digests),
+    "op4_decontamination": _contaminated,
+    "op5_lm_score": _scores,
     "op6_substring_dedup": _over("documents", substring.substring_report),
     "op7_pii": _over("documents", pii.report),
     "op9_quality_rules": _over("documents", quality.quality_report),
+    "op10_chat_format": chat.query,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_html_extraction": html_extract.report_sql(),
     "op6_substring_dedup": substring.report_sql(),
     "op9_quality_rules": quality.report_sql(),
+    "op10_chat_format": chat.report_sql(),
 }
