@@ -30,7 +30,7 @@ from riskpanel.llm import texts
 
 WINDOW = 13
 MINIMISER = 3
-BUCKETS_PER_PARTITION = 4
+BUCKETS_PER_PARTITION = 8
 SPANS = "class bigint, first_id bigint, spans binary"
 
 

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PART_BYTES = 2 << 20
+#: Bytes handled at once where an array of 8 bytes for each is needed.
+CHUNK = 1 << 19
 NO_ID = np.iinfo(np.int64).max
 
 SPACE = np.zeros(256, bool)
@@ -168,7 +170,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power(which: str, size: int) -> np.ndarray:
     if len(_powers.get(which, ())) < size:
-        base = np.full(max(size, PART_BYTES + 1), _BASE if which == "up" else _BASE_INVERSE,
+        base = np.full(max(size, CHUNK + 1), _BASE if which == "up" else _BASE_INVERSE,
                        np.uint64)
         base[0] = 1
         _powers[which] = np.cumprod(base)
@@ -189,7 +191,24 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
-    return range_hashes(prefix_sums(data), words.starts, words.ends)
+    """Hashes of all words, some CHUNK bytes at a time."""
+    out = np.empty(len(words.starts), np.uint64)
+    for low, high in chunks(words.ends):
+        begin = int(words.starts[low])
+        sums = prefix_sums(data[begin:int(words.ends[high - 1])])
+        out[low:high] = range_hashes(sums, words.starts[low:high] - begin,
+                                     words.ends[low:high] - begin)
+    return out
+
+
+def chunks(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Index ranges of ascending places that span about CHUNK each (one item at least)."""
+    low = 0
+    while low < len(ends):
+        begin = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, begin + CHUNK, "right")))
+        yield low, high
+        low = high
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -233,8 +252,16 @@ def covered(starts: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
 
 def slices(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The bytes of the ranges one after another."""
-    before = np.cumsum(lengths) - lengths
-    return data[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
+    ends = np.cumsum(lengths)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for low, high in chunks(ends):
+        begin = int(ends[low] - lengths[low])
+        before = ends[low:high] - lengths[low:high] - begin
+        size = int(ends[high - 1]) - begin
+        at = np.repeat(starts[low:high] - before, lengths[low:high])
+        at += np.arange(size)
+        out[begin:begin + size] = data[at]
+    return out
 
 
 # -- packed arrays -------------------------------------------------------------------
