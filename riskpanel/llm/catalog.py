@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskpanel.llm import (
-    bpe, chat, decontaminate, html_extract, lm_score, pii, quality, substring)
+    bpe, chat, decontaminate, html_extract, jaccard, lm_score, pii, quality, substring)
 
 
 def _over(table: str, report: Callable[[DataFrame], DataFrame]):
@@ -30,6 +30,7 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": _over("pages", html_extract.extract),
     "op2_bpe": _over("documents", bpe.digests),
+    "op3_jaccard_join": _over("documents", jaccard.report),
     "op4_decontamination": _contaminated,
     "op5_lm_score": _scores,
     "op6_substring_dedup": _over("documents", substring.substring_report),
@@ -40,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_html_extraction": html_extract.report_sql(),
+    "op3_jaccard_join": jaccard.report_sql(),
     "op6_substring_dedup": substring.report_sql(),
     "op9_quality_rules": quality.report_sql(),
     "op10_chat_format": chat.report_sql(),
