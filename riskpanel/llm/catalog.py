@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskpanel.llm import (
-    bpe, chat, decontaminate, html_extract, jaccard, lm_score, pii, quality, substring)
+    bpe,
+    chat,
+    decontaminate,
+    html_extract,
+    jaccard,
+    lm_score,
+    pii,
+    quality,
+    substring,
+    suffix,
+)
 
 
 def _over(table: str, report: Callable[[DataFrame], DataFrame]):
@@ -35,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_score": _scores,
     "op6_substring_dedup": _over("documents", substring.substring_report),
     "op7_pii": _over("documents", pii.report),
+    "op8_suffix_dedup": _over("documents", suffix.report),
     "op9_quality_rules": _over("documents", quality.quality_report),
     "op10_chat_format": chat.query,
 }

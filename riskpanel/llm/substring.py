@@ -91,8 +91,8 @@ def word_runs(buckets: int):
             if not len(at):
                 continue
             hashes = texts.word_hashes(data, words)
-            best, place = texts.sliding_minimum(texts.window_hashes(hashes, MINIMISER),
-                                                WINDOW - MINIMISER + 1)
+            groups = texts.window_hashes(hashes, MINIMISER)
+            place = texts.sliding_minimum(groups, WINDOW - MINIMISER + 1)
             low, high = run_bounds(place[at], at)
             low, high = at[low], at[high]
             document = words.document()[low]
@@ -100,7 +100,7 @@ def word_runs(buckets: int):
             keys = np.asarray(rows.column("class"))[heads]
             columns = [keys[document], documents[document], copies[document],
                        (low - first[document]).astype(np.int32)]
-            found = list(packed_runs(texts.mix(best[low]) % np.uint64(buckets), columns, data,
+            found = list(packed_runs(texts.mix(groups[place[low]]) % np.uint64(buckets), columns, data,
                                      begin, end - begin))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in found], pa.int32()),

@@ -230,16 +230,18 @@ def whole_windows(words: Words, width: int) -> np.ndarray:
     return np.flatnonzero(inside)
 
 
-def sliding_minimum(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest of every ``width`` values, and the place of its first occurrence."""
-    count = max(0, len(values) - width + 1)
-    best, place = values[:count].copy(), np.zeros(count, np.int32)
-    for j in range(1, width):
-        other = values[j:j + count]
-        less = other < best
-        best[less] = other[less]
-        place[less] = j
-    return best, place + np.arange(count)
+def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the smallest (by its upper half) of every ``width`` values, the first of
+    equals."""
+    low = np.uint64(0xFFFFFFFF)
+    best = (values & ~low) | np.arange(len(values), dtype=np.uint64)
+    size = 1
+    while 2 * size <= width:
+        best = np.minimum(best[:-size], best[size:])
+        size *= 2
+    if width > size:
+        best = np.minimum(best[:len(best) - (width - size)], best[width - size:])
+    return (best & low).astype(np.int64)
 
 
 def covered(starts: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
