@@ -283,8 +283,8 @@ def encode(table: DataFrame, text: str = "text", to: str = "ids",
                 [*rows.columns[:-1], pa.array(found, pa.list_(pa.int32()))],
                 names=[*rows.schema.names[:-1], to])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in table.schema.fields)
-    return table.withColumn(hidden, table[text]).mapInArrow(run, f"{fields}`{to}` array<int>")
+    return table.withColumn(hidden, table[text]).mapInArrow(
+        run, texts.with_fields(table.schema, (to, "array<int>")))
 
 
 def decode(table: DataFrame, ids: str = "ids", to: str = "decoded",
@@ -300,5 +300,5 @@ def decode(table: DataFrame, ids: str = "ids", to: str = "decoded",
             yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(found, pa.string())],
                                              names=[*rows.schema.names[:-1], to])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in table.schema.fields)
-    return table.withColumn(hidden, table[ids]).mapInArrow(run, f"{fields}`{to}` string")
+    return table.withColumn(hidden, table[ids]).mapInArrow(
+        run, texts.with_fields(table.schema, (to, "string")))

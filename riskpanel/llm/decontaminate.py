@@ -81,18 +81,20 @@ def probes(table: DataFrame, ids: list[str], text: str, step: int) -> DataFrame:
 def windows(table: DataFrame, ids: list[str], text: str) -> DataFrame:
     """The ids with every window: its place, key and the values in its slots."""
     plain = table.select(*ids, _plain(table[text]).alias("t")).where("t <> ''")
-    words = plain.select(*ids, _words(F.col("t")).alias("raw"),
-                         _words(template(F.col("t"))).alias("w"))
-    both = F.arrays_zip("raw", "w")
+    words = plain.select(*ids, F.arrays_zip(
+        _words(F.col("t")).alias("raw"), _words(template(F.col("t"))).alias("w")).alias("both"))
+    # columns of their own, so that no window computes them anew
+    words = words.select(*ids, "both", F.col("both.w").alias("w"))
 
     def one(i: F.Column) -> F.Column:
-        slots = F.filter(F.slice(both, i + 1, WINDOW), lambda x: x["w"].rlike("<(num|unit|name)>"))
+        slots = F.filter(F.slice("both", i + 1, WINDOW),
+                         lambda x: x["w"].rlike("<(num|unit|name)>"))
         return F.struct(i.alias("at"), _key(F.col("w"), i).alias("key"), F.transform(
             slots, lambda x: F.regexp_replace(x["raw"], r"[^\p{L}\p{Nd}.,]|[.,]+$", "")
         ).alias("slots"))
 
     return words.select(*ids, F.size("w").alias("size"), F.explode(
-        F.transform(_starts(F.col("w"), 1), one)).alias("x")).select(*ids, "size", "x.*")
+        F.transform(_starts(F.col("both"), 1), one)).alias("x")).select(*ids, "size", "x.*")
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -149,5 +151,4 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those that hold an item's passage, with their columns."""
     bad = _small(texts.stored(contaminated(documents, benchmark).select("doc_id").distinct()))
-    bad = bad.withColumnRenamed("doc_id", "__bad")
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")

@@ -434,8 +434,8 @@ def one_of_each(documents: DataFrame) -> DataFrame:
                 [*rows.columns, pa.array(classes_of(*sets_of(data, offsets)))],
                 names=[*rows.schema.names, name["__own"]])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.schema.fields)
-    own = documents.mapInArrow(run, f"{fields}`{name['__own']}` bigint")
+    own = documents.mapInArrow(run, texts.with_fields(documents.schema,
+                                                      (name["__own"], "bigint")))
     same = (own["doc_id"].eqNullSafe(kept[name["__doc"]])
             & (own[name["__own"]] == kept[name["__class"]]))
     repeated = kept.where(F.col(name["__rows"]) > 1)

@@ -78,17 +78,17 @@ def figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=[*rest, *(f"__{x}" for x in FIGURES), "__lines"])
 
 
-def measured(documents: DataFrame, text: str = "text", host: str = "source",
-             keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all if None) with ``__host``, the figures and one flag per rule."""
+def measured(documents: DataFrame, keep: list[str] | None = None, text: str = "text",
+             host: str = "source") -> DataFrame:
+    """``__kept_row`` (the columns ``keep``, all if None), ``__host``, the figures and one flag
+    per rule."""
     texts.workers_find_package(documents.sparkSession)
     keep = documents.columns if keep is None else keep
-    rows = documents.select(*keep, documents[host].alias("__host"),
-                            documents[text].alias("__text"))
-    added = ", ".join(f"`__{x}` bigint" for x in [*FIGURES, "lines"])
-    fields = [f for f in rows.schema.fields if f.name != "__text"]
-    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
-    out = rows.mapInArrow(figures, ddl + added)
+    rows = documents.select(
+        *([F.struct(*(documents[f"`{c}`"] for c in keep)).alias("__kept_row")] if keep else []),
+        documents[host].alias("__host"), documents[text].alias("__text"))
+    out = rows.mapInArrow(figures, texts.with_fields(
+        rows.drop("__text").schema, *((f"__{x}", "bigint") for x in [*FIGURES, "lines"])))
     mean = F.col("__word_chars") / F.col("__n_words")
     failed = {
         "symbols": 100 * F.col("__n_symbols") > SYMBOL_SHARE * F.col("__word_chars"),
@@ -149,18 +149,16 @@ def judged(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def quality_report(documents: DataFrame) -> DataFrame:
     """doc_id, the base figures, base_failed and kept of every document."""
-    rows = texts.stored(measured(documents, keep=["doc_id"]))
+    rows = texts.stored(measured(documents, ["doc_id"]))
     out = judged(rows, host_verdicts(rows))
-    return out.select("doc_id", *(F.col(f"__{x}").alias(x) for x in FIGURES),
+    return out.select("__kept_row.doc_id", *(F.col(f"__{x}").alias(x) for x in FIGURES),
                       F.col("__base").alias("base_failed"), F.col("__kept").alias("kept"))
 
 
 def keep_good(documents: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their columns."""
-    flags = measured(documents, keep=[]).select("__host", *(f"__{r}" for r in RULES))
-    verdicts = host_verdicts(flags)
-    return judged(measured(documents), verdicts).where("__kept").select(
-        *(F.col(f"`{c}`") for c in documents.columns))
+    verdicts = host_verdicts(measured(documents, []))
+    return judged(measured(documents), verdicts).where("__kept").select("__kept_row.*")
 
 
 def report_sql() -> str:

@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PART_BYTES = 2 << 20
 #: Bytes handled at once where an array of 8 bytes for each is needed.
@@ -84,6 +85,13 @@ def fresh(name: str, columns: list[str]) -> str:
     return name
 
 
+def with_fields(schema: T.StructType, *added: tuple[str, str]) -> T.StructType:
+    """A schema with further fields of simple types."""
+    kinds = {"bigint": T.LongType(), "string": T.StringType(), "array<int>":
+             T.ArrayType(T.IntegerType())}
+    return T.StructType([*schema.fields, *(T.StructField(n, kinds[k]) for n, k in added)])
+
+
 def text_key(text) -> F.Column:
     """64 bits of the text's digest, null as empty."""
     digest = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
