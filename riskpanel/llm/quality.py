@@ -89,11 +89,11 @@ def measured(documents: DataFrame, keep: list[str] | None = None, text: str = "t
         documents[host].alias("__host"), documents[text].alias("__text"))
     out = rows.mapInArrow(figures, texts.with_fields(
         rows.drop("__text").schema, *((f"__{x}", "bigint") for x in [*FIGURES, "lines"])))
-    mean = F.col("__word_chars") / F.col("__n_words")
+    chars, words = F.col("__word_chars"), F.col("__n_words")
     failed = {
         "symbols": 100 * F.col("__n_symbols") > SYMBOL_SHARE * F.col("__word_chars"),
         "lines": 100 * F.col("__n_dup_lines") > LINE_SHARE * F.col("__lines"),
-        "word_length": (F.col("__n_words") > 0) & ~mean.between(*WORD_CHARS),
+        "word_length": ~chars.between(WORD_CHARS[0] * words, WORD_CHARS[1] * words),
     }
     base = (F.col("__n_words") < MIN_WORDS) | (
         100 * F.col("__n_repeat_words") > REPEAT_SHARE * F.col("__n_words"))

@@ -108,7 +108,7 @@ def word_runs(buckets: int):
     return run
 
 
-def span_rows(keys: np.ndarray, first: dict[int, int], copied: set[int], starts: np.ndarray,
+def span_rows(first: dict[int, int], copied: set[int], keys: np.ndarray, starts: np.ndarray,
               lengths: np.ndarray) -> pa.Table:
     """Rows of SPANS: for each class its smallest document and the ranges found here.
 
@@ -137,13 +137,15 @@ def smallest_of_classes(keys: np.ndarray, documents: np.ndarray, copies: np.ndar
     return least[inverse], first, copied
 
 
-def joined_runs(windows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted window starts (class in the upper column) as runs of consecutive ones."""
+def joined_runs(windows: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Sorted (class, window start) as ranges: class, start and length of consecutive ones."""
+    if not len(windows):
+        return (np.zeros(0, np.int64),) * 3
     new = np.ones(len(windows), bool)
     new[1:] = (windows[1:, 0] != windows[:-1, 0]) | (windows[1:, 1] != windows[:-1, 1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(windows)) - 1
-    return windows[first, 0], windows[first, 1], windows[last, 1] - windows[first, 1] + lengths
+    return windows[first, 0], windows[first, 1], windows[last, 1] - windows[first, 1] + width
 
 
 def count_windows(table: pa.Table) -> pa.Table:
@@ -172,12 +174,7 @@ def count_windows(table: pa.Table) -> pa.Table:
     at, entry = at[found], entry[found]
     windows = np.stack([keys[entry], places[entry] + at - words.first[entry]], 1)
     windows = np.unique(windows, axis=0) if len(windows) else windows
-    return span_rows(*_named(joined_runs(windows, WINDOW), first, copied))
-
-
-def _named(runs, first, copied):
-    keys, starts, lengths = runs
-    return keys, first, copied, starts, lengths
+    return span_rows(first, copied, *joined_runs(windows, WINDOW))
 
 
 def _exact_leaders(data, words, at, leader):

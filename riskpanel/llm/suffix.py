@@ -217,7 +217,7 @@ def find_repeats(table: pa.Table) -> pa.Table:
     row, occurrence = row[gone], occurrence[gone]
     spans = np.unique(np.stack([keys[occurrence], places[occurrence] + what[row, 1],
                                 what[row, 2]], 1), axis=0)
-    return substring.span_rows(spans[:, 0], first, copied, spans[:, 1], spans[:, 2])
+    return substring.span_rows(first, copied, *spans.T)
 
 
 def _equal_strings(data: np.ndarray, starts: np.ndarray,
