@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from riskpanel.operators.correlation import correlation_matrix
 from riskpanel.operators.profile import profile_tables
 from riskpanel.operators.schema import coerce, violation_report
@@ -41,14 +43,21 @@ def parser() -> argparse.ArgumentParser:
     return root
 
 
+def _print(table: DataFrame) -> None:
+    """All rows of a small table."""
+    table.show(max(table.count(), 1), truncate=False)
+
+
 def main(arguments: list[str] | None = None) -> None:
     options = parser().parse_args(arguments)
     spark = build_session(options.master)
     raw = read_panel_csv(spark, options.panel)
     if options.command == "validate":
-        violation_report(raw).where("n_failed > 0").show(1_000, truncate=False)
+        _print(violation_report(raw).where("n_failed > 0"))
     elif options.command == "profile":
         panel = coerce(raw)
+        panel.write.mode("overwrite").parquet(f"{options.output}/panel")  # the CSV is read once
+        panel = spark.read.parquet(f"{options.output}/panel")
         tables = profile_tables(panel)
         tables["correlation_cells"] = correlation_matrix(panel, digits=2)
         save_profile(tables, options.output)
@@ -60,7 +69,7 @@ def main(arguments: list[str] | None = None) -> None:
                        n_trials=options.trials, parallelism=options.parallelism,
                        seed=options.seed, output=options.output)
         for table in (done.metrics, done.confusion, done.importance):
-            table.show(1_000, truncate=False)
+            _print(table)
 
 
 if __name__ == "__main__":

@@ -10,8 +10,7 @@ from riskpanel.functions.columns import ref, require
 from riskpanel.operators.series import DuplicateKeys
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 1_000
-MAX_SALTS = 10_000
+HOT_PARTS = 4
 
 
 def attach(df: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
@@ -20,7 +19,8 @@ def attach(df: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
 
     The lookup is measured first. Up to ``broadcast_bytes`` it is broadcast. A
     larger one is joined by a shuffle in which each key that holds more than a
-    thousandth of the rows is salted, so no single key fills one task.
+    quarter of a partition's share of the rows is salted, so no single key fills
+    a task. Rows with a NULL key have no match and stay out of the join.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join: {how}")
@@ -67,18 +67,35 @@ def _measured_bytes(lookup: DataFrame, keys: list[str], check_unique: bool) -> i
 
 
 def _salted_join(df: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & ref(k).isNotNull()
+    whole = df.where(complete)
+    joined = _salted_matches(whole, lookup, keys, how)
+    if how == "inner":
+        return joined
+    added = [F.lit(None).cast(lookup.schema[c].dataType).alias(c)
+             for c in lookup.columns if c not in keys]
+    rest = df.where(~complete).select(*[ref(c) for c in df.columns], *added)
+    return joined.select(*[ref(c) for c in rest.columns]).unionByName(rest)
+
+
+def _salted_matches(df: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*[ref(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    threshold = max(df.count() // HOT_SHARE, 1)
-    # at most HOT_SHARE keys can each hold more than one part in HOT_SHARE of the rows
+    total = df.count()
+    # at most HOT_PARTS * salts keys can each hold more than this
+    threshold = max(total // (HOT_PARTS * salts), 1)
     hot = counts.where(F.col("_n") > threshold).drop("_n").collect()
     if not hot:
         return df.join(lookup, keys, how)
     schema = T.StructType([df.schema[k] for k in keys])
     marks = F.broadcast(df.sparkSession.createDataFrame(hot, schema)
                         .withColumn("_hot", F.lit(True)))
-    # the scan partition is a salt that stays the same when a task is run again
-    salts = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SALTS)
-    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+    # the row and its scan partition: the same when a task is run again, whatever the
+    # partitioning of the table; equal rows of one partition share a salt
+    row = [ref(c) for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)]
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *row), F.lit(salts)).cast("int")
     salted = (df.withColumn("_part", salt).join(marks, keys, "left")
               .withColumn("_salt", F.when(F.col("_hot"), F.col("_part")).otherwise(F.lit(0)))
               .drop("_hot", "_part"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -12,38 +11,33 @@ from riskpanel.functions.columns import clean_number, numeric_columns
 from riskpanel.functions.numbers import ratio, round_half_even
 from riskpanel.operators.ranks import ColumnCount, count_columns
 
-# Pairs per aggregate: few enough for the compiled code of one aggregate to stay fast.
-COMPLETE_PAIRS = 20
-GAPPED_PAIRS = 4
-
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
                        digits: int | None = None) -> DataFrame:
     """Rows (col_x, col_y, corr) for the full square.
 
     Each pair uses the rows where both are present; a column that is constant
-    there has no correlation, not even with itself. A first pass takes counts,
-    means and spreads. After it a pair of complete columns needs one plain sum
-    of centred products; only a pair with gaps needs joint moments.
+    there has no correlation, not even with itself. A first pass takes counts and
+    means; a second one groups (pair, x, y) by pair, whatever the number of columns.
     """
     columns = numeric_columns(df) if columns is None else columns
-    counts = count_columns(df, columns, [F.avg("value").alias("mean"),
-                                         F.stddev_pop("value").alias("std")])
-    numbers = df.select(*[clean_number(df, c).alias(f"x{i}") for i, c in enumerate(columns)])
-    complete = [counts[c].present == counts[c].rows for c in columns]
-    plain, gapped = [], []
-    for i, j in combinations(range(len(columns)), 2):
-        if complete[i] and complete[j]:
-            plain.append((i, j, _centred(i, j, counts[columns[i]], counts[columns[j]])))
-        else:
-            gapped.append((i, j, _joint(i, j)))
-    tables = [_batch(numbers, plain[k:k + COMPLETE_PAIRS])
-              for k in range(0, len(plain), COMPLETE_PAIRS)]
-    tables += [_batch(numbers, gapped[k:k + GAPPED_PAIRS])
-               for k in range(0, len(gapped), GAPPED_PAIRS)]
+    counts = count_columns(df, columns, [F.avg("value").alias("mean")])
+    # centred at the mean of all present values, as covariance does not change by it
+    centred = F.array(*[clean_number(df, c) - F.lit(counts[c].extra["mean"]) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
+                      for i, j in combinations(range(len(columns)), 2)])
     diagonal = [(i, i, 1.0 if _varies(counts[c]) else None) for i, c in enumerate(columns)]
-    tables.append(df.sparkSession.createDataFrame(diagonal, "i int, j int, corr double"))
-    half = reduce(DataFrame.unionByName, tables)
+    half = df.sparkSession.createDataFrame(diagonal, "i int, j int, corr double")
+    if len(columns) > 1:
+        cells = (df.select(centred.alias("x"), F.explode(pairs).alias("p"))
+                 .select("p.i", "p.j", F.col("x")[F.col("p.i")].alias("a"),
+                         F.col("x")[F.col("p.j")].alias("b")))
+        found = (cells.where("a IS NOT NULL AND b IS NOT NULL").groupBy("i", "j")
+                 .agg(_joint().alias("corr")))
+        all_pairs = df.sparkSession.createDataFrame(
+            list(combinations(range(len(columns)), 2)), "i int, j int")
+        # one row per pair of columns on either side
+        half = half.unionByName(all_pairs.join(F.broadcast(found), ["i", "j"], "left"))
 
     # rounding may overshoot by the last bit; least() alone would skip NULL
     corr = F.when(F.col("corr").isNotNull(),
@@ -56,29 +50,12 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
         names[F.col("x")].alias("col_x"), names[F.col("y")].alias("col_y"), "corr")
 
 
-def _batch(numbers: DataFrame, pairs: list[tuple[int, int, Column]]) -> DataFrame:
-    """Rows (i, j, corr) of some pairs, from one aggregate."""
-    totals = numbers.agg(*[corr.alias(f"r{k}") for k, (_, _, corr) in enumerate(pairs)])
-    return totals.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"r{k}").alias("corr"))
-        for k, (i, j, _) in enumerate(pairs)])))
-
-
 def _varies(count: ColumnCount) -> bool:
     """Whether a column has two values; a merged spread of equal values may not be zero."""
     return count.low is not None and count.low < count.high
 
 
-def _centred(i: int, j: int, first: ColumnCount, second: ColumnCount) -> Column:
-    if not (_varies(first) and _varies(second)):
-        return F.max(F.lit(None).cast("double"))
-    product = ((F.col(f"x{i}") - F.lit(first.extra["mean"]))
-               * (F.col(f"x{j}") - F.lit(second.extra["mean"])))
-    return F.sum(product) / F.lit(first.rows * first.extra["std"] * second.extra["std"])
-
-
-def _joint(i: int, j: int) -> Column:
-    x = F.when(F.col(f"x{j}").isNotNull(), F.col(f"x{i}"))
-    y = F.when(F.col(f"x{i}").isNotNull(), F.col(f"x{j}"))
-    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-    return F.when(varies, ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+def _joint() -> Column:
+    a, b = F.col("a"), F.col("b")
+    varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+    return F.when(varies, ratio(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))

@@ -18,7 +18,18 @@ class OneHot:
     categories: tuple[str, ...]
 
     def names(self) -> list[str]:
-        return [f"{self.column}_{c}" for c in self.categories]
+        """One per category; Spark ignores case, so a name that differs only in case from
+        an earlier one gets a number."""
+        seen: dict[str, int] = {}
+        out = []
+        for c in self.categories:
+            name = f"{self.column}_{c}"
+            n = seen[name.lower()] = seen.get(name.lower(), 0) + 1
+            while n > 1 and f"{name}_{n}".lower() in seen:
+                n += 1
+            out.append(name if n == 1 else f"{name}_{n}")
+            seen.setdefault(out[-1].lower(), 1)
+        return out
 
 
 def _code(column: str) -> Column:
@@ -26,13 +37,15 @@ def _code(column: str) -> Column:
     return F.regexp_replace(ref(column).cast("string"), r"\.0$", "")
 
 
-def fit_one_hot(df: DataFrame, column: str, max_categories: int = 1_000) -> OneHot:
-    """The distinct categories. More than ``max_categories`` is an error: every
-    category becomes a column, so such a column is an identifier, not a category."""
+def fit_one_hot(df: DataFrame, column: str, max_categories: int | None = None) -> OneHot:
+    """The distinct categories; every one becomes a column. More than ``max_categories``,
+    if given, is an error."""
     require(df, [column])
-    found = (df.select(_code(column).alias("code")).where("code IS NOT NULL")
-             .distinct().limit(max_categories + 1).collect())
-    if len(found) > max_categories:
+    found = df.select(_code(column).alias("code")).where("code IS NOT NULL").distinct()
+    if max_categories is not None:
+        found = found.limit(max_categories + 1)
+    found = found.collect()
+    if max_categories is not None and len(found) > max_categories:
         raise ValueError(f"{column} has more than {max_categories} categories")
     return OneHot(column, tuple(sorted(r["code"] for r in found)))
 
@@ -41,7 +54,8 @@ def apply_one_hot(df: DataFrame, fitted: OneHot) -> DataFrame:
     """Replace the column by one boolean per category, appended after the others;
     NULL and unseen categories are false everywhere."""
     rest = [c for c in df.columns if c != fitted.column]
-    clash = set(rest) & set(fitted.names())
+    taken = {c.lower() for c in rest}
+    clash = {c for c in fitted.names() if c.lower() in taken}
     if clash:
         raise ValueError(f"columns already exist: {sorted(clash)}")
     flags = [F.coalesce(_code(fitted.column) == F.lit(category), F.lit(False)).alias(name)

@@ -16,8 +16,8 @@ from riskpanel.functions.numbers import ratio, ratio_or_zero
 from riskpanel.operators.ranks import shares_sql
 
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 4_096
 SAMPLE_ROWS = 4_000_000
+SAMPLED_PER_BUCKET = 100
 
 
 def class_ratio(df: DataFrame, label_col: str = "Y") -> DataFrame:
@@ -112,13 +112,13 @@ def _score_bounds(df: DataFrame, buckets: int | None) -> list[float]:
     total = row["n"]
     if min(row["scored"], row["labelled"]) < total:
         raise ValueError("every row needs a label and a score")
-    wanted = buckets or min(-(-total // ROWS_PER_BUCKET), MAX_BUCKETS)
+    wanted = buckets or -(-total // ROWS_PER_BUCKET)
     if wanted <= 1 or total == 0:
         return []
-    rate = min(SAMPLE_ROWS / total, 1.0)
+    rate = min(max(SAMPLE_ROWS, SAMPLED_PER_BUCKET * wanted) / total, 1.0)
     sampled = df.where(F.rand(7) < rate) if rate < 1.0 else df
     grid = sampled.agg(F.expr(
-        f"percentile_approx(_score, {shares_sql(wanted)}, {10 * MAX_BUCKETS})")).first()[0]
+        f"percentile_approx(_score, {shares_sql(wanted)}, {max(10 * wanted, 10_000)})")).first()[0]
     return sorted(set((grid or [])[1:-1]))
 
 
@@ -128,8 +128,7 @@ def _ranked(df: DataFrame, label_col: str, score_col: str, prediction_col: str |
 
     Equal scores collapse to one row first, so a frequent score is no burden.
     Score buckets with fixed boundaries spread the ordered pass over tasks; a
-    bucket starts from the totals of its group's buckets above it, at most
-    ``MAX_BUCKETS`` of them. The join to those totals keeps the partitioning
+    bucket starts from the totals of its group's buckets above it. The join to those totals keeps the partitioning
     and order of the ordered pass, whatever the number of groups.
     """
     require(df, [label_col, score_col, *by])

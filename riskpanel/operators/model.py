@@ -19,10 +19,9 @@ from riskpanel.operators.metrics import class_ratio
 from riskpanel.operators.rows import feature_columns
 from riskpanel.session import ensure_checkpoint_dir, shared_folder
 
-FLAG = "__missing"
-INPUT = "__input"
+SLOT = "__slot"
 DEPTH_CAP = 30
-NAMES_SCHEMA = "features array<string>, slots array<string>"
+NAMES_SCHEMA = "features array<string>, slots array<string>, parents array<string>"
 
 
 @dataclass(frozen=True)
@@ -33,6 +32,8 @@ class Inputs:
     assemble: VectorAssembler
     features: tuple[str, ...]
     slots: tuple[str, ...]
+    #: The feature behind each slot; slots have plain names, whatever the features' are.
+    parents: tuple[str, ...]
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.assemble.transform(self.fill.transform(df))
@@ -84,21 +85,23 @@ def fit_inputs(train: DataFrame, features: list[str]) -> Inputs:
     if rest:
         raise ValueError(f"not numeric or boolean: {sorted(rest)}")
     medians, counts = exact_quantiles(train, numeric, (0.5,))
-    parts, slots = [], []
+    parts, parents = [], []
     for c in features:
         value = f"CAST({quoted(c)} AS DOUBLE)"
         fill = 0.0
         if c in medians:
             value = f"NANVL({value}, NULL)"
             fill = medians[c][0] or 0.0
-        parts.append(f"COALESCE({value}, CAST('{fill!r}' AS DOUBLE)) AS {quoted(c + INPUT)}")
-        slots.append(c + INPUT)
+        parts.append(f"COALESCE({value}, CAST('{fill!r}' AS DOUBLE))")
+        parents.append(c)
         if c in medians and counts[c].present < counts[c].rows:
-            parts.append(f"CAST({value} IS NULL AS DOUBLE) AS {quoted(c + FLAG)}")
-            slots.append(c + FLAG)
+            parts.append(f"CAST({value} IS NULL AS DOUBLE)")
+            parents.append(c)
+    slots = [f"{SLOT}{i}" for i in range(len(parts))]
+    parts = [f"{part} AS {slot}" for part, slot in zip(parts, slots)]
     fill_stage = SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
     assemble = VectorAssembler(inputCols=slots, outputCol="__features", handleInvalid="error")
-    return Inputs(fill_stage, assemble, tuple(features), tuple(slots))
+    return Inputs(fill_stage, assemble, tuple(features), tuple(slots), tuple(parents))
 
 
 def training_rows(train: DataFrame, inputs: Inputs, label_col: str = "Y",
@@ -151,7 +154,8 @@ def save_model(model: FittedModel, path: str) -> None:
     """Write the stages and the feature list under one folder."""
     stages = PipelineModel([model.inputs.fill, model.inputs.assemble, model.trees])
     stages.write().overwrite().save(f"{path}/stages")
-    names = [(list(model.inputs.features), list(model.inputs.slots))]
+    inputs = model.inputs
+    names = [(list(inputs.features), list(inputs.slots), list(inputs.parents))]
     (SparkSession.active().createDataFrame(names, NAMES_SCHEMA).coalesce(1)
      .write.mode("overwrite").json(f"{path}/features"))
 
@@ -159,8 +163,7 @@ def save_model(model: FittedModel, path: str) -> None:
 def load_model(spark: SparkSession, path: str) -> FittedModel:
     names = spark.read.schema(NAMES_SCHEMA).json(f"{path}/features").first()
     fill, assemble, trees = PipelineModel.load(f"{path}/stages").stages
-    return FittedModel(Inputs(fill, assemble, tuple(names["features"]), tuple(names["slots"])),
-                       trees)
+    return FittedModel(Inputs(fill, assemble, *(tuple(names[c]) for c in names.asDict())), trees)
 
 
 def feature_importance(model: FittedModel, kind: str = "split", path: str | None = None,
@@ -173,9 +176,8 @@ def feature_importance(model: FittedModel, kind: str = "split", path: str | None
     """
     spark = SparkSession.active()
     trees = model.trees
-    parents = [c[: -len(FLAG)] if c.endswith(FLAG) else c[: -len(INPUT)]
-               for c in model.inputs.slots]
-    names = spark.createDataFrame(list(enumerate(parents)), "slot int, feature string")
+    names = spark.createDataFrame(list(enumerate(model.inputs.parents)),
+                                  "slot int, feature string")
     if kind == "gain":
         values = [(i, float(x)) for i, x in enumerate(trees.featureImportances.toArray())]
         used = spark.createDataFrame(values, "slot int, amount double")

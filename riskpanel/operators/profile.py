@@ -22,7 +22,6 @@ from riskpanel.operators.ranks import GATHER_ROWS, long_numbers
 
 # Quantiles of the numeric section.
 PROFILE_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
-MAX_K = 1_000
 SMALL_ROWS = 1_000_000
 EXACT_IN_DOUBLE = (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)
 CUT_SHARES = (0.001, 0.05, None)
@@ -142,9 +141,8 @@ def _counted(values: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _check_k(k: int) -> None:
-    """Up to this many rows per column, tasks cut their own rows before the shuffle."""
-    if not 1 <= k <= MAX_K:
-        raise ValueError(f"k must lie between 1 and {MAX_K}")
+    if k < 1:
+        raise ValueError("k must be at least 1")
 
 
 def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 10) -> DataFrame:
@@ -190,36 +188,46 @@ def date_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10) -> DataFrame:
-    """Rows (column, bin, low, high, n): equal-width bins, the last one closed."""
+    """Rows (column, bin, low, high, n): equal-width bins, the last one closed.
+
+    Infinite values have bins of their own, -1 and ``bins``, if there are any.
+    """
     columns = numeric_columns(df) if columns is None else columns
     numbers = df.select(*[clean_number(df, c).alias(f"x{i}") for i, c in enumerate(columns)])
-    row = numbers.agg(*[F.min(f"x{i}").alias(f"lo{i}") for i in range(len(columns))],
-                      *[F.max(f"x{i}").alias(f"hi{i}") for i in range(len(columns))]).first()
-    slots, edges = [], []
+    finite = {i: F.when(F.abs(f"x{i}") < math.inf, F.col(f"x{i}")) for i in range(len(columns))}
+    row = numbers.agg(*[F.min(x).alias(f"lo{i}") for i, x in finite.items()],
+                      *[F.max(x).alias(f"hi{i}") for i, x in finite.items()],
+                      *[F.count_if(F.col(f"x{i}") == end).alias(f"{name}{i}") for i in finite
+                        for name, end in (("below", -math.inf), ("above", math.inf))]).first()
+    slots, edges, infinite = [], [], []
     for i, c in enumerate(columns):
         low, high = row[f"lo{i}"], row[f"hi{i}"]
+        infinite += [(c, b, end, end, row[f"{name}{i}"]) for name, b, end in
+                     (("below", -1, -math.inf), ("above", bins, math.inf)) if row[f"{name}{i}"]]
         if low is None:
             continue
         if high == low:
-            slot = F.when(F.col(f"x{i}").isNotNull(), 0)
+            slot = F.when(finite[i].isNotNull(), 0)
         else:
-            share = (F.col(f"x{i}") - F.lit(low)) / F.lit(high - low)
+            share = (finite[i] - F.lit(low)) / F.lit(high - low)
             # least() would skip a NULL and put the missing values in the last bin
             slot = F.when(share.isNotNull(), F.least(F.floor(share * bins), F.lit(bins - 1)))
         slots.append(slot.cast("int").alias(c))
         edges += [(c, b, low + (high - low) * b / bins, low + (high - low) * (b + 1) / bins)
                   for b in range(bins)]
     spark = df.sparkSession
-    grid = spark.createDataFrame(edges, "column string, bin int, low double, high double")
+    shape = "column string, bin int, low double, high double"
+    grid = spark.createDataFrame(edges, shape)
+    ends = spark.createDataFrame(infinite, f"{shape}, n bigint")
     if not slots:
-        return grid.withColumn("n", F.lit(0).cast("long"))
+        return ends
     counted = (numbers.select(*slots)
                .unpivot([], [ref(e) for e in dict.fromkeys(e[0] for e in edges)], "column", "bin")
                .where("bin IS NOT NULL").groupBy("column", "bin")
                .agg(F.count(F.lit(1)).alias("n")))
     # both sides hold at most columns x bins rows
     return grid.join(F.broadcast(counted), ["column", "bin"], "left").select(
-        "column", "bin", "low", "high", F.coalesce("n", F.lit(0)).alias("n"))
+        "column", "bin", "low", "high", F.coalesce("n", F.lit(0)).alias("n")).unionByName(ends)
 
 
 def missing_counts(df: DataFrame) -> DataFrame:

@@ -143,13 +143,19 @@ def values_at_ranks(df: DataFrame, counts: dict[str, ColumnCount], ranks: dict[s
                                                            asked[c])]
     numbers = numbers.select(*[F.when(F.abs(x) < math.inf, F.col(x)).alias(x)
                                for x in names.values()])
+    stalled = 0
     while True:
         unsettled = [s for s in searches if s.value is None]
         limit = max(gather_rows // max(len({s.interval for s in unsettled}), 1), 1)
         wide = [s for s in unsettled if s.inside > limit]
         if not wide:
             break
+        before = [(s.value, s.inside) for s in searches]
         _narrow(numbers, names, wide, searches, sample_rows)
+        # a sample may propose nothing once, by chance; not again and again
+        stalled = stalled + 1 if before == [(s.value, s.inside) for s in searches] else 0
+        if stalled == 20:
+            raise RuntimeError("the rank search makes no progress")
     _gather(numbers, names, [s for s in searches if s.value is None])
     for s in searches:
         found[s.column][s.asked] = s.value
@@ -199,7 +205,7 @@ def _cut(numbers: DataFrame, names: dict[str, str],
     cells = []
     for i, c in enumerate(columns):
         part = F.col(f"part_{names[c]}") if c in cut else F.lit(0.0)
-        cells.append((part + F.lit(float(i * PARTS))).cast("int"))
+        cells.append((part + F.lit(float(i * PARTS))).cast("long"))
         cells.append(F.col(names[c]))
     rows = frame.select(F.stack(F.lit(len(columns)), *cells).alias("part", "value"))
     return rows.where("value IS NOT NULL"), splits

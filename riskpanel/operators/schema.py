@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from riskpanel.functions.columns import quoted, ref
 
 
+#: Holds the text of a row whose number of cells is not the header's.
+CORRUPT = "__corrupt"
+#: Numbers of the checks that an ingested row breaks.
+BROKEN = "__broken"
+DATE_TEXTS = ((r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"), (r"^[0-9]{8}$", "yyyyMMdd"))
+
+
 @dataclass(frozen=True)
 class ColumnRule:
     """One declared column: its Spark type, whether it may be NULL, and its domain."""
@@ -56,7 +63,19 @@ def missing_columns(df: DataFrame, rules: tuple[ColumnRule, ...]) -> list[str]:
 
 
 def _coerced(rule: ColumnRule) -> Column:
-    return F.expr(f"try_cast({quoted(rule.name)} AS {rule.dtype})")
+    """The value in its declared type. A whole number may be written as ``1.0``; a date
+    as month/day/year or as eight digits."""
+    value = F.expr(f"try_cast({quoted(rule.name)} AS {rule.dtype})")
+    if rule.dtype in ("int", "bigint"):
+        number = F.expr(f"try_cast({quoted(rule.name)} AS double)")
+        whole = F.when(number == F.floor(number), number)
+        return F.coalesce(value, whole.try_cast(rule.dtype))
+    if rule.dtype in ("date", "timestamp", "timestamp_ntz"):
+        text = ref(rule.name).cast("string")
+        other = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)))
+                 .cast(rule.dtype) for shape, pattern in DATE_TEXTS]
+        return F.coalesce(*other, value)
+    return value
 
 
 def _clean(rule: ColumnRule) -> Column:
@@ -73,30 +92,38 @@ def coerce(df: DataFrame, rules: tuple[ColumnRule, ...] = PANEL_RULES) -> DataFr
     """
     by_name = {r.name: r for r in rules}
     return df.select(*[_clean(by_name[c]).alias(c) if c in by_name else ref(c)
-                       for c in df.columns])
+                       for c in df.columns if c != CORRUPT])
 
 
-def violation_report(df: DataFrame, rules: tuple[ColumnRule, ...] = PANEL_RULES) -> DataFrame:
-    """Rows (column, check, n_failed) for every rule, counted in one pass.
-
-    Takes the table before coercion. A missing column fails its ``present``
-    check once; its other checks are left out.
-    """
+def _checks(df: DataFrame, rules: tuple[ColumnRule, ...]) -> list[tuple[str, str, Column]]:
+    """(column, check, rows that break it) of every rule; a missing column has one check."""
     absent = set(missing_columns(df, rules))
-    counters: list[tuple[str, str, Column]] = []
+    checks: list[tuple[str, str, Column]] = []
+    if CORRUPT in df.columns:
+        checks.append(("(row)", "cells", ref(CORRUPT).isNotNull()))
     for rule in rules:
         if rule.name in absent:
-            counters.append((rule.name, "present", F.lit(1).cast("long")))
             continue
         raw, value = ref(rule.name), _clean(rule)
-        counters.append((rule.name, "present", F.lit(0).cast("long")))
-        counters.append((rule.name, "convertible",
-                         F.count_if(raw.isNotNull() & _coerced(rule).isNull())))
+        checks.append((rule.name, "convertible", raw.isNotNull() & _coerced(rule).isNull()))
         if not rule.nullable:
-            counters.append((rule.name, "not_null", F.count_if(value.isNull())))
+            checks.append((rule.name, "not_null", value.isNull()))
         if rule.allowed:
-            counters.append((rule.name, "in_domain",
-                             F.count_if(value.isNotNull() & ~value.isin(*rule.allowed))))
+            checks.append((rule.name, "in_domain",
+                           value.isNotNull() & ~value.isin(*rule.allowed)))
+    return checks
+
+
+def violation_report(df: DataFrame, rules: tuple[ColumnRule, ...] = PANEL_RULES) -> DataFrame:
+    """Rows (column, check, n_failed) for every rule, counted in one pass.
+
+    Takes the table before coercion. A missing column fails its ``present``
+    check once; its other checks are left out.
+    """
+    absent = set(missing_columns(df, rules))
+    counters = [(r.name, "present", F.lit(int(r.name in absent)).cast("long")) for r in rules]
+    counters += [(column, check, F.count_if(broken))
+                 for column, check, broken in _checks(df, rules)]
     totals = df.agg(*[c.alias(f"k{i}") for i, (_, _, c) in enumerate(counters)])
     rows = F.array(*[
         F.struct(F.lit(column).alias("column"), F.lit(check).alias("check"),
@@ -111,3 +138,27 @@ def validate(df: DataFrame, rules: tuple[ColumnRule, ...] = PANEL_RULES) -> Data
     if report:
         raise SchemaViolation([(r["column"], r["check"], r["n_failed"]) for r in report])
     return coerce(df, rules)
+
+
+def ingest(df: DataFrame, path: str, rules: tuple[ColumnRule, ...] = PANEL_RULES) -> DataFrame:
+    """The coerced table written as Parquet and read back, or :class:`SchemaViolation`.
+
+    ``df`` is read once: each written row lists the checks that it breaks, and the
+    report counts that narrow column of the Parquet table.
+    """
+    absent = missing_columns(df, rules)
+    if absent:
+        raise SchemaViolation([(c, "present", 1) for c in absent])
+    checks = _checks(df, rules)
+    broken = F.filter(F.array(*[F.when(bad, F.lit(i)) for i, (_, _, bad) in enumerate(checks)]),
+                      lambda i: i.isNotNull())
+    by_name = {r.name: r for r in rules}
+    columns = [c for c in df.columns if c != CORRUPT]
+    df.select(*[_clean(by_name[c]).alias(c) if c in by_name else ref(c) for c in columns],
+              broken.alias(BROKEN)).write.mode("overwrite").parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    found = table.select(F.explode(BROKEN).alias("i")).groupBy("i").count().collect()
+    if found:
+        raise SchemaViolation([(*checks[r["i"]][:2], r["count"])
+                               for r in sorted(found, key=lambda r: r["i"])])
+    return table.drop(BROKEN)

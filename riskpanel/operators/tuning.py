@@ -9,9 +9,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JError
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +40,7 @@ class Range:
         return [round(p) for p in points] if self.whole else points
 
 
-# The search ranges. ``n_estimators`` spans 100 to 2000 in the
-# original search; every round is at least one Spark job, so DEFAULT_SPACE
-# narrows it and FULL_SPACE keeps it.
+# The search ranges.
 FULL_SPACE = {
     "lambda_l1": Range(0.01, 10.0),
     "lambda_l2": Range(0.01, 10.0),
@@ -58,7 +54,9 @@ FULL_SPACE = {
     "min_split_gain": Range(0.0, 0.1),
     "n_estimators": Range(100, 2000, whole=True),
 }
-DEFAULT_SPACE = {**FULL_SPACE, "n_estimators": Range(10, 100, whole=True)}
+DEFAULT_SPACE = FULL_SPACE
+#: Trials whose parameters tell one search from another.
+TOLD_TRIALS = 64
 
 
 def draw_params(space: dict[str, Range], trial_id: int, seed: int = 42) -> dict[str, float]:
@@ -148,7 +146,9 @@ class Study:
             trees = fit_trees(rows, params, self.seed)
             probability = vector_to_array("__probability")[1].alias("score")
             scored = trees.transform(held_out).select("__label", probability)
-            metric = average_precision(scored, "__label").first()["pr_auc"]
+            metric = (average_precision(scored, "__label").first() or {"pr_auc": None})["pr_auc"]
+            if metric is None:
+                raise ValueError("the validation table is empty")
             return self._record(trial_id, params, metric, FittedModel(inputs, trees))
 
         try:
@@ -169,9 +169,14 @@ class Study:
         """A name that changes with the rows, the features, the drawn parameters or the seed."""
         features = self.features or feature_columns(self.train, self.label_col)
         columns = [ref(c) for c in [*features, self.label_col]]
-        marks = [tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*columns))).first())
-                 for df in (self.train, self.val)]
-        told = (marks, features, self.label_col, self.seed, self.params_of(0))
+        # sums, as equal rows in pairs would cancel out of a xor
+        marks = [tuple(df.agg(
+            F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38, 0)")),
+            F.sum(F.xxhash64(F.lit(1), *columns).cast("decimal(38, 0)"))).first())
+            for df in (self.train, self.val)]
+        space = sorted((self.space or DEFAULT_SPACE).items())
+        told = (marks, features, self.label_col, self.seed, space,
+                [self.params_of(t) for t in range(TOLD_TRIALS)])
         return hashlib.sha1(repr(told).encode()).hexdigest()[:16]
 
     def _record(self, trial_id: int, params: dict[str, float], metric: float,
@@ -194,6 +199,6 @@ def _run_trials(trial: Callable[[int], tuple], missing: list[int], parallelism:
         for t, job in jobs.items():
             try:
                 done[t] = job.result()
-            except (PySparkException, Py4JError, OSError, RuntimeError) as exc:
+            except Exception as exc:  # whatever it was, the trial is tried again
                 failure = exc
     return failure

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskpanel.operators.rows import with_split
-from riskpanel.operators.schema import PANEL_RULES, ColumnRule, validate
+from riskpanel.operators.schema import PANEL_RULES, ColumnRule, ingest
 from riskpanel.operators.tuning import Range
 from riskpanel.plans.modelling import Modelling, model_panel
 from riskpanel.plans.prepare import CUTOFF, SYMBOL, TEST_START, VAL_START, prepare_panel
@@ -21,13 +21,14 @@ def run_job(spark: SparkSession, raw: DataFrame, prices: DataFrame,
             output: str | None = None) -> Modelling:
     """Validate, prepare, split, tune, fit and evaluate.
 
-    The prepared panel is written once, a folder per split, and read back: every
+    The raw table is read once and kept as typed Parquet, which every fitting pass
+    reads with the columns it needs. The prepared panel is written once, a folder per split, and read back: every
     later job reads only its own split, and a lost executor costs a re-read
     rather than the whole preparation. Without ``output`` that table goes to the
     session's shared folder.
     """
     folder = output or shared_folder(spark)
-    panel = validate(raw, rules)
+    panel = ingest(raw, f"{folder}/panel", rules)
     prepared, _ = prepare_panel(panel, prices, category_col, cutoff, symbol, label_col,
                                 fit_on=fit_on, val_start=val_start, test_start=test_start,
                                 summary_path=f"{folder}/summary_statistics")

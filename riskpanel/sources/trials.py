@@ -1,7 +1,9 @@
-"""The trials table: one row per finished trial, a folder per experiment."""
+"""The trials table: a folder for every finished trial, so that no two writers share one."""
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,17 +13,24 @@ TRIAL_SCHEMA = ("study string, trial_id int, params map<string,double>, metric d
 
 
 def append_trial(spark: SparkSession, path: str, experiment: str, row: tuple) -> None:
-    """Record one row of TRIAL_SCHEMA; the first trial creates the experiment."""
-    (spark.createDataFrame([row], TRIAL_SCHEMA).coalesce(1)
-     .write.mode("append").parquet(f"{path}/trials/experiment={experiment}"))
+    """Record one row of TRIAL_SCHEMA; the first trial creates the experiment.
+
+    A trial that is recorded again replaces itself, and trials that end at the same
+    time write apart from each other.
+    """
+    study, trial_id = row[:2]
+    folder = f"experiment={quote(experiment)}/study={quote(str(study))}/trial_id={trial_id}"
+    (spark.createDataFrame([row], TRIAL_SCHEMA).drop("study", "trial_id").coalesce(1)
+     .write.mode("overwrite").parquet(f"{path}/trials/{folder}"))
 
 
 def read_trials(spark: SparkSession, path: str, experiment: str | None = None,
                 study: str | None = None) -> DataFrame:
     """Recorded trials with their experiment; of a trial recorded twice, one row stays."""
     schema = f"{TRIAL_SCHEMA}, experiment string"
+    names = [c.split()[0] for c in schema.split(", ")]
     try:
-        found = spark.read.schema(schema).parquet(f"{path}/trials")
+        found = spark.read.schema(schema).parquet(f"{path}/trials").select(*names)
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise

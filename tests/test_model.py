@@ -63,8 +63,7 @@ def test_scores_find_the_signal(model, features):
 
 def test_inputs_fill_and_flag(spark, features):
     inputs = fit_inputs(features, ["a", "b", "flag", "empty"])
-    assert inputs.slots == ("a__input", "a__missing", "b__input", "flag__input", "empty__input",
-                            "empty__missing")
+    assert inputs.parents == ("a", "a", "b", "flag", "empty", "empty")
     median = features.agg(F.median("a")).first()[0]
     row = spark.createDataFrame([(None, 2.0, True, None)],
                                 "a double, b double, flag boolean, empty double")

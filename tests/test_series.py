@@ -139,7 +139,7 @@ def test_large_lookup_is_salted_not_broadcast(spark, skewed, how):
 
 
 def test_large_lookup_without_hot_keys(spark, monkeypatch):
-    monkeypatch.setattr(attach_module, "HOT_SHARE", 2)
+    monkeypatch.setattr(attach_module, "HOT_PARTS", 1)
     left = spark.range(100).select((F.col("id") % 50).alias("k"), "id")
     right = spark.range(50).select(F.col("id").alias("k"), F.lit(1.5).alias("v"))
     joined = attach(left, right, ["k"], broadcast_bytes=0)
