@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from urllib.parse import quote
+import hashlib
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 TRIAL_SCHEMA = ("study string, trial_id int, params map<string,double>, metric double, "
                 "model_path string")
+STORED_SCHEMA = f"{TRIAL_SCHEMA}, experiment string"
 
 
 def append_trial(spark: SparkSession, path: str, experiment: str, row: tuple) -> None:
@@ -18,23 +19,21 @@ def append_trial(spark: SparkSession, path: str, experiment: str, row: tuple) ->
     A trial that is recorded again replaces itself, and trials that end at the same
     time write apart from each other.
     """
-    study, trial_id = row[:2]
-    folder = f"experiment={quote(experiment)}/study={quote(str(study))}/trial_id={trial_id}"
-    (spark.createDataFrame([row], TRIAL_SCHEMA).drop("study", "trial_id").coalesce(1)
-     .write.mode("overwrite").parquet(f"{path}/trials/{folder}"))
+    name = hashlib.sha1(repr((experiment, *row[:2])).encode()).hexdigest()
+    (spark.createDataFrame([(*row, experiment)], STORED_SCHEMA).coalesce(1)
+     .write.mode("overwrite").parquet(f"{path}/trials/{name}"))
 
 
 def read_trials(spark: SparkSession, path: str, experiment: str | None = None,
                 study: str | None = None) -> DataFrame:
     """Recorded trials with their experiment; of a trial recorded twice, one row stays."""
-    schema = f"{TRIAL_SCHEMA}, experiment string"
-    names = [c.split()[0] for c in schema.split(", ")]
     try:
-        found = spark.read.schema(schema).parquet(f"{path}/trials").select(*names)
+        found = (spark.read.schema(STORED_SCHEMA).option("recursiveFileLookup", True)
+                 .parquet(f"{path}/trials"))
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        found = spark.createDataFrame([], schema)
+        found = spark.createDataFrame([], STORED_SCHEMA)
     if experiment is not None:
         found = found.where(F.col("experiment") == experiment)
     if study is not None:

@@ -188,3 +188,29 @@ def test_model_panel(spark, panel, folder):
     assert done.confusion.agg(F.sum("n")).first()[0] == test_rows
     assert load_model(spark, f"{folder}/model").inputs.features == ("a", "b", "flag", "empty")
     assert read_trials(spark, f"{folder}/study").count() == 2
+
+
+def test_feature_names_may_hold_dots(spark, folder):
+    df = spark.createDataFrame([(i % 2 == 0, float(i), i % 2) for i in range(40)],
+                               "`code_10.05` boolean, `x.y` double, Y int")
+    model = fit_classifier(df, {"num_leaves": 2, "n_estimators": 1, "min_child_samples": 1})
+    save_model(model, folder)
+    scored = score(load_model(spark, folder), df)
+    assert scored.where("prediction <> Y").count() == 0
+    used = {r["feature"]: r["importance"] for r in feature_importance(model).collect()}
+    assert used == {"code_10.05": 1, "x.y": 0}
+
+
+def test_another_space_or_other_rows_are_another_study(spark, folder):
+    rows = spark.createDataFrame([(float(i), i % 2) for i in range(8)], "a double, Y int")
+
+    def name(train=rows, **options):
+        study = Study(train, rows, trials_path=folder, **options)
+        return study._identity()
+
+    narrow, wide = {"num_leaves": Range(2, 4, whole=True)}, {"num_leaves": Range(2, 9, whole=True)}
+    twice = rows.unionByName(rows)
+    shifted = rows.selectExpr("a + 1 as a", "Y")
+    assert len({name(space=narrow), name(space=wide), name(twice, space=narrow),
+                name(shifted.unionByName(shifted), space=narrow), name(space=narrow, seed=1)}) == 5
+    assert name(space=narrow) == name(space=narrow)

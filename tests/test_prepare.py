@@ -239,3 +239,12 @@ def test_prepare_fitted_on_train_only(small_flow):
     assert prepared.count() == 55
     with pytest.raises(ValueError):
         prepare_panel(panel, prices, fit_on="val")
+
+
+def test_one_hot_names_differ_by_more_than_case(spark):
+    df = spark.createDataFrame([("Tech",), ("tech",), ("TECH",), ("tech_2",)], "c string")
+    fitted = fit_one_hot(df, "c")
+    names = fitted.names()
+    assert len({n.lower() for n in names}) == 4
+    out = apply_one_hot(df, fitted)
+    assert all(out.agg(F.count_if(n)).first()[0] == 1 for n in names)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskpanel.operators.describe import describe, describe_dates, describe_numbers
 from riskpanel.operators.rows import with_split
-from riskpanel.operators.schema import (PANEL_RULES, ColumnRule, SchemaViolation, coerce,
+from riskpanel.operators.schema import (PANEL_RULES, ColumnRule, SchemaViolation, coerce, ingest,
                                         missing_columns, validate, violation_report)
 from riskpanel.operators.tuning import best_trial
 from riskpanel.sources.outputs import (load_best_params, save_best_params, save_processed,
@@ -160,3 +160,43 @@ def test_profile_sections_are_stored(spark, folder):
     assert spark.read.parquet(f"{folder}/profile/overview").first()["missing_cells"] == 1
     histogram = spark.read.parquet(f"{folder}/profile/histogram").agg(F.sum("n")).first()[0]
     assert histogram == 2
+
+
+def test_trials_recorded_at_the_same_time_all_stay(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda t: append_trial(spark, folder, "e x/1", (
+            "s", t, {"a": 1.0}, float(t), None)), range(24)))
+    append_trial(spark, folder, "e x/1", ("s", 3, {"a": 2.0}, 3.5, None))  # again
+    rows = {r["trial_id"]: r["metric"] for r in read_trials(spark, folder, "e x/1", "s").collect()}
+    assert rows == {t: 3.5 if t == 3 else float(t) for t in range(24)}
+
+
+def test_rows_with_other_cells_and_other_headers_are_reported(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/csv")
+    with open(f"{folder}/csv/a.csv", "w") as f:
+        f.write("CompNo,STInt,Y\n1,0.5,0\n2,0.6,0,extra,cells\n3,0.7\n")
+    raw = read_panel_csv(spark, f"{folder}/csv")
+    rules = (ColumnRule("CompNo", "string"), ColumnRule("STInt", "double"), ColumnRule("Y", "int"))
+    found = {(r["column"], r["check"]): r["n_failed"] for r in violation_report(raw, rules).collect()}
+    assert found["(row)", "cells"] == 2
+    with pytest.raises(SchemaViolation, match="cells failed on 2 rows"):
+        ingest(raw, f"{folder}/table", rules)
+    with open(f"{folder}/csv/b.csv", "w") as f:
+        f.write("Y,CompNo,STInt\n0,4,0.8\n")
+    with pytest.raises(Exception, match="[Hh]eader"):
+        read_panel_csv(spark, f"{folder}/csv").collect()
+
+
+def test_ingest_keeps_what_validate_keeps(spark, folder):
+    rows = spark.createDataFrame([("1", "1.0", "1/31/2000"), ("2", "0", "20000131")],
+                                 "k string, Y string, Date string")
+    rules = (ColumnRule("k", "string"), ColumnRule("Y", "int", False, (0, 1)),
+             ColumnRule("Date", "timestamp_ntz", False))
+    a, b = validate(rows, rules), ingest(rows, f"{folder}/t", rules)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert {str(r["Date"]) for r in b.collect()} == {"2000-01-31 00:00:00"}
+    assert a.schema == b.schema
