@@ -18,9 +18,9 @@ found in four steps, none of which can lose one.
    number that a partner's size may ask for.
 4. Verification, in rounds. A round pairs the holders of an index key with one of them,
    so the work is linear in the key's holders; links found join components, and keys
-   whose holders are in one component are done with. What then is left, pairs of
-   different components under one key, is verified pair by pair. Bitmaps bound the
-   overlap of a pair before its sets are compared.
+   whose holders are in one component are done with. Once the pairs of different
+   components under one key are few, or after some rounds, all of these are
+   verified. Bitmaps bound the overlap of such a pair before its sets are compared.
 
 Defined results: a null or empty text and one without words have no shingles, no
 links and their own doc_id as component; a null doc_id never names a component
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskpanel.llm import texts
@@ -46,6 +46,7 @@ RARE = 16  # classes that hold a rare shingle, at most
 PER_CLASS = 16  # shingles of a set for each of its token classes
 BITS = 2048
 STAR_ROUNDS = 3
+PAIRS_PER_ROW = 20  # of index keys; beyond it pivots settle some first
 SMALL = 1_000_000  # rows of a few bytes that may be broadcast
 
 
@@ -161,9 +162,38 @@ def _entries(table: pa.Table, columns: int, *kinds) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*out)]
 
 
-def _hits(table: pa.Table) -> pa.Table:
-    """Per class, its screened shingles in this bucket that another class has too."""
-    classes, keys, own = _entries(table, 1, np.bool_)
+def _dealt(parts: int, classes: np.ndarray, *columns: np.ndarray) -> pa.Table:
+    """The rows packed by class into at most ``parts`` strings: as many rows as parts,
+    however many classes there are."""
+    part = (texts.mix(classes.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    full = np.flatnonzero(np.diff(cuts))
+    blobs = [texts.pack(*(c[order[cuts[p]:cuts[p + 1]]] for c in (classes, *columns)))
+             for p in full]
+    return pa.table({"bucket": pa.array(full, pa.int32()), "runs": texts.binary_array(blobs)})
+
+
+def _gathered(table: pa.Table, *kinds) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*(
+        texts.unpack(blob, np.int64, *kinds) for blob in table.column("runs").to_pylist()))]
+
+
+def _hits(parts: int):
+    """Per class, its screened shingles in a bucket that another class has too."""
+    def run(table: pa.Table) -> pa.Table:
+        return _dealt(parts, *_hits_of(*_entries(table, 1, np.bool_)))
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    classes, hits = _gathered(table, np.int64)
+    who, at = np.unique(classes, return_inverse=True)
+    return pa.table({"class": pa.array(who, pa.int64()),
+                     "hits": pa.array(np.bincount(at, hits).astype(np.int64))})
+
+
+def _hits_of(classes: np.ndarray, keys: np.ndarray, own: np.ndarray):
     order = np.lexsort((classes, keys))
     classes, keys, own = classes[order], keys[order], own[order]
     new = np.ones(len(keys), bool)
@@ -173,8 +203,7 @@ def _hits(table: pa.Table) -> pa.Table:
     shared = np.zeros(len(keys), bool)
     shared[1:] |= same
     shared[:-1] |= same
-    who, n = np.unique(classes[shared & own], return_counts=True)
-    return pa.table({"class": pa.array(who, pa.int64()), "hits": pa.array(n, pa.int64())})
+    return np.unique(classes[shared & own], return_counts=True)
 
 
 def _tokens(buckets: int):
@@ -185,25 +214,20 @@ def _tokens(buckets: int):
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Per class, its shingles in this bucket that other classes hold, and how many do."""
-    classes, n, keys = _entries(table, 2)
-    order = np.lexsort((keys, classes))
-    classes, n, keys = classes[order], n[order], keys[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (classes[1:] != classes[:-1])
-    classes, n, keys = classes[new], n[new], keys[new]
-    _, at, count = np.unique(keys, return_inverse=True, return_counts=True)
-    held = count[at].astype(np.int32)
-    kept = held > 1
-    classes, n, keys, held = classes[kept], n[kept], keys[kept], held[kept]
-    cuts = np.append(np.flatnonzero(np.append(True, classes[1:] != classes[:-1]))
-                     if len(classes) else np.zeros(0, np.int64), len(classes))
-    spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
-    return pa.table({
-        "class": pa.array(classes[cuts[:-1]], pa.int64()), "n": pa.array(n[cuts[:-1]], pa.int64()),
-        "keys": texts.binary_array([keys[a:b].tobytes() for a, b in spans]),
-        "held": texts.binary_array([held[a:b].tobytes() for a, b in spans])})
+def _shared(parts: int):
+    """Per class, its shingles in a bucket that other classes hold, and how many do."""
+    def run(table: pa.Table) -> pa.Table:
+        classes, n, keys = _entries(table, 2)
+        order = np.lexsort((keys, classes))
+        classes, n, keys = classes[order], n[order], keys[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (classes[1:] != classes[:-1])
+        classes, n, keys = classes[new], n[new], keys[new]
+        _, at, count = np.unique(keys, return_inverse=True, return_counts=True)
+        held = count[at].astype(np.int32)
+        kept = held > 1
+        return _dealt(parts, classes[kept], n[kept], keys[kept], held[kept])
+    return run
 
 
 # -- signatures -----------------------------------------------------------------------
@@ -245,26 +269,26 @@ def prefix_keys(n: int, keys: np.ndarray, held: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(table: pa.Table) -> pa.Table:
     """Classes that may have a partner, with their shared shingles, a bitmap and index keys."""
-    for batch in batches:
-        out = []
-        for c, n, blobs, held in zip(*(batch.column(x).to_pylist()
-                                       for x in ("class", "n", "keys", "held"))):
-            keys = np.frombuffer(b"".join(blobs), np.uint64)
-            held = np.frombuffer(b"".join(held), np.int32)
-            if n - len(keys) > may_lack(n):
-                continue
-            bits = np.zeros(BITS, np.uint8)
-            bits[(keys >> np.uint64(20)) % np.uint64(BITS)] = 1
-            out.append((c, n, len(keys), np.sort(keys).tobytes(), np.packbits(bits).tobytes(),
-                        prefix_keys(n, keys, held).view(np.int64)))
-        c, n, m, keys, bits, index = zip(*out) if out else [()] * 6
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()), pa.array(n, pa.int64()), pa.array(m, pa.int64()),
-             pa.array(keys, pa.binary()), pa.array(bits, pa.binary()),
-             pa.array(index, pa.list_(pa.int64()))],
-            names=["class", "n", "m", "keys", "bits", "index"])
+    classes, sizes, keys, held = _gathered(table, np.int64, np.uint64, np.int32)
+    order = np.lexsort((keys, classes))
+    classes, sizes, keys, held = classes[order], sizes[order], keys[order], held[order]
+    cuts = np.append(np.flatnonzero(np.append(True, classes[1:] != classes[:-1])), len(classes))
+    out = []
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        n, own = int(sizes[a]), keys[a:b]
+        if n - len(own) > may_lack(n):
+            continue
+        bits = np.zeros(BITS, np.uint8)
+        bits[(own >> np.uint64(20)) % np.uint64(BITS)] = 1
+        out.append((int(classes[a]), n, b - a, own.tobytes(), np.packbits(bits).tobytes(),
+                    prefix_keys(n, own, held[a:b]).view(np.int64)))
+    c, n, m, keys, bits, index = zip(*out) if out else [()] * 6
+    return pa.table({"class": pa.array(c, pa.int64()), "n": pa.array(n, pa.int64()),
+                     "m": pa.array(m, pa.int64()), "keys": pa.array(keys, pa.binary()),
+                     "bits": pa.array(bits, pa.binary()),
+                     "index": pa.array(index, pa.list_(pa.int64()))})
 
 
 # -- verification ---------------------------------------------------------------------
@@ -294,17 +318,23 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that are linked."""
-    def side(end: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("class").alias(end),
-                           *(F.col(c).alias(f"{c}_{end}") for c in columns))
+def verified(pairs: DataFrame, sets: DataFrame, bitmaps: bool) -> DataFrame:
+    """The pairs (a, b) of classes that are linked; ``bitmaps`` rule most others out first."""
+    def both(table: DataFrame, *columns: str) -> DataFrame:
+        for end in ("a", "b"):
+            table = table.join(sets.select(F.col("class").alias(end), *(
+                F.col(c).alias(f"{c}_{end}") for c in columns)), end)
+        return table
+
+    if bitmaps:
+        pairs = texts.stored(both(pairs, "n", "m", "bits").mapInArrow(
+            _possible, "a bigint, b bigint"))
+    return texts.stored(both(pairs, "n", "keys").mapInArrow(_linked, "a bigint, b bigint"))
 
-    first = texts.stored(
-        pairs.join(side("a", "n", "m", "bits"), "a").join(side("b", "n", "m", "bits"), "b")
-        .mapInArrow(_possible, "a bigint, b bigint"))
-    return texts.stored(first.join(side("a", "n", "keys"), "a").join(side("b", "n", "keys"), "b")
-                        .mapInArrow(_linked, "a bigint, b bigint"))
+
+def _small(table: DataFrame) -> DataFrame:
+    """The table, to be broadcast if it has few rows (of a few numbers each)."""
+    return F.broadcast(table) if table.count() <= SMALL else table
 
 
 def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -315,18 +345,20 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """
     while True:
         one, two = labels.toDF("a", "x"), labels.toDF("b", "y")
-        between = texts.stored(links.join(one, "a").join(two, "b").where("x <> y")
-                               .select("x", "y").distinct())
+        between = texts.stored(links.join(_small(one), "a").join(_small(two), "b")
+                               .where("x <> y").select("x", "y").distinct())
         if between.isEmpty():
             return labels
         both = between.unionByName(between.select(F.col("y").alias("x"), F.col("x").alias("y")))
         up = texts.stored(both.groupBy("x").agg(F.min("y").alias("y"))
                           .select("x", F.least("x", "y").alias("y")))
+        few = up.count() <= SMALL
         for _ in range(2):
             again = up.toDF("y", "z")
-            up = up.join(again, "y", "left").select("x", F.coalesce("z", "y").alias("y"))
+            up = up.join(F.broadcast(again) if few else again, "y", "left").select(
+                "x", F.coalesce("z", "y").alias("y"))
         up = up.toDF("label", "above")
-        labels = texts.stored(labels.join(up, "label", "left").select(
+        labels = texts.stored(labels.join(F.broadcast(up) if few else up, "label", "left").select(
             "class", F.coalesce("above", "label").alias("label")))
 
 
@@ -334,34 +366,38 @@ def components(sets: DataFrame, index: DataFrame) -> DataFrame:
     """class and label of every class in ``sets``; linked classes have one label."""
     labels = sets.select("class", F.col("class").alias("label"))
     tested = None
+    by_key, by_label = Window.partitionBy("key"), Window.partitionBy("key", "label")
     star = 0
     while True:
-        own = index.join(labels, "class")
-        mixed = own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        mixed = mixed.where("low <> high").select("key")
-        index = texts.stored(index.join(mixed, "key", "left_semi"))  # the other keys are done with
-        if index.isEmpty():
+        # keys whose holders are in one component are done with
+        order = F.xxhash64("class", F.lit(star)) if star else F.col("class")
+        held = index.join(_small(labels), "class").select(
+            "*", F.min("label").over(by_key).alias("low"), F.max("label").over(by_key).alias("high"),
+            F.min(F.struct(order.alias("o"), "class", "label")).over(by_key).alias("p"),
+            (F.count("*").over(by_key) - F.count("*").over(by_label)).alias("others"))
+        active = texts.stored(held.where("low <> high").select(
+            "key", "class", "label", F.col("p.class").alias("pivot"),
+            F.col("p.label").alias("pivot_label"), "others"))
+        rows, others = active.agg(F.count("*"), F.sum("others")).first()
+        if not rows:
             return labels
-        own = index.join(labels, "class")
-        if star < STAR_ROUNDS:
-            # every holder with the key's pivot; of a holder's pivots in one component, one
-            order = F.xxhash64("class", F.lit(star)) if star else F.col("class")
-            pivot = own.groupBy("key").agg(F.min(F.struct(
-                order.alias("o"), "class", "label")).alias("p"))
-            pairs = (own.join(pivot, "key").where("label <> p.label")
-                     .groupBy("class", F.col("p.label").alias("to"))
-                     .agg(F.min("p.class").alias("other")).select("class", "other"))
+        index = active.select("key", "class")
+        last = star == STAR_ROUNDS or others <= PAIRS_PER_ROW * rows
+        if last:
+            other = active.select("key", F.col("class").alias("other"), F.col("label").alias("to"))
+            pairs = (active.select("key", "class", "label").join(other, "key")
+                     .where("label < to").select("class", "other"))
         else:
-            other = own.select("key", F.col("class").alias("other"), F.col("label").alias("to"))
-            pairs = own.join(other, "key").where("label < to").select("class", "other")
+            # every holder with the key's pivot; of a holder's pivots in one component, one
+            pairs = (active.where("label <> pivot_label").groupBy("class", "pivot_label")
+                     .agg(F.min("pivot").alias("other")).select("class", "other"))
         pairs = pairs.select(F.least("class", "other").alias("a"),
                              F.greatest("class", "other").alias("b")).distinct()
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = pairs.join(_small(tested), ["a", "b"], "left_anti")
         pairs = texts.stored(pairs)
-        links = verified(pairs, sets)
-        labels = joined(labels, links)
-        if star == STAR_ROUNDS:
+        labels = joined(labels, verified(pairs, sets, last))
+        if last:
             return labels
         tested = pairs if tested is None else tested.unionByName(pairs)
         star += 1
@@ -370,10 +406,6 @@ def components(sets: DataFrame, index: DataFrame) -> DataFrame:
 # -- the join --------------------------------------------------------------------------
 
 
-def _small(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if table.count() <= SMALL else table
-
-
 def grouped(documents: DataFrame) -> DataFrame:
     """doc_id, class, n_shingles and component_id of every document (stored)."""
     spark = documents.sparkSession
@@ -384,27 +416,23 @@ def grouped(documents: DataFrame) -> DataFrame:
     found = texts.stored(rows.mapInArrow(
         _classes, f"doc_id {kind}, class bigint, n bigint, need bigint"))
     hits = (rows.mapInArrow(_screen(buckets), "bucket int, runs binary")
-            .groupBy("bucket").applyInArrow(_hits, "class bigint, hits bigint")
-            .groupBy("class").agg(F.sum("hits").alias("hits")))
+            .groupBy("bucket").applyInArrow(_hits(buckets), "bucket int, runs binary")
+            .groupBy("bucket").applyInArrow(_summed, "class bigint, hits bigint"))
     heads = (found.where("n > 0").groupBy("class")
              .agg(F.min("doc_id").alias("head"), F.first("need").alias("need")))
     stay = _small(texts.stored(
         heads.join(hits, "class", "left").where("need <= coalesce(hits, 0)").select("head")
         .distinct()))
-    shared = (rows.join(stay, rows["doc_id"].eqNullSafe(stay["head"]), "left_semi")
-              .mapInArrow(_tokens(buckets), "bucket int, runs binary")
-              .groupBy("bucket").applyInArrow(
-                  _shared, "class bigint, n bigint, keys binary, held binary")
-              .groupBy("class", "n").agg(F.collect_list("keys").alias("keys"),
-                                         F.collect_list("held").alias("held")))
-    sets = texts.stored(shared.mapInArrow(
-        _sets, "class bigint, n bigint, m bigint, keys binary, bits binary, index array<bigint>"))
+    sets = texts.stored(
+        rows.join(stay, rows["doc_id"].eqNullSafe(stay["head"]), "left_semi")
+        .mapInArrow(_tokens(buckets), "bucket int, runs binary")
+        .groupBy("bucket").applyInArrow(_shared(buckets), "bucket int, runs binary")
+        .groupBy("bucket").applyInArrow(_sets, "class bigint, n bigint, m bigint, keys binary, "
+                                               "bits binary, index array<bigint>"))
     index = sets.select("class", F.explode("index").alias("key"))
-    often = index.groupBy("key").count().where("count > 1").select("key")
-    index = texts.stored(index.join(often, "key", "left_semi"))
-    labels = texts.stored(components(sets.drop("index"), index))
+    labels = components(sets.drop("index"), index)
     named = texts.stored(
-        found.join(labels, "class", "left")
+        found.join(_small(labels), "class", "left")
         .select("doc_id", "class", "n", F.coalesce("label", "class").alias("label")))
     least = texts.stored(named.where("n > 0").groupBy(F.col("label").alias("of"))
                          .agg(F.min("doc_id").alias("least")))

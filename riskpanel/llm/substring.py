@@ -74,8 +74,12 @@ def run_bounds(place: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first, np.append(first[1:], len(at)) - 1
 
 
-def word_runs(buckets: int):
-    """A task's texts as (bucket, packed runs)."""
+def in_pass(minimisers: np.ndarray, number: int, passes: int) -> np.ndarray:
+    return (texts.mix(minimisers) >> np.uint64(40)) % np.uint64(passes) == number
+
+
+def word_runs(buckets: int, number: int, passes: int):
+    """A task's texts as (bucket, packed runs); of several passes, those of one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in texts.parts(batches):
             heads, documents, copies = class_heads(rows)
@@ -95,6 +99,8 @@ def word_runs(buckets: int):
             place = texts.sliding_minimum(groups, WINDOW - MINIMISER + 1)
             low, high = run_bounds(place[at], at)
             low, high = at[low], at[high]
+            own = in_pass(groups[place[low]], number, passes)
+            low, high = low[own], high[own]
             document = words.document()[low]
             begin, end = words.starts[low], words.ends[high + WINDOW - 1]
             keys = np.asarray(rows.column("class"))[heads]
@@ -185,17 +191,25 @@ def _exact_leaders(data, words, at, leader):
     return out
 
 
-def with_spans(documents: DataFrame, map_runs, judge_bucket) -> DataFrame:
+def with_spans(documents: DataFrame, map_runs, judge_bucket, passes: int = 1) -> DataFrame:
     """doc_id and text of every row with ``first_id`` and the ranges of its class.
 
-    ``first_id`` is null where nothing of the class is found elsewhere.
+    ``first_id`` is null where nothing of the class is found elsewhere. Each pass
+    deals with its share of the minimisers, so that only this share of the packed
+    strings is on disk at a time.
     """
     spark = documents.sparkSession
     texts.workers_find_package(spark)
     rows = documents.select("doc_id", "text").withColumn("class", texts.text_key(F.col("text")))
-    buckets = BUCKETS_PER_PARTITION * texts.partitions(spark)
-    found = (rows.mapInArrow(map_runs(buckets), "bucket int, runs binary")
-             .groupBy("bucket").applyInArrow(judge_bucket, SPANS))
+    buckets = max(1, BUCKETS_PER_PARTITION * texts.partitions(spark) // passes)
+    found = None
+    for number in range(passes):
+        part = (rows.mapInArrow(map_runs(buckets, number, passes), "bucket int, runs binary")
+                .groupBy("bucket").applyInArrow(judge_bucket, SPANS))
+        if passes > 1:
+            part = texts.stored(part)
+            texts.let_go(spark)
+        found = part if found is None else found.unionByName(part)
     spans = texts.stored(found.groupBy(F.col("class").alias("same")).agg(
         F.min("first_id").alias("first_id"), F.collect_list("spans").alias("spans")))
     return rows.join(spans, rows["class"] == spans["same"], "left").drop("same", "class")

@@ -32,6 +32,8 @@ from riskpanel.llm import substring, texts
 
 LENGTH = 50
 MINIMISER = 16
+#: Passes over the texts; the packed strings of one take a few times the input's space.
+PASSES = 2
 #: Suffixes are ordered by 128 bytes; a run has 2 * LENGTH - MINIMISER at most.
 LEVELS = (8, 16, 32, 64, 128)
 
@@ -45,27 +47,44 @@ def _words8(data: np.ndarray, width: int = 8) -> np.ndarray:
     return out
 
 
-def byte_runs(buckets: int):
-    """A task's texts as (bucket, packed runs of windows)."""
+def minimisers_of(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The minimiser of the window at each start, as ``byte_runs`` finds it."""
+    groups = _groups(data)
+    best = groups[starts]
+    for j in range(1, LENGTH - MINIMISER + 1):
+        other = groups[starts + j]
+        best = np.where(other >> np.uint64(32) < best >> np.uint64(32), other, best)
+    return best
+
+
+def _groups(data: np.ndarray) -> np.ndarray:
+    """Hashes of all groups of MINIMISER bytes."""
+    words = _words8(data)
+    groups = texts.mix(words[:-8] * texts.FACTORS[0] + words[8:] * texts.FACTORS[1])
+    return groups[:len(data) - MINIMISER + 1]
+
+
+def byte_runs(buckets: int, number: int, passes: int):
+    """A task's texts as (bucket, packed runs of windows); of the passes, those of one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in texts.parts(batches, most=texts.PART_BYTES // 4):
+        for rows, data, offsets in texts.parts(batches, most=texts.PART_BYTES // 2):
             heads, documents, copies = substring.class_heads(rows)
             data, offsets = substring.only(data, offsets, heads)
             bounds = texts.Words(np.arange(len(data)), np.arange(len(data)), offsets)
             at = texts.whole_windows(bounds, LENGTH)
             if not len(at):
                 continue
-            words = _words8(data)
-            groups = texts.mix(words[:-8] * texts.FACTORS[0] + words[8:] * texts.FACTORS[1])
-            groups = groups[:len(data) - MINIMISER + 1]
+            groups = _groups(data)
             place = texts.sliding_minimum(groups, LENGTH - MINIMISER + 1)
             low, high = substring.run_bounds(place[at], at)
             low, high = at[low], at[high]
             minimiser = groups[place[low]]
+            own = substring.in_pass(minimiser, number, passes)
+            low, high, minimiser = low[own], high[own], minimiser[own]
             document = np.searchsorted(offsets, low, "right") - 1
             keys = np.asarray(rows.column("class"))[heads]
             columns = [keys[document], documents[document], copies[document],
-                       (low - offsets[document]).astype(np.int32), minimiser]
+                       (low - offsets[document]).astype(np.int32)]
             bucket = texts.mix(minimiser) % np.uint64(buckets)
             found = list(substring.packed_runs(bucket, columns, data, low, high + LENGTH - low))
             yield pa.RecordBatch.from_arrays(
@@ -161,12 +180,13 @@ def maximal_repeats(order: np.ndarray, shared: np.ndarray, before: np.ndarray,
 
 def find_repeats(table: pa.Table) -> pa.Table:
     """The ranges of bytes of a bucket's strings that a smaller document has too."""
-    pieces = [texts.unpack(b, np.int64, np.int64, np.bool_, np.int32, np.uint64, np.int32, np.uint8)
+    pieces = [texts.unpack(b, np.int64, np.int64, np.bool_, np.int32, np.int32, np.uint8)
               for b in table.column("runs").to_pylist()]
-    keys, documents, copies, places, minimisers, lengths, data = map(np.concatenate, zip(*pieces))
+    keys, documents, copies, places, lengths, data = map(np.concatenate, zip(*pieces))
     least, first, copied = substring.smallest_of_classes(keys, documents, copies)
     starts = np.cumsum(lengths, dtype=np.int64) - lengths
     # entries whose minimiser is nowhere else hold no repeat
+    minimisers = minimisers_of(data, starts)
     _, at, count = np.unique(minimisers, return_inverse=True, return_counts=True)
     entry = np.flatnonzero(count[at] > 1)
     string, strings = _equal_strings(data, starts[entry], lengths[entry])
@@ -261,7 +281,7 @@ def _kept_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes that are left), kept_sha256."""
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return substring.with_spans(documents, byte_runs, find_repeats).mapInArrow(
+    return substring.with_spans(documents, byte_runs, find_repeats, PASSES).mapInArrow(
         _kept_bytes, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, "
                      "kept binary, kept_sha256 string")
 

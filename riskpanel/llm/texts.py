@@ -6,6 +6,7 @@ Texts are handled as UTF-8 bytes. A word is a run of bytes other than space and
 
 from __future__ import annotations
 
+import gc
 import os
 import struct
 import tempfile
@@ -73,6 +74,12 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of tables that nobody refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

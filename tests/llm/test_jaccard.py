@@ -88,6 +88,18 @@ def test_pair_by_pair_when_pivots_do_not_settle_a_key(spark, monkeypatch):
     assert got(odd_documents(spark, rows)) == plain([r[:2] for r in rows])
 
 
+def test_pivots_settle_hot_keys_first(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRS_PER_ROW", -1)
+    rows = family_rows(5)
+    assert got(odd_documents(spark, rows)) == plain([r[:2] for r in rows])
+
+
+def test_joins_by_shuffle_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", -1)
+    rows = family_rows(6)
+    assert got(odd_documents(spark, rows)) == plain([r[:2] for r in rows])
+
+
 def test_chain_is_one_component(spark):
     rows = [(100 - i, " ".join(f"w{j}" for j in range(2 * i, 2 * i + 60)), "en", "s", 0)
             for i in range(40)]
