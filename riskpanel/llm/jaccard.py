@@ -16,8 +16,8 @@ found in four steps, none of which can lose one.
    the prefix is extended until the sum of these exceeds what a partner may lack.
    The number of token classes follows the set's size; a set is indexed under each
    number that a partner's size may ask for.
-4. Verification, in rounds. A round pairs the holders of an index key with one of them,
-   so the work is linear in the key's holders; links found join components, and keys
+4. Verification, in rounds. A round pairs every class with the pivot of one of its index
+   keys, so the work is linear in the classes; links found join components, and keys
    whose holders are in one component are done with. Once the pairs of different
    components under one key are few, or after some rounds, all of these are
    verified. Bitmaps bound the overlap of such a pair before its sets are compared.
@@ -43,7 +43,7 @@ from riskpanel.llm import texts
 
 SHINGLE = 5
 RARE = 16  # classes that hold a rare shingle, at most
-PER_CLASS = 16  # shingles of a set for each of its token classes
+PER_CLASS = 8  # shingles of a set for each of its token classes
 BITS = 2048
 STAR_ROUNDS = 3
 PAIRS_PER_ROW = 20  # of index keys; beyond it pivots settle some first
@@ -388,9 +388,9 @@ def components(sets: DataFrame, index: DataFrame) -> DataFrame:
             pairs = (active.select("key", "class", "label").join(other, "key")
                      .where("label < to").select("class", "other"))
         else:
-            # every holder with the key's pivot; of a holder's pivots in one component, one
-            pairs = (active.where("label <> pivot_label").groupBy("class", "pivot_label")
-                     .agg(F.min("pivot").alias("other")).select("class", "other"))
+            # every holder with one of its keys' pivots: a pair for each class at most
+            pairs = (active.where("label <> pivot_label").groupBy("class")
+                     .agg(F.min("pivot").alias("other")))
         pairs = pairs.select(F.least("class", "other").alias("a"),
                              F.greatest("class", "other").alias("b")).distinct()
         if tested is not None:
