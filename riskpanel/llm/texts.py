@@ -10,6 +10,7 @@ import gc
 import os
 import struct
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -75,9 +76,15 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def let_go(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of tables that nobody refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete the shuffle files of tables that nobody refers to any more.
+
+    Python's references to the JVM go first, in the background; what they held is found by
+    a second collection.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def partitions(spark: SparkSession) -> int:
