@@ -5,12 +5,18 @@ counts come from the documents labelled good, the background's from all document
 A document's score is the mean, over its tokens, of the target loss less the
 background loss; the lower, the more it is like the target.
 
-Counts cover all documents. The vocabulary is every word that makes up at least
-``SHARE`` of all tokens, and a model keeps the bigrams that make up as much of its
-own tokens: at most 1 / SHARE entries each, whatever the corpus, so that the models
-may be sent to every task. Other words are one unknown word; other bigrams are
-left to the unigram part. P(w | h) = (c(h, w) + MASS * p(w)) / (c(h) + MASS), where
-c(h) sums the kept bigrams and p(w) = (c(w) + 1) / (tokens + words).
+Every word and every bigram of the corpus counts, whatever their number. The texts
+are cut into parts of some megabytes. A part sends each of its distinct words and bigrams
+once, with its own counts, to the bucket of the key's hash; the bucket adds them up and
+answers every part with the totals, so no table of counts has to fit anywhere, and a key
+is one entry of a part however frequent it is. P(w | h) = (c(h, w) + MASS * p(w)) /
+(c(h) + MASS), where c(h) counts the tokens behind h (a word or a text's start) and
+p(w) = (c(w) + 1) / (tokens + words + 1), the last one being the unknown word. Keys are
+told apart by 62 bits of their hashes.
+
+A caller may pass a ``share``: the vocabulary is then every word that makes up at least
+this share of all tokens, the others are the unknown word, and a model keeps the bigrams
+that make up as much of its own tokens and leaves the others to the unigram part.
 
 Words are lower-cased in A-Z. Defined results: a null or empty text has no tokens and
 null losses; a document labelled more than once is a target if any label is good;
@@ -25,17 +31,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel.llm import texts
 
-SHARE = 1e-6
 MASS = 100.0
+BUCKETS_PER_PARTITION = 8
 SMALL_LABELS = 2_000_000  # target ids that may be broadcast (8 bytes each)
 HELD = 2_000_000  # counts that a task holds before it passes them on
 
 COUNTS = "key bigint, n bigint, n_target bigint"
+SCORES = "n_tokens bigint, target_loss double, background_loss double, score double"
+ASKED = "part bigint, bucket int, keys binary, counts binary"
+ANSWERS = "part bigint, bucket int, body binary, words bigint, n bigint, n_target bigint"
+START = np.uint64(0x5851F42D4C957F2D)  # stands for the word before a text's first
+WORD, BIGRAM, STARTS = map(np.uint64, range(3))  # kinds of keys, in their last two bits
 
 
 class Counts:
@@ -152,7 +164,168 @@ def _arrays(table: DataFrame) -> list[np.ndarray]:
     return [np.asarray(got.column(c).combine_chunks()) for c in ("key", "n", "n_target")]
 
 
-def score(documents: DataFrame, labels: DataFrame, share: float = SHARE) -> DataFrame:
+# -- all counts, by bucket -----------------------------------------------------------
+
+
+def _key(hashes: np.ndarray, kind: np.uint64) -> np.ndarray:
+    return (hashes & ~np.uint64(3)) | kind
+
+
+def _planes(values: np.ndarray) -> np.ndarray:
+    """The values' lowest bytes, then their next ones and so on; these compress better."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.ravel()
+
+
+def _values(planes: np.ndarray, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def _packed_counts(counts: np.ndarray) -> bytes:
+    return texts.pack(_planes(counts.ravel()))
+
+
+def _counts(blob: bytes, kind) -> np.ndarray:
+    """Rows of tokens, the target's tokens, and texts that end with the word, both ways."""
+    return _values(texts.unpack(blob, np.uint8)[0], kind).reshape(4, -1)
+
+
+class Tokens:
+    """A part's distinct keys with its counts, by bucket, and where each token finds its own."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, target: np.ndarray, buckets: int):
+        words = texts.words_of(data, offsets)
+        known, word = np.unique(texts.word_hashes(data, words), return_inverse=True)
+        self.document, self.size = words.document(), np.diff(words.first)
+        full, size = self.size > 0, len(known)
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        before[words.first[:-1][full]] = size
+        pairs, pair = np.unique(before * size + word, return_inverse=True)
+        named = np.append(known, START)
+        keys = np.concatenate([
+            _key(known, WORD),
+            _key(texts.mix(named[pairs // max(size, 1)] * texts.FACTORS[0]
+                           + known[pairs % max(size, 1)] * texts.FACTORS[1]), BIGRAM),
+            _key(named[size:], STARTS)[:int(full.any())]])
+        last = word[words.first[1:][full] - 1]
+        counts = np.zeros((4, len(keys)), np.uint32)
+        for i, token, text in ((0, None, None), (1, target[self.document], target[full])):
+            counts[i, :size] = np.bincount(word, token, size)
+            counts[i, size:size + len(pairs)] = np.bincount(pair, token, len(pairs))
+            counts[i, size + len(pairs):] = full.sum() if text is None else text.sum()
+            counts[2 + i, :size] = np.bincount(last, text, size)
+        order = np.argsort(keys)
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(keys))
+        self.keys, self.counts = keys[order], counts[:, order]
+        # buckets are ranges of hashes, so that neighbours differ little
+        half = np.uint64(32)
+        bucket = ((self.keys >> half) * np.uint64(buckets)) >> half
+        self.cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+        self.word, self.pair = place[word], place[size + pair]
+        self.before = place[np.where(before == size, len(keys) - 1, before)]
+
+    def loss(self, n: np.ndarray, ends: np.ndarray, tokens: int, words: int) -> np.ndarray:
+        """-log P of each token by the keys' total counts."""
+        p = (n[self.word] + 1) / (tokens + words + 1)
+        return -np.log((n[self.pair] + MASS * p) / ((n - ends)[self.before] + MASS))
+
+
+def _kept_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's rows as parts: a number, the rows' ids, and the packed lower-case texts."""
+    number = TaskContext.get().partitionId() << 32
+    for rows, data, offsets in texts.parts(batches):
+        body = texts.pack(texts.LOWER[data], offsets, np.asarray(rows.column("target")))
+        ids = pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()),
+                                       rows.column("doc_id"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), ids, pa.array([body], pa.binary())],
+            names=["part", "ids", "body"])
+        number += 1
+
+
+def _tokens(body: bytes, buckets: int) -> Tokens:
+    return Tokens(*texts.unpack(body, np.uint8, np.int64, np.bool_), buckets)
+
+
+def _asked(buckets: int):
+    """Per part and bucket the part's keys and counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, body in zip(batch["part"].to_pylist(), batch["body"]):
+                own = _tokens(body.as_py(), buckets)
+                full = np.flatnonzero(np.diff(own.cuts))
+                ranges = [slice(own.cuts[b], own.cuts[b + 1]) for b in full]
+                keys = [texts.pack(_planes(np.diff(own.keys[r], prepend=np.uint64(0))))
+                        for r in ranges]
+                counts = [_packed_counts(own.counts[:, r]) for r in ranges]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part] * len(full), pa.int64()), pa.array(full, pa.int32()),
+                     texts.binary_array(keys), texts.binary_array(counts)],
+                    names=["part", "bucket", "keys", "counts"])
+    return run
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    """Each part's keys of a bucket with their totals, and the bucket's words and tokens."""
+    asked = [np.cumsum(_values(texts.unpack(b.as_py(), np.uint8)[0], np.uint64))
+             for b in table.column("keys")]
+    counts = [_counts(b.as_py(), np.uint32) for b in table.column("counts")]
+    out = [[] for _ in asked]
+    # ranges of the sorted keys, so that a few million are held at once
+    steps = max(1, sum(map(len, asked)) // HELD)
+    low, high = int(min(k[0] for k in asked)), int(max(k[-1] for k in asked)) + 1
+    bounds = np.array([low + i * (high - low) // steps for i in range(1, steps)], np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(k, bounds), [len(k)]]).astype(np.int64)
+            for k in asked]
+    sums = np.zeros(3, np.int64)
+    for i in range(steps):
+        keys = np.concatenate([k[x[i]:x[i + 1]] for k, x in zip(asked, cuts)])
+        own = np.concatenate([c[:, x[i]:x[i + 1]] for c, x in zip(counts, cuts)], axis=1)
+        distinct, at = np.unique(keys, return_inverse=True)
+        total = np.array([np.bincount(at, c, len(distinct)) for c in own]).astype(np.int64)
+        words = (distinct & np.uint64(3)) == WORD
+        sums += [words.sum(), *total[:2, words].sum(axis=1)]
+        ends = np.cumsum([x[i + 1] - x[i] for x in cuts])[:-1]
+        for answer, places in zip(out, np.split(at, ends)):
+            answer.append(total[:, places])
+    bodies = [_packed_counts(np.concatenate(answer, axis=1)) for answer in out]
+    size = len(bodies)
+    return pa.table({
+        "part": pa.array([*table.column("part").to_pylist(), None], pa.int64()),
+        "bucket": pa.array([*table.column("bucket").to_pylist(), -1], pa.int32()),
+        "body": pa.array([*bodies, None], pa.binary()),
+        **{name: pa.array([None] * size + [int(x)], pa.int64())
+           for name, x in zip(("words", "n", "n_target"), sums)}})
+
+
+def _judged(buckets: int, words: int, n: int, n_target: int):
+    """Scores of a part's rows by its texts (bucket -1) and the buckets' answers."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("bucket")
+        own = _tokens(table.column("body")[0].as_py(), buckets)
+        totals = np.concatenate([np.zeros((4, 0), np.int64), *(
+            _counts(b.as_py(), np.int64) for b in table.column("body")[1:])], axis=1)
+        if totals.shape[1] != len(own.keys):
+            raise ValueError("a part's counts are incomplete")
+        sums = [np.bincount(own.document, own.loss(totals[i], totals[2 + i], tokens, words),
+                            len(own.size)) for i, tokens in ((1, n_target), (0, n))]
+        ids = table.column("ids")[0].values
+        return pa.Table.from_batches([_scores(ids, own.size, sums)])
+    return run
+
+
+def _scores(ids: pa.Array, size: np.ndarray, sums: list[np.ndarray]) -> pa.RecordBatch:
+    empty = size == 0
+    means = [np.where(empty, 0, s / np.maximum(size, 1)) for s in sums]
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(size, pa.int64()),
+         *(pa.array(m, pa.float64(), mask=empty) for m in (*means, means[0] - means[1]))],
+        names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+
+def score(documents: DataFrame, labels: DataFrame, share: float = 0.0) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss (per token) and their difference."""
     spark = documents.sparkSession
     texts.workers_find_package(spark)
@@ -161,8 +334,27 @@ def score(documents: DataFrame, labels: DataFrame, share: float = SHARE) -> Data
     good = F.broadcast(good) if good.count() <= SMALL_LABELS else good
     rows = (documents.select("doc_id", "text")
             .join(good, F.col("doc_id") == F.col("good_id"), "left")
-            .select("text", F.col("good_id").isNotNull().alias("target")))
-
+            .select("doc_id", "text", F.col("good_id").isNotNull().alias("target")))
+    if share > 0:
+        return _pruned(documents, rows.select("text", "target"), share)
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    buckets = BUCKETS_PER_PARTITION * texts.partitions(spark)
+    parts = texts.stored(rows.mapInArrow(
+        _kept_parts, f"part bigint, ids array<{kind}>, body binary"))
+    answers = texts.stored(parts.select("part", "body").mapInArrow(_asked(buckets), ASKED)
+                           .groupBy("bucket").applyInArrow(_answered, ANSWERS))
+    texts.let_go(spark)
+    sums = [x or 0 for x in answers.agg(*map(F.sum, ("words", "n", "n_target"))).first()]
+    both = parts.select("part", F.lit(-1).alias("bucket"), "ids", "body").unionByName(
+        answers.where("part is not null").select("part", "bucket", "body"),
+        allowMissingColumns=True)
+    return both.groupBy("part").applyInArrow(_judged(buckets, *sums),
+                                             f"doc_id {kind}, {SCORES}")
+
+
+def _pruned(documents: DataFrame, rows: DataFrame, share: float) -> DataFrame:
+    """``score`` by the words and bigrams that have the share, sent to every task."""
+    spark = documents.sparkSession
     total, often, _, one = _summed(rows.mapInArrow(_unigrams, COUNTS), share)
     known, n, n_target = _arrays(total.where(often))
     unknown = [one[0] - n.sum(), one[1] - n_target.sum()]
@@ -184,15 +376,8 @@ def score(documents: DataFrame, labels: DataFrame, share: float = SHARE) -> Data
             document, size = words.document(), np.diff(words.first)
             sums = [np.bincount(document, m.losses(keys), len(size))
                     for m in (target, background)]
-            empty = size == 0
-            means = [np.where(empty, 0, s / np.maximum(size, 1)) for s in sums]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(size, pa.int64()),
-                 *(pa.array(m, pa.float64(), mask=empty)
-                   for m in (*means, means[0] - means[1]))],
-                names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+            yield _scores(part.column("doc_id"), size, sums)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double, "
-             "score double")
+        run, f"doc_id {kind}, {SCORES}")

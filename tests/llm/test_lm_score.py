@@ -115,3 +115,23 @@ def test_counts_are_passed_on_when_many(spark, monkeypatch):
     for batch in out:
         total.update(dict(zip(batch["key"].to_pylist(), batch["n"].to_pylist())))
     assert total == Counter(k for i in range(20) for k in range(i, i + 7))
+
+
+@pytest.mark.parametrize("held", [lm_score.HELD, 7])
+def test_every_word_and_bigram_counts(spark, monkeypatch, held):
+    monkeypatch.setattr(lm_score, "HELD", held)
+    r = random.Random(10)
+    rows = [(d, " ".join(r.choices("the a of Cat dog é x1 x2 x3 x4".split(),
+                                   weights=[9, 8, 7, 5, 4, 3, 2, 1, 1, 1], k=r.randrange(40))),
+             "en", "s", 0) for d in range(80)] + odd_rows()
+    check(spark, rows, [(d, d % 2, 0) for d in range(60)], 0)
+
+
+def test_a_rare_bigram_counts_in_a_corpus_of_over_a_million_tokens(spark):
+    few = [(1, "rare pair"), (2, "pair rare")]
+    many = [(d, "common " * 20_000) for d in range(10, 71)]
+    documents = spark.createDataFrame(few + many, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0)], LABELS)
+    want = {d: (t, b) for d, _, t, b in plain(few + many, {1}, 0)}
+    for r in lm_score.score(documents, labels).collect():
+        assert (r["target_loss"], r["background_loss"]) == pytest.approx(want[r["doc_id"]])
