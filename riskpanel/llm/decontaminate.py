@@ -2,9 +2,9 @@
 
 Both sides are brought to templates: numbers, units behind a number and names
 (capitalised words inside a sentence) become typed placeholders, the rest lower
-case. Windows of ``WINDOW`` template words are hash-joined. A first pass probes every
-``STRIDE``-th window of all documents, so a common run of WINDOW + STRIDE - 1
-words is always seen; only documents with a hit are compared window by window.
+case. Windows of ``WINDOW`` template words are hash-joined. A first pass probes the key
+of every window of all documents; only documents with a hit are compared window by
+window with their slots.
 
 Windows that match with the same shift are one alignment. Its slots have to be
 consistent: one value of the item stands for one value of the document wherever
@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from riskpanel.llm import texts
 
 WINDOW = 6
-STRIDE = 4
 SHARE = 0.5
 RUN = 13
 SMALL = 1_000_000  # rows of a few dozen bytes that may be broadcast
@@ -62,20 +61,20 @@ def _words(text: F.Column) -> F.Column:
     return F.split(text, "[\\x20\\x09-\\x0D]+")
 
 
-def _starts(words: F.Column, step: int) -> F.Column:
-    return F.sequence(F.lit(0), F.greatest(F.size(words) - WINDOW, F.lit(0)), F.lit(step))
+def _starts(words: F.Column) -> F.Column:
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - WINDOW, F.lit(0)))
 
 
 def _key(words: F.Column, start: F.Column) -> F.Column:
     return F.xxhash64(F.slice(words, start + 1, WINDOW))
 
 
-def probes(table: DataFrame, ids: list[str], text: str, step: int) -> DataFrame:
-    """The ids with the key of every ``step``-th window."""
+def probes(table: DataFrame, ids: list[str], text: str) -> DataFrame:
+    """The ids with the key of every window."""
     plain = table.select(*ids, _plain(table[text]).alias("t")).where("t <> ''")
     words = plain.select(*ids, _words(template(F.col("t"))).alias("w"))
     return words.select(*ids, F.explode(F.transform(
-        _starts(F.col("w"), step), lambda i: _key(F.col("w"), i))).alias("key"))
+        _starts(F.col("w")), lambda i: _key(F.col("w"), i))).alias("key"))
 
 
 def windows(table: DataFrame, ids: list[str], text: str) -> DataFrame:
@@ -94,7 +93,7 @@ def windows(table: DataFrame, ids: list[str], text: str) -> DataFrame:
         ).alias("slots"))
 
     return words.select(*ids, F.size("w").alias("size"), F.explode(
-        F.transform(_starts(F.col("both"), 1), one)).alias("x")).select(*ids, "size", "x.*")
+        F.transform(_starts(F.col("both")), one)).alias("x")).select(*ids, "size", "x.*")
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -107,10 +106,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts_ = documents.select("doc_id", "text")
     row = F.xxhash64("doc_id", "text")
     items = texts.stored(windows(benchmark.select("item_id", "text"), ["item_id"], "text"))
-    least = items.agg(F.min("size")).first()[0]
-    step = STRIDE if least is not None and least >= WINDOW + STRIDE - 1 else 1
     keys = _small(texts.stored(items.select("key").distinct()))
-    probed = probes(texts_.withColumn("row", row), ["row"], "text", step)
+    probed = probes(texts_.withColumn("row", row), ["row"], "text")
     hit = _small(texts.stored(probed.join(keys, "key", "left_semi").select("row").distinct()))
     found = windows(texts_.withColumn("row", row).join(hit, "row", "left_semi"),
                     ["doc_id", "row"], "text")

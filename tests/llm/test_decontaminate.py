@@ -85,3 +85,13 @@ def test_no_python_in_the_plan(spark):
         [(1, prose(1))], ITEMS))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_short_runs_are_found_at_every_offset(spark):
+    item = prose(7, 15)
+    words = item.split()
+    words[7] = "changed"
+    df = docs(spark, *(f"{prose(60, 20 + i)} {' '.join(words)} {prose(61, 20)}" for i in range(8)))
+    found = [(d, 1) for d in range(8)]
+    assert pairs(df, [(1, item)], spark) == found
+    assert pairs(df, [(1, item), (2, prose(8, 8))], spark) == found
