@@ -8,8 +8,10 @@ window with their slots.
 
 Windows that match with the same shift are one alignment. Its slots have to be
 consistent: one value of the item stands for one value of the document wherever
-it occurs. Alignments that break this are left out. A document is contaminated by
-an item if the rest covers half of the item's words or ``RUN`` of them in a row.
+it occurs. Windows with a value that breaks this are left out unless their own values
+are the item's. A document is contaminated by an item if the rest covers half of the
+item's words or ``RUN`` of them in a row; for half of them, each value that an
+alignment breaks counts as one word against it.
 
 Only DataFrame functions are used. Windows of the benchmark are broadcast if
 they are few, else joined by a shuffle.
@@ -121,25 +123,37 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     alignment = ["doc_id", "row", "item_id", "shift"]
     values = matches.where(F.size("given") > 0).select(
         *alignment, F.explode(F.arrays_zip("given", "slots")).alias("v"))
+    lower = {c: F.transform(c, F.lower) for c in ("given", "slots")}
     broken = (values.groupBy(*alignment, F.lower(F.col("v.given")).alias("value"))
               .agg(F.min(F.lower("v.slots")).alias("low"), F.max(F.lower("v.slots")).alias("high"))
-              .where("low <> high").select(*alignment).distinct())
-    same = [matches[c].eqNullSafe(broken[c]) for c in alignment]
-    good = (matches.join(broken, same, "left_anti")
-            .select("doc_id", "row", "item_id", "n_item_words", "place").distinct())
+              .where("low <> high").groupBy(*(F.col(c).alias(f"broken_{c}") for c in alignment))
+              .agg(F.collect_set("value").alias("wrong")))
+    same = [F.col(c).eqNullSafe(F.col(f"broken_{c}")) for c in alignment]
+    whole = F.col("wrong").isNull()
+    # level 0 has the windows of unbroken alignments alone, level 1 has all
+    pair = ["doc_id", "row", "item_id", "n_item_words", "level"]
+    good = (matches.join(broken, same, "left").select(*matches.columns, "wrong")
+            .where(whole | (lower["given"] == lower["slots"])
+                   | ~F.arrays_overlap(lower["given"], "wrong"))
+            .withColumn("against", F.when(whole, 0).otherwise(F.size("wrong")))
+            .withColumn("level", F.explode(F.when(whole, F.array(F.lit(0), F.lit(1)))
+                                           .otherwise(F.array(F.lit(1)))))
+            .groupBy(*pair, "place").agg(F.max("against").alias("against")))
     # words of the item under the windows, and the longest run of them
-    own = Window.partitionBy("doc_id", "row", "item_id")
+    own = Window.partitionBy("doc_id", "row", "item_id", "level")
     gap = F.col("place") - F.lag("place").over(own.orderBy("place"))
     steps = good.withColumn("gap", gap).withColumn(
         "run", F.count_if(F.col("gap").isNull() | (F.col("gap") > 1)).over(
             own.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)))
     width = F.least(F.lit(WINDOW), F.col("n_item_words"))
-    runs = steps.groupBy("doc_id", "row", "item_id", "n_item_words", "run").agg(
+    runs = steps.groupBy(*pair, "run").agg(
+        F.max("against").alias("against"),
         F.sum(F.least(width, F.coalesce("gap", width))).alias("words"),
         (F.count("*") - 1 + F.max(width)).alias("longest"))
-    pairs = runs.groupBy("doc_id", "row", "item_id", "n_item_words").agg(
+    pairs = runs.groupBy(*pair).agg(
+        F.max("against").alias("against"),
         F.sum("words").cast("int").alias("n_words"), F.max("longest").alias("longest"))
-    return (pairs.where((F.col("n_words") >= SHARE * F.col("n_item_words"))
+    return (pairs.where((F.col("n_words") - F.col("against") >= SHARE * F.col("n_item_words"))
                         | (F.col("longest") >= RUN))
             .groupBy("doc_id", "item_id", "n_item_words").agg(F.max("n_words").alias("n_words"))
             .withColumn("share", F.col("n_words") / F.col("n_item_words")))

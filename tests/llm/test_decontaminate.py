@@ -95,3 +95,13 @@ def test_short_runs_are_found_at_every_offset(spark):
     found = [(d, 1) for d in range(8)]
     assert pairs(df, [(1, item)], spark) == found
     assert pairs(df, [(1, item), (2, prose(8, 8))], spark) == found
+
+
+def test_a_value_that_breaks_takes_only_its_own_windows(spark):
+    item = f"{prose(71, 20)} 5 {prose(72, 18)} 5 {prose(73, 20)}"
+    first = item.replace(" 5 ", " 7 ", 1)  # 5 is 7 and 5
+    both = first.replace(" 5 ", " 8 ")  # 5 is 7 and 8
+    name = f"{prose(74, 12)}, Anna {prose(75, 12)}, Anna {prose(76, 12)}"
+    cut = f"{prose(72, 4)} 7 {prose(77, 30)}"
+    df = docs(spark, item, first, both, name.replace("Anna", "Berta", 1), cut)
+    assert pairs(df, [(1, item), (2, name)], spark) == [(0, 1), (1, 1), (2, 1), (3, 2)]
