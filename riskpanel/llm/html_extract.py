@@ -86,6 +86,14 @@ def _hash(text: str, seed: int = 0) -> int:
     return xxhash.xxh3_64_intdigest(text, seed & 0x7FFFFFFF) - (1 << 63)
 
 
+def _hidden(rest: str, found: dict[str, str]) -> bool:
+    """Whether there is an attribute of that name, with a value or bare."""
+    if "hidden" not in rest.lower():
+        return False
+    bare = ATTRIBUTE.sub(" ", rest).lower().replace("/", " ").split()
+    return "hidden" in bare or found.get("hidden", "until-found") != "until-found"
+
+
 def _open(tag: str, rest: str, parent: Node) -> Node:
     found = {}
     if "=" in rest:
@@ -95,7 +103,7 @@ def _open(tag: str, rest: str, parent: Node) -> Node:
     names = set(re.split(r"[^a-z0-9]+", named))
     noise = (parent.noise or tag in NOISE_TAGS or bool(names & NOISE_NAMES)
              or found.get("role") in NOISE_ROLES or "display:none" in found.get("style", "").replace(" ", "")
-             or bool(re.search(r"\bhidden\b(?!\s*=)", rest, re.I))
+             or _hidden(rest, found)
              or (not parent.main and (tag == "header" or "header" in names)))
     signature = f"{tag}.{named.strip()}"
     parent.children.append(signature)

@@ -100,3 +100,13 @@ def test_odd_rows(spark, monkeypatch):
         assert sorted(((r["page_id"], r["url"], r["text"]) for r in got), key=repr) == want
     empty = spark.createDataFrame([], PAGES)
     assert rows_of(html_extract.extract(empty)) == []
+
+
+@pytest.mark.parametrize("attributes, kept", [
+    ("class='overflow-hidden'", True), ("style='overflow:hidden'", True),
+    ("title=\"the hidden valley\"", True), ("aria-hidden=false", True),
+    ("hidden", False), ("id=a HIDDEN class=b", False), ("hidden=''", False),
+    ("hidden='hidden'", False)])
+def test_hidden_is_an_attribute(attributes, kept):
+    text = html_extract.main_text(f"<div {attributes}><p>x</p></div><p>y</p>", set())
+    assert text == ("x\ny" if kept else "y")
