@@ -10,6 +10,7 @@ from riskpanel.llm import (
     bpe,
     chat,
     decontaminate,
+    filter_audit,
     html_extract,
     jaccard,
     lm_score,
@@ -37,6 +38,11 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                           spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                              spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": _over("pages", html_extract.extract),
     "op2_bpe": _over("documents", bpe.digests),
@@ -48,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": _over("documents", suffix.report),
     "op9_quality_rules": _over("documents", quality.quality_report),
     "op10_chat_format": chat.query,
+    "op11_filter_audit": _audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -56,4 +63,5 @@ ORACLES: dict[str, str] = {
     "op6_substring_dedup": substring.report_sql(),
     "op9_quality_rules": quality.report_sql(),
     "op10_chat_format": chat.report_sql(),
+    "op11_filter_audit": filter_audit.report_sql(),
 }

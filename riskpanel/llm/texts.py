@@ -101,8 +101,8 @@ def fresh(name: str, columns: list[str]) -> str:
 
 def with_fields(schema: T.StructType, *added: tuple[str, str]) -> T.StructType:
     """A schema with further fields of simple types."""
-    kinds = {"bigint": T.LongType(), "string": T.StringType(), "array<int>":
-             T.ArrayType(T.IntegerType())}
+    kinds = {"bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
+             "array<int>": T.ArrayType(T.IntegerType())}
     return T.StructType([*schema.fields, *(T.StructField(n, kinds[k]) for n, k in added)])
 
 
