@@ -16,6 +16,7 @@ from riskpanel.llm import (
     lm_score,
     pii,
     quality,
+    resample,
     substring,
     suffix,
 )
@@ -43,6 +44,11 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
                               spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                              spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": _over("pages", html_extract.extract),
     "op2_bpe": _over("documents", bpe.digests),
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": _over("documents", quality.quality_report),
     "op10_chat_format": chat.query,
     "op11_filter_audit": _audit,
+    "op12_importance_resampling": _resampled,
 }
 
 ORACLES: dict[str, str] = {
