@@ -14,6 +14,7 @@ from riskpanel.llm import (
     html_extract,
     jaccard,
     lm_score,
+    packing,
     pii,
     quality,
     resample,
@@ -62,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_format": chat.query,
     "op11_filter_audit": _audit,
     "op12_importance_resampling": _resampled,
+    "op13_best_fit_packing": _over("documents", packing.report),
 }
 
 ORACLES: dict[str, str] = {
