@@ -40,7 +40,7 @@ from riskpanel.llm import texts
 VOCABULARY = "word_bpe_49k.json"
 SIZE = 2048
 END_ID = 0
-#: Pieces of one lot, about.
+#: Pieces of one lot, at most about; there are as many lots as shuffle partitions or more.
 LOT = 100_000
 #: Words kept with their tokens in a Python worker, and the longest of them in bytes.
 KEPT_WORDS = 600_000
@@ -268,7 +268,7 @@ def packed(documents: DataFrame, size: int = SIZE, path: str | None = None,
     # rows are told apart by a number that is written with them
     cut = texts.stored(pieces(documents, size, path, with_ids).withColumn(
         "row", F.monotonically_increasing_id()))
-    lots = max(1, cut.count() // LOT)
+    lots = max(texts.partitions(spark), cut.count() // LOT)
     dealt = cut.withColumn("lot", F.pmod(F.xxhash64("row"), F.lit(lots)).cast("int"))
     lot_counts = texts.stored(dealt.groupBy("length", "lot").agg(F.count("*").alias("n")))
     count = dict(lot_counts.groupBy("length").agg(F.sum("n")).collect())  # size rows at most
