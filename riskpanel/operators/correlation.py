@@ -1,15 +1,17 @@
-"""Pearson correlation of every pair of numeric columns."""
+"""Pearson and rank correlation of every pair of numeric columns."""
 
 from __future__ import annotations
 
-from itertools import combinations
+import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel.functions.columns import clean_number, numeric_columns
-from riskpanel.functions.numbers import ratio, round_half_even
+from riskpanel.functions.numbers import round_half_even
+from riskpanel.operators.gram import Scale, exact_pairs, pair_correlations
 from riskpanel.operators.ranks import ColumnCount, count_columns
+from riskpanel.session import kept, workers_find_package
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
@@ -17,27 +19,37 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
     """Rows (col_x, col_y, corr) for the full square.
 
     Each pair uses the rows where both are present; a column that is constant
-    there has no correlation, not even with itself. A first pass takes counts and
-    means; a second one groups (pair, x, y) by pair, whatever the number of columns.
+    there has no correlation, not even with itself, and neither has a pair with an
+    infinite value. One pass takes counts, means and bounds, one the sums of all pairs;
+    a third one is for pairs that the shared shift does not suit.
     """
     columns = numeric_columns(df) if columns is None else columns
-    counts = count_columns(df, columns, [F.avg("value").alias("mean")])
-    # centred at the mean of all present values, as covariance does not change by it
-    centred = F.array(*[clean_number(df, c) - F.lit(counts[c].extra["mean"]) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
-                      for i, j in combinations(range(len(columns)), 2)])
-    diagonal = [(i, i, 1.0 if _varies(counts[c]) else None) for i, c in enumerate(columns)]
-    half = df.sparkSession.createDataFrame(diagonal, "i int, j int, corr double")
-    if len(columns) > 1:
-        cells = (df.select(centred.alias("x"), F.explode(pairs).alias("p"))
-                 .select("p.i", "p.j", F.col("x")[F.col("p.i")].alias("a"),
-                         F.col("x")[F.col("p.j")].alias("b")))
-        found = (cells.where("a IS NOT NULL AND b IS NOT NULL").groupBy("i", "j")
-                 .agg(_joint().alias("corr")))
-        all_pairs = df.sparkSession.createDataFrame(
-            list(combinations(range(len(columns)), 2)), "i int, j int")
-        # one row per pair of columns on either side
-        half = half.unionByName(all_pairs.join(F.broadcast(found), ["i", "j"], "left"))
+    spark = df.sparkSession
+    if not columns:
+        return spark.createDataFrame([], "col_x string, col_y string, corr double")
+    workers_find_package(spark)
+    finite = F.when(F.abs("value") < math.inf, F.col("value"))
+    counts = count_columns(df, columns, [F.avg(finite).alias("mean"), F.min(finite).alias("least"),
+                                         F.max(finite).alias("most")])
+    scales = [_scale(counts[c]) for c in columns]
+    numbers = df.select(*[clean_number(df, c).alias(f"x{i}") for i, c in enumerate(columns)])
+    lots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = kept(pair_correlations(numbers, scales, lots))
+    doubtful = [tuple(r) for r in pairs.where("doubtful AND i < j").select(
+        "i", "j", "mean_x", "mean_y").collect()]
+    varies = F.array(*[F.lit(_varies(counts[c])) for c in columns])
+    corr = F.when(F.col("i") < F.col("j"), F.col("corr")).otherwise(
+        F.when(varies[F.col("i")], F.lit(1.0)))
+    size = len(columns)
+    grid = spark.range(size * size).select(
+        F.expr(f"cast(id div {size} as int)").alias("i"), F.expr(f"cast(id % {size} as int)").alias("j"))
+    # one row for a pair of columns on either side
+    half = grid.where("i <= j").join(F.broadcast(pairs), ["i", "j"], "left").select(
+        "i", "j", corr.alias("corr"))
+    if doubtful:
+        again = F.broadcast(exact_pairs(numbers, doubtful, scales).withColumnRenamed("corr", "c"))
+        half = half.join(again, ["i", "j"], "left").select(
+            "i", "j", F.coalesce("corr", "c").alias("corr"))
 
     # rounding may overshoot by the last bit; least() alone would skip NULL
     corr = F.when(F.col("corr").isNotNull(),
@@ -50,12 +62,17 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
         names[F.col("x")].alias("col_x"), names[F.col("y")].alias("col_y"), "corr")
 
 
-def _varies(count: ColumnCount) -> bool:
-    """Whether a column has two values; a merged spread of equal values may not be zero."""
-    return count.low is not None and count.low < count.high
+def _scale(count: ColumnCount) -> Scale:
+    low, high, mean = (count.extra.get(k) for k in ("least", "most", "mean"))
+    if low is None:
+        return Scale(0.0, 1.0)
+    shift = mean if math.isfinite(mean) else low / 2 + high / 2
+    width = max(high - shift, shift - low)
+    return Scale(shift, width if 0 < width < math.inf else 1.0)
 
 
-def _joint() -> Column:
-    a, b = F.col("a"), F.col("b")
-    varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
-    return F.when(varies, ratio(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
+def _varies(count: ColumnCount) -> bool:
+    """Whether a column has two values, all of them finite; a merged spread of equal values
+    may not be zero."""
+    return (count.low is not None and count.low < count.high
+            and math.isfinite(count.low) and math.isfinite(count.high))

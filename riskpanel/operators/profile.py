@@ -19,6 +19,7 @@ from riskpanel.functions.numbers import ratio
 from riskpanel.operators.correlation import correlation_matrix
 from riskpanel.operators.describe import exact_quantiles
 from riskpanel.operators.ranks import GATHER_ROWS, long_numbers
+from riskpanel.operators.row_ranks import rank_correlation
 
 # Quantiles of the numeric section.
 PROFILE_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -403,7 +404,8 @@ def profile_tables(df: DataFrame, k: int = 10, bins: int = 10) -> dict[str, Data
     if numbers:
         tables.update(numeric=numeric_summary(df, numbers), quantiles=quantiles(df, numbers),
                       histogram=histogram(df, numbers, bins), extremes=extremes(df, numbers, k),
-                      correlation=correlation_matrix(df, numbers))
+                      correlation=correlation_matrix(df, numbers),
+                      rank_correlation=rank_correlation(df, numbers))
     if texts:
         tables.update(text=text_summary(df, texts), top_values=top_values(df, texts, k))
     if dates:

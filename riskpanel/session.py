@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -47,3 +48,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give tree training a checkpoint folder when the cluster has not set one."""
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver has it, unless shipped."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written once in a shared folder and read back, so that later jobs read the
+    result and a lost executor costs a re-read. The files go when the driver ends."""
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    df.write.parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
