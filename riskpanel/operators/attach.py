@@ -67,40 +67,31 @@ def _measured_bytes(lookup: DataFrame, keys: list[str], check_unique: bool) -> i
 
 
 def _salted_join(df: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & ref(k).isNotNull()
-    whole = df.where(complete)
-    joined = _salted_matches(whole, lookup, keys, how)
-    if how == "inner":
-        return joined
-    added = [F.lit(None).cast(lookup.schema[c].dataType).alias(c)
-             for c in lookup.columns if c not in keys]
-    rest = df.where(~complete).select(*[ref(c) for c in df.columns], *added)
-    return joined.select(*[ref(c) for c in rest.columns]).unionByName(rest)
-
-
-def _salted_matches(df: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
     salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*[ref(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     total = df.count()
     # at most HOT_PARTS * salts keys can each hold more than this
     threshold = max(total // (HOT_PARTS * salts), 1)
-    hot = counts.where(F.col("_n") > threshold).drop("_n").collect()
+    # each gets salts by its own rows: all of them have a few for each partition together
+    hot = counts.where(F.col("_n") > threshold).withColumn(
+        "_salts", F.least(F.ceil(F.col("_n") / threshold), F.lit(salts)).cast("int"))
+    hot = hot.drop("_n").collect()
     if not hot:
         return df.join(lookup, keys, how)
-    schema = T.StructType([df.schema[k] for k in keys])
-    marks = F.broadcast(df.sparkSession.createDataFrame(hot, schema)
-                        .withColumn("_hot", F.lit(True)))
+    schema = T.StructType([*(df.schema[k] for k in keys), T.StructField("_salts", T.IntegerType())])
+    marks = F.broadcast(df.sparkSession.createDataFrame(hot, schema))
     # the row and its scan partition: the same when a task is run again, whatever the
     # partitioning of the table; equal rows of one partition share a salt
     row = [ref(c) for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)]
+    # rows with a NULL key match nothing wherever they are
+    incomplete = F.lit(False)
+    for k in keys:
+        incomplete = incomplete | ref(k).isNull()
+    own = F.coalesce("_salts", F.lit(1))
+    spreads = F.when(incomplete, F.lit(salts)).otherwise(own)
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *row), F.lit(salts)).cast("int")
     salted = (df.withColumn("_part", salt).join(marks, keys, "left")
-              .withColumn("_salt", F.when(F.col("_hot"), F.col("_part")).otherwise(F.lit(0)))
-              .drop("_hot", "_part"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0)))
+              .withColumn("_salt", F.pmod("_part", spreads)).drop("_salts", "_part"))
     spread = (lookup.join(marks, keys, "left")
-              .withColumn("_salt", F.explode(copies)).drop("_hot"))
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), own - 1))).drop("_salts"))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")

@@ -1,4 +1,4 @@
-"""One-hot encoding with stored categories."""
+"""One-hot encoding with stored categories, a column for each."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from riskpanel.functions.columns import ref, require
 
+#: Categories that may become columns of their own.
+WIDE = 1_000
+
 
 @dataclass(frozen=True)
 class OneHot:
@@ -32,20 +35,21 @@ class OneHot:
         return out
 
 
-def _code(column: str) -> Column:
+def distinct_codes(df: DataFrame, column: str) -> DataFrame:
+    return df.select(code_of(column).alias("code")).where("code IS NOT NULL").distinct()
+
+
+def code_of(column: str) -> Column:
     """The category as text; a code that was once read as a float loses its ``.0``."""
     return F.regexp_replace(ref(column).cast("string"), r"\.0$", "")
 
 
-def fit_one_hot(df: DataFrame, column: str, max_categories: int | None = None) -> OneHot:
-    """The distinct categories; every one becomes a column. More than ``max_categories``,
-    if given, is an error."""
+def fit_one_hot(df: DataFrame, column: str, max_categories: int = WIDE) -> OneHot:
+    """The distinct categories; every one becomes a column. More than ``max_categories``
+    are an error: :mod:`riskpanel.operators.sparse` encodes any number of them."""
     require(df, [column])
-    found = df.select(_code(column).alias("code")).where("code IS NOT NULL").distinct()
-    if max_categories is not None:
-        found = found.limit(max_categories + 1)
-    found = found.collect()
-    if max_categories is not None and len(found) > max_categories:
+    found = distinct_codes(df, column).limit(max_categories + 1).collect()
+    if len(found) > max_categories:
         raise ValueError(f"{column} has more than {max_categories} categories")
     return OneHot(column, tuple(sorted(r["code"] for r in found)))
 
@@ -58,6 +62,6 @@ def apply_one_hot(df: DataFrame, fitted: OneHot) -> DataFrame:
     clash = {c for c in fitted.names() if c.lower() in taken}
     if clash:
         raise ValueError(f"columns already exist: {sorted(clash)}")
-    flags = [F.coalesce(_code(fitted.column) == F.lit(category), F.lit(False)).alias(name)
+    flags = [F.coalesce(code_of(fitted.column) == F.lit(category), F.lit(False)).alias(name)
              for category, name in zip(fitted.categories, fitted.names())]
     return df.select(*[ref(c) for c in rest], *flags)

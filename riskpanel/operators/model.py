@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,8 @@ from riskpanel.session import ensure_checkpoint_dir, shared_folder
 
 SLOT = "__slot"
 DEPTH_CAP = 30
-NAMES_SCHEMA = "features array<string>, slots array<string>, parents array<string>"
+NAMES_SCHEMA = ("features array<string>, slots array<string>, parents array<string>, "
+                "widths array<int>")
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,8 @@ class Inputs:
     slots: tuple[str, ...]
     #: The feature behind each slot; slots have plain names, whatever the features' are.
     parents: tuple[str, ...]
+    #: Numbers that each slot holds: one, or the size of a vector.
+    widths: tuple[int, ...]
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.assemble.transform(self.fill.transform(df))
@@ -77,16 +81,23 @@ def spark_params(params: dict[str, float]) -> dict:
 
 def fit_inputs(train: DataFrame, features: list[str]) -> Inputs:
     """Missing numbers take the training median and are marked by a 0/1 slot of their
-    own; booleans become 0 or 1."""
+    own; booleans become 0 or 1; vectors (without gaps) stay as they are."""
     require(train, features)
     numeric = [c for c in features if isinstance(train.schema[c].dataType, T.NumericType)]
     flags = [c for c in features if isinstance(train.schema[c].dataType, T.BooleanType)]
-    rest = set(features) - set(numeric) - set(flags)
+    vectors = [c for c in features if isinstance(train.schema[c].dataType, VectorUDT)]
+    rest = set(features) - set(numeric) - set(flags) - set(vectors)
     if rest:
-        raise ValueError(f"not numeric or boolean: {sorted(rest)}")
+        raise ValueError(f"not numeric, boolean or a vector: {sorted(rest)}")
     medians, counts = exact_quantiles(train, numeric, (0.5,))
     parts, parents = [], []
+    widths = []
     for c in features:
+        if c in vectors:
+            parts.append(quoted(c))
+            parents.append(c)
+            widths.append(_size(train, c))
+            continue
         value = f"CAST({quoted(c)} AS DOUBLE)"
         fill = 0.0
         if c in medians:
@@ -94,14 +105,23 @@ def fit_inputs(train: DataFrame, features: list[str]) -> Inputs:
             fill = medians[c][0] or 0.0
         parts.append(f"COALESCE({value}, CAST('{fill!r}' AS DOUBLE))")
         parents.append(c)
+        widths.append(1)
         if c in medians and counts[c].present < counts[c].rows:
             parts.append(f"CAST({value} IS NULL AS DOUBLE)")
             parents.append(c)
+            widths.append(1)
     slots = [f"{SLOT}{i}" for i in range(len(parts))]
     parts = [f"{part} AS {slot}" for part, slot in zip(parts, slots)]
     fill_stage = SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
     assemble = VectorAssembler(inputCols=slots, outputCol="__features", handleInvalid="error")
-    return Inputs(fill_stage, assemble, tuple(features), tuple(slots), tuple(parents))
+    return Inputs(fill_stage, assemble, tuple(features), tuple(slots), tuple(parents),
+                  tuple(widths))
+
+
+def _size(df: DataFrame, column: str) -> int:
+    row = df.select(F.unwrap_udt(ref(column)).alias("v")).select(
+        F.coalesce("v.size", F.size("v.values")).alias("size")).first()
+    return 0 if row is None else row["size"]
 
 
 def training_rows(train: DataFrame, inputs: Inputs, label_col: str = "Y",
@@ -155,7 +175,8 @@ def save_model(model: FittedModel, path: str) -> None:
     stages = PipelineModel([model.inputs.fill, model.inputs.assemble, model.trees])
     stages.write().overwrite().save(f"{path}/stages")
     inputs = model.inputs
-    names = [(list(inputs.features), list(inputs.slots), list(inputs.parents))]
+    names = [(list(inputs.features), list(inputs.slots), list(inputs.parents),
+              list(inputs.widths))]
     (SparkSession.active().createDataFrame(names, NAMES_SCHEMA).coalesce(1)
      .write.mode("overwrite").json(f"{path}/features"))
 
@@ -176,10 +197,11 @@ def feature_importance(model: FittedModel, kind: str = "split", path: str | None
     """
     spark = SparkSession.active()
     trees = model.trees
-    names = spark.createDataFrame(list(enumerate(model.inputs.parents)),
-                                  "slot int, feature string")
+    inputs = model.inputs
+    names = spark.createDataFrame(list(enumerate(inputs.parents)), "slot int, feature string")
     if kind == "gain":
-        values = [(i, float(x)) for i, x in enumerate(trees.featureImportances.toArray())]
+        gains = trees.featureImportances  # sparse: features without a split have none
+        values = [(int(i), float(x)) for i, x in zip(gains.indices, gains.values)]
         used = spark.createDataFrame(values, "slot int, amount double")
     elif kind == "split":
         target = path or f"{shared_folder(spark)}/trees"
@@ -190,6 +212,10 @@ def feature_importance(model: FittedModel, kind: str = "split", path: str | None
                 .agg(F.count(F.lit(1)).alias("amount")))
     else:
         raise ValueError(f"unknown importance {kind!r}")
+    if set(inputs.widths) - {1}:  # from a number in the vector to the slot it is from
+        ends = F.array(*[F.lit(sum(inputs.widths[:i + 1])) for i in range(len(inputs.widths))])
+        place = F.size(F.filter(ends, lambda end: end <= F.col("slot")))
+        used = used.groupBy(place.alias("slot")).agg(F.sum("amount").alias("amount"))
     # both sides hold at most one row per model input
     return (names.join(F.broadcast(used), "slot", "left").groupBy("feature")
             .agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("importance"))

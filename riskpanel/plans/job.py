@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskpanel.operators.rows import with_split
 from riskpanel.operators.schema import PANEL_RULES, ColumnRule, ingest
+from riskpanel.operators.sparse import vector_schema
 from riskpanel.operators.tuning import Range
 from riskpanel.plans.modelling import Modelling, model_panel
 from riskpanel.plans.prepare import CUTOFF, SYMBOL, TEST_START, VAL_START, prepare_panel
@@ -18,7 +19,7 @@ def run_job(spark: SparkSession, raw: DataFrame, prices: DataFrame,
             cutoff=CUTOFF, val_start=VAL_START, test_start=TEST_START, symbol: str = SYMBOL,
             label_col: str = "Y", fit_on: str = "all", n_trials: int = 30,
             space: dict[str, Range] | None = None, parallelism: int = 1, seed: int = 42,
-            output: str | None = None) -> Modelling:
+            output: str | None = None, encoding: str = "auto") -> Modelling:
     """Validate, prepare, split, tune, fit and evaluate.
 
     The raw table is read once and kept as typed Parquet, which every fitting pass
@@ -31,9 +32,10 @@ def run_job(spark: SparkSession, raw: DataFrame, prices: DataFrame,
     panel = ingest(raw, f"{folder}/panel", rules)
     prepared, _ = prepare_panel(panel, prices, category_col, cutoff, symbol, label_col,
                                 fit_on=fit_on, val_start=val_start, test_start=test_start,
-                                summary_path=f"{folder}/summary_statistics")
-    save_processed(with_split(prepared, val_start, test_start), f"{folder}/processed")
-    processed = spark.read.parquet(f"{folder}/processed")
+                                summary_path=f"{folder}/summary_statistics", encoding=encoding)
+    labelled = with_split(prepared, val_start, test_start)
+    save_processed(labelled, f"{folder}/processed")
+    processed = spark.read.schema(vector_schema(labelled.schema)).parquet(f"{folder}/processed")
     return model_panel(processed, val_start, test_start, label_col, n_trials=n_trials,
                        space=space, parallelism=parallelism, seed=seed, presplit=True,
                        output=None if output is None else folder)
