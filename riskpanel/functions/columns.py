@@ -53,3 +53,14 @@ def clean_number(df: DataFrame, name: str) -> Column:
     """A numeric column as double with NaN read as NULL."""
     data_type = df.schema[name].dataType
     return nan_to_null(ref(name), data_type).cast("double")
+
+
+def is_exact_type(data_type: T.DataType) -> bool:
+    """Whether a column may hold numbers that no double holds."""
+    return isinstance(data_type, (T.LongType, T.DecimalType))
+
+
+def native_number(df: DataFrame, name: str) -> Column:
+    """A numeric column in a type that tells all its values apart; NaN is read as NULL."""
+    data_type = df.schema[name].dataType
+    return ref(name) if is_exact_type(data_type) else clean_number(df, name)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskpanel.functions.columns import clean_number, numeric_columns, ref, temporal_columns
+from riskpanel.functions.columns import native_number, numeric_columns, ref, temporal_columns
 from riskpanel.functions.dates import day_span, wall_micros
 from riskpanel.operators.ranks import GATHER_ROWS, ColumnCount, count_columns, values_at_ranks
 
@@ -42,12 +43,16 @@ def _neighbours(present: int, share: float) -> tuple[int, ...]:
     return math.floor(position), math.ceil(position)
 
 
-def _interpolate(values: dict[int, float | None], present: int, share: float) -> float | None:
+def _interpolate(values: dict, present: int, share: float):
+    """Between whole numbers or decimals the point is a fraction, so no digit is lost."""
     if present == 0:
         return None
     position = share * (present - 1)
     low, high = values[math.floor(position)], values[math.ceil(position)]
-    return low + (high - low) * (position - math.floor(position))
+    part = position - math.floor(position)
+    if isinstance(low, float):
+        return low + (high - low) * part
+    return Fraction(low) + (Fraction(high) - Fraction(low)) * Fraction(part)
 
 
 def _statistics(df: DataFrame, numbers: list[str], dates: list[str],
@@ -57,7 +62,7 @@ def _statistics(df: DataFrame, numbers: list[str], dates: list[str],
     Dates are whole microseconds in these rows; their mean and quantiles are
     exact and rounded down.
     """
-    columns = [clean_number(df, c) for c in numbers] + [wall_micros(ref(c)) for c in dates]
+    columns = [native_number(df, c) for c in numbers] + [wall_micros(ref(c)) for c in dates]
     names = [f"v{i}" for i in range(len(columns))]
     values = df.select(*[x.alias(v) for x, v in zip(columns, names)])
     value, is_date = F.col("value"), F.col("slot") >= len(numbers)
@@ -74,6 +79,9 @@ def _statistics(df: DataFrame, numbers: list[str], dates: list[str],
             mean, std = count.extra.get("middle"), None
             quartiles = [None if q is None else math.floor(q) for q in quartiles]
             low, high = (None if x is None else int(x) for x in (low, high))
+        else:
+            quartiles = [None if q is None else float(q) for q in quartiles]
+            low, high = (None if x is None else float(x) for x in (low, high))
         rows.append((c, count.present, mean, low, *quartiles, high, std))
     return rows
 

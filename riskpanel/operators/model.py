@@ -102,7 +102,7 @@ def fit_inputs(train: DataFrame, features: list[str]) -> Inputs:
         fill = 0.0
         if c in medians:
             value = f"NANVL({value}, NULL)"
-            fill = medians[c][0] or 0.0
+            fill = float(medians[c][0] or 0.0)
         parts.append(f"COALESCE({value}, CAST('{fill!r}' AS DOUBLE))")
         parents.append(c)
         widths.append(1)

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from decimal import Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskpanel.functions.columns import (clean_number, nan_to_null, numeric_columns, ref, temporal_columns,
-                                         text_columns)
+from riskpanel.functions.columns import (clean_number, is_exact_type, nan_to_null, native_number,
+                                         numeric_columns, ref, temporal_columns, text_columns)
 from riskpanel.functions.numbers import ratio
 from riskpanel.operators.correlation import correlation_matrix
 from riskpanel.operators.describe import exact_quantiles
@@ -25,6 +26,7 @@ from riskpanel.operators.row_ranks import rank_correlation
 PROFILE_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
 SMALL_ROWS = 1_000_000
 EXACT_IN_DOUBLE = (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)
+MOST_DIGITS = 38
 CUT_SHARES = (0.001, 0.05, None)
 
 
@@ -108,21 +110,38 @@ def quantiles(df: DataFrame, columns: list[str] | None = None,
     absolute deviation, one row per numeric column."""
     columns = numeric_columns(df) if columns is None else columns
     points, counts = exact_quantiles(df, columns, PROFILE_SHARES, gather_rows)
-    away = df.select(*[
-        (F.abs(clean_number(df, c) - F.lit(points[c][2])) if points[c][2] is not None
-         else F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)])
+    away = df.select(*[_distance(df, c, points[c][2]).alias(f"x{i}")
+                       for i, c in enumerate(columns)])
     names = [f"x{i}" for i in range(len(columns))]
     deviations, _ = exact_quantiles(away, names, (0.5,), gather_rows)
     rows = []
     for i, c in enumerate(columns):
         q, low, high = points[c], counts[c].low, counts[c].high
         spread = (None, None) if low is None else (high - low, q[3] - q[1])
-        rows.append((c, *q, *spread, deviations[names[i]][0]))
+        row = (*q, *spread, deviations[names[i]][0])
+        rows.append((c, *(None if x is None else float(x) for x in row)))
     return df.sparkSession.createDataFrame(
         rows, "column string, p05 double, p25 double, p50 double, p75 double, p95 double, "
               "`range` double, iqr double, mad double")
 
 
+def _distance(df: DataFrame, name: str, middle) -> Column:
+    """How far the values are from a point; exact if the point is a fraction."""
+    if middle is None:
+        return F.lit(None).cast("double")
+    if isinstance(middle, float):
+        return F.abs(clean_number(df, name) - F.lit(middle))
+    kind = df.schema[name].dataType
+    if getattr(kind, "precision", 0) == MOST_DIGITS:
+        return F.abs(clean_number(df, name) - F.lit(float(middle)))
+    # a median lies on a value or half-way between two
+    wide = T.DecimalType(MOST_DIGITS, getattr(kind, "scale", 0) + 1)
+    with localcontext() as context:
+        context.prec = 2 * MOST_DIGITS
+        point = Decimal(middle.numerator) / Decimal(middle.denominator)
+    return F.abs(ref(name).cast(wide) - F.lit(point).cast(wide)).cast(wide)
+
+
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows (column, value, n) over the non-null values of all columns, as text."""
     return _counted(df.select(*[_text(df, c).alias(c) for c in columns]), columns)
@@ -268,17 +287,40 @@ def duplicate_summary(df: DataFrame, columns: list[str] | None = None) -> DataFr
 
 
 def extremes(df: DataFrame, columns: list[str] | None = None, k: int = 5,
-             small_rows: int = SMALL_ROWS) -> DataFrame:
+             small_rows: int = SMALL_ROWS, as_text: bool = False) -> DataFrame:
     """Rows (column, side, position, value, n): the k smallest and largest distinct
     values of each numeric column, at most 2 k rows per column.
 
-    On a table of more than ``small_rows`` rows only values beyond a sampled cut
-    are grouped. A side that finds k distinct values there has found the right
-    ones; any other is done again with a wider cut, at last with none.
+    Values are told apart in their column's own type, and reported as doubles or, with
+    ``as_text``, with every digit. On a table of more than ``small_rows`` rows only
+    values beyond a sampled cut are grouped. A side that finds k distinct values there
+    has found the right ones; any other is done again with a wider cut, at last with none.
     """
     _check_k(k)
     columns = numeric_columns(df) if columns is None else columns
-    numbers = df.select(*[(clean_number(df, c) + F.lit(0.0)).alias(c) for c in columns])
+    by_type: dict[str, list[str]] = {}
+    for c in columns:
+        kind = df.schema[c].dataType
+        own = kind.simpleString() if is_exact_type(kind) else "double"
+        by_type.setdefault(own, []).append(c)
+    kept = []
+    for kind, some in by_type.items():
+        # adding zero turns minus zero into zero
+        numbers = df.select(*[(native_number(df, c) + F.lit(0)).cast(kind).alias(c)
+                              for c in some])
+        kept += _extremes_of(numbers, some, k, small_rows)
+    show = _digits_of if as_text else float
+    return df.sparkSession.createDataFrame(
+        [(*r[:3], show(r[3]), r[4]) for r in kept], "column string, side string, position int, "
+        f"value {'string' if as_text else 'double'}, n bigint")
+
+
+def _digits_of(value) -> str:
+    return format(value, "f") if isinstance(value, Decimal) else str(value)
+
+
+def _extremes_of(numbers: DataFrame, columns: list[str], k: int, small_rows: int) -> list[tuple]:
+    """The extremes of columns of one type."""
     total = numbers.count()
     pending = {(c, side) for c in columns for side in ("smallest", "largest")}
     kept = []
@@ -294,27 +336,29 @@ def extremes(df: DataFrame, columns: list[str] | None = None, k: int = 5,
                 pending.discard(side)
         if not pending:
             break
-    return df.sparkSession.createDataFrame(
-        kept, "column string, side string, position int, value double, n bigint")
+    return kept
 
 
 def _cuts(numbers: DataFrame, columns: list[str], share: float | None,
-          rate: float) -> dict[str, tuple[float, float]]:
-    """Per column a low and a high cut near the given share of a sample from each end."""
+          rate: float) -> dict[str, tuple]:
+    """Per column a low and a high cut near the given share of a sample from each end, or
+    None for no cut."""
     if share is None:
-        return {c: (math.inf, -math.inf) for c in columns}
+        return {c: (None, None) for c in columns}
     drawn = numbers.where(F.rand() < rate)
     row = drawn.agg(*[F.percentile_approx(ref(c), [share, 1 - share], 10_000).alias(f"q{i}")
                       for i, c in enumerate(columns)]).first()
-    return {c: tuple(row[f"q{i}"] or (math.inf, -math.inf)) for i, c in enumerate(columns)}
+    return {c: tuple(row[f"q{i}"] or (None, None)) for i, c in enumerate(columns)}
 
 
-def _beyond(numbers: DataFrame, cuts: dict[str, tuple[float, float]], k: int) -> DataFrame:
+def _beyond(numbers: DataFrame, cuts: dict[str, tuple], k: int) -> DataFrame:
     """The k outermost distinct values beyond the cuts, by column and side. Each task
     keeps only its own k per column and side before the last shuffle."""
-    low, high = (F.create_map(*[F.lit(x) for c, ends in cuts.items() for x in (c, ends[i])])
-                 [F.col("column")] for i in (0, 1))
     value = F.col("value")
+    kind = numbers.schema[next(iter(cuts))].dataType
+    low, high = (F.coalesce(F.create_map(*[
+        x for c, ends in cuts.items() for x in (F.lit(c), F.lit(ends[i]).cast(kind))])
+        [F.col("column")], value) for i in (0, 1))
     counted = (numbers.unpivot([], [ref(c) for c in cuts], "column", "value")
                .where(value.isNotNull() & ((value <= low) | (value >= high)))
                .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
@@ -403,7 +447,7 @@ def profile_tables(df: DataFrame, k: int = 10, bins: int = 10) -> dict[str, Data
               "sample": first_rows(df, k)}
     if numbers:
         tables.update(numeric=numeric_summary(df, numbers), quantiles=quantiles(df, numbers),
-                      histogram=histogram(df, numbers, bins), extremes=extremes(df, numbers, k),
+                      histogram=histogram(df, numbers, bins), extremes=extremes(df, numbers, k, as_text=True),
                       correlation=correlation_matrix(df, numbers),
                       rank_correlation=rank_correlation(df, numbers))
     if texts:

@@ -10,6 +10,8 @@ candidates: 10^12 rows need three rounds. A pivot is a value of the column and
 is settled by its own count, so repeated values cannot stall the search. The
 last step takes the exact rank among the candidates left.
 
+Whole numbers and decimals that no double holds are searched digit by digit.
+
 ``gather_rows`` bounds the candidates of all searches together, as the last
 step holds them in one task.
 """
@@ -17,13 +19,15 @@ step holds them in one task.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from decimal import Decimal
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskpanel.functions.columns import clean_number
+from riskpanel.functions.columns import clean_number, ref
+from riskpanel.functions.digits import beyond_double, digits, from_digits, may_be_beyond
 
 GATHER_ROWS = 1_000_000
 SAMPLE_ROWS = 1_000_000
@@ -34,13 +38,18 @@ PARTS = 1 << 20
 
 @dataclass(frozen=True)
 class ColumnCount:
-    """Rows of the table, the column's non-null count and bounds, and any extra results."""
+    """Rows of the table, the column's non-null count and bounds, and any extra results.
+
+    The bounds of a column with values that no double holds (``exact``) are whole
+    numbers or decimals.
+    """
 
     rows: int
     present: int
-    low: float | None
-    high: float | None
+    low: float | int | Decimal | None
+    high: float | int | Decimal | None
     extra: dict
+    exact: bool = False
 
 
 @dataclass
@@ -113,7 +122,23 @@ def count_columns(df: DataFrame, columns: list[str],
         row = found.get(i, {})
         counts[c] = ColumnCount(*[row.get(k, v) for k, v in empty.items()],
                                 {k: v for k, v in row.items() if k not in empty and k != "slot"})
-    return counts
+    return _with_exact_bounds(df, counts)
+
+
+def _with_exact_bounds(df: DataFrame, counts: dict[str, ColumnCount]) -> dict[str, ColumnCount]:
+    """The counts with the bounds of columns that need it in their own type."""
+    asked = [c for c, n in counts.items() if n.present and may_be_beyond(
+        df.schema[c].dataType, max(abs(n.low), abs(n.high)))]
+    if not asked:
+        return counts
+    row = df.agg(*[f(ref(c)).alias(f"{name}{i}") for i, c in enumerate(asked)
+                   for name, f in (("lo", F.min), ("hi", F.max))]).first()
+    out = dict(counts)
+    for i, c in enumerate(asked):
+        low, high = row[f"lo{i}"], row[f"hi{i}"]
+        if beyond_double(df.schema[c].dataType, low, high):
+            out[c] = replace(counts[c], low=low, high=high, exact=True)
+    return out
 
 
 def values_at_ranks(df: DataFrame, counts: dict[str, ColumnCount], ranks: dict[str, list[int]],
@@ -134,6 +159,10 @@ def values_at_ranks(df: DataFrame, counts: dict[str, ColumnCount], ranks: dict[s
                 found[column][rank] = count.low if rank == 0 else count.high
             else:
                 asked.setdefault(column, []).append(rank)
+    exact = {c: asked.pop(c) for c in list(asked) if counts[c].exact}
+    if exact:
+        for c, values in _exact_values(df, counts, exact, gather_rows, sample_rows).items():
+            found[c].update(values)
     if not asked:
         return found
     names = {c: f"c{i}" for i, c in enumerate(asked)}
@@ -162,6 +191,48 @@ def values_at_ranks(df: DataFrame, counts: dict[str, ColumnCount], ranks: dict[s
     return found
 
 
+def _exact_values(df: DataFrame, counts: dict[str, ColumnCount], ranks: dict[str, list[int]],
+                  gather_rows: int, sample_rows: int) -> dict[str, dict[int, int | Decimal]]:
+    """Values at ranks by their digits, each of which a double holds.
+
+    The first digit at each rank is found like any value. Among the rows that have it,
+    the next digit is found at the rank less the rows with a smaller one, and so on.
+    """
+    split = {c: digits(df, c) for c in ranks}
+    # an open search: column, first digits found so far, and its ranks (asked, rest)
+    todo = [(c, (), [(r, r) for r in wanted]) for c, wanted in ranks.items()]
+    found: dict[str, dict[int, int | Decimal]] = {c: {} for c in ranks}
+    while todo:
+        columns = []
+        for c, known, _ in todo:
+            same = F.lit(True)
+            for d, value in zip(split[c], known):
+                same = same & (d == F.lit(value))
+            columns.append(F.when(same, split[c][len(known)]))
+        names = [f"d{i}" for i in range(len(todo))]
+        level = df.select(*[d.alias(n) for n, d in zip(names, columns)])
+        level_counts = count_columns(level, names)
+        values = values_at_ranks(level, level_counts, {
+            n: [rest for _, rest in wanted] for n, (_, _, wanted) in zip(names, todo)},
+            gather_rows, sample_rows)
+        groups = []
+        for n, (c, known, wanted) in zip(names, todo):
+            by_value: dict[float, list] = {}
+            for asked, rest in wanted:
+                by_value.setdefault(values[n][rest], []).append((asked, rest))
+            groups += [(n, c, (*known, v), rest) for v, rest in by_value.items()]
+        below = level.agg(*[F.count_if(F.col(n) < F.lit(known[-1])).alias(f"b{i}")
+                            for i, (n, _, known, _) in enumerate(groups)]).first()
+        todo = []
+        for i, (_, c, known, wanted) in enumerate(groups):
+            if len(known) == len(split[c]):
+                value = from_digits(df.schema[c].dataType, known)
+                found[c].update((asked, value) for asked, _ in wanted)
+            else:
+                todo.append((c, known, [(asked, rest - below[f"b{i}"]) for asked, rest in wanted]))
+    return found
+
+
 def _finite_searches(numbers: DataFrame, name: str, column: str, count: ColumnCount,
                      ranks: list[int]) -> list[_Search]:
     """Searches among the finite values; ranks that fall on infinities are settled."""

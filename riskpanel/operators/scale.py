@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskpanel.functions.columns import clean_number, numeric_columns, ref
+from riskpanel.functions.columns import (clean_number, is_exact_type, native_number,
+                                         numeric_columns, ref)
 
 
 @dataclass(frozen=True)
 class Bounds:
     column: str
-    low: float | None
-    high: float | None
+    low: float | int | Decimal | None
+    high: float | int | Decimal | None
 
 
 def fit_min_max(df: DataFrame, columns: list[str] | None = None,
@@ -23,7 +25,7 @@ def fit_min_max(df: DataFrame, columns: list[str] | None = None,
     columns = numeric_columns(df, exclude=[label_col]) if columns is None else columns
     if not columns:
         return []
-    numbers = [clean_number(df, c) for c in columns]
+    numbers = [native_number(df, c) for c in columns]
     row = df.agg(*[F.min(x).alias(f"lo{i}") for i, x in enumerate(numbers)],
                  *[F.max(x).alias(f"hi{i}") for i, x in enumerate(numbers)]).first()
     return [Bounds(c, row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)]
@@ -33,10 +35,20 @@ def _scaled(df: DataFrame, bounds: Bounds) -> Column:
     number = clean_number(df, bounds.column)
     if bounds.low is None:
         return F.lit(None).cast("double")
-    width = bounds.high - bounds.low
+    above = number - F.lit(float(bounds.low))
+    if is_exact_type(df.schema[bounds.column].dataType) and not isinstance(bounds.low, float):
+        # the difference is whole or a decimal, and may be wider than the column
+        low = F.lit(Decimal(bounds.low)).cast(_wide(df, bounds.column))
+        above = (ref(bounds.column).cast(_wide(df, bounds.column)) - low).cast("double")
+    width = float(bounds.high - bounds.low)
     if width == 0:
-        return F.when(number.isNotNull(), number - F.lit(bounds.low))
-    return (number - F.lit(bounds.low)) / F.lit(width)
+        return F.when(number.isNotNull(), F.lit(0.0))
+    return above / F.lit(width)
+
+
+def _wide(df: DataFrame, name: str) -> str:
+    scale = getattr(df.schema[name].dataType, "scale", 0)
+    return f"decimal(38,{scale})"
 
 
 def apply_min_max(df: DataFrame, fitted: list[Bounds]) -> DataFrame:

@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskpanel.functions.columns import clean_number, numeric_columns, ref
+from riskpanel.functions.columns import native_number, numeric_columns, ref
 from riskpanel.operators.ranks import GATHER_ROWS, count_columns, values_at_ranks
 from riskpanel.operators.scale import Bounds
 
 
 @dataclass(frozen=True)
 class Cap:
-    """Caps of one column. ``fill`` replaces NULL; ``blank`` makes every value NULL."""
+    """Caps of one column. ``fill`` replaces NULL; ``blank`` makes every value NULL.
+
+    Caps that no double holds are whole numbers or decimals.
+    """
 
     column: str
-    low: float | None = None
-    high: float | None = None
-    fill: float | None = None
+    low: float | int | Decimal | None = None
+    high: float | int | Decimal | None = None
+    fill: float | int | Decimal | None = None
     blank: bool = False
 
 
@@ -64,7 +68,7 @@ def fit_caps_and_bounds(df: DataFrame, columns: list[str],
     return caps, bounds
 
 
-def _capped_bounds(cap: Cap, low: float | None, high: float | None) -> Bounds:
+def _capped_bounds(cap: Cap, low, high) -> Bounds:
     if cap.blank:
         return Bounds(cap.column, None, None)
     return Bounds(cap.column, low if cap.low is None else cap.low,
@@ -87,7 +91,7 @@ def _capped(df: DataFrame, cap: Cap) -> Column:
     data_type = df.schema[cap.column].dataType
     if cap.blank:
         return F.lit(None).cast(data_type)
-    number = clean_number(df, cap.column)
+    number = native_number(df, cap.column)
     branches: list[tuple[Column, Column]] = []
     if cap.low is not None:
         branches.append((number < F.lit(cap.low), F.lit(cap.low).cast(data_type)))
