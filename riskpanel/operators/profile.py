@@ -1,7 +1,7 @@
 """Table profile: the sections of a data report as DataFrames.
 
 Sections of the same shape cover all columns together: numeric columns share one
-aggregate, and per-value sections share one grouped table of (column, value).
+aggregate, and sections on text values share one table of counted keys.
 """
 
 from __future__ import annotations
@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskpanel.functions.columns import (clean_number, is_exact_type, nan_to_null, native_number,
-                                         numeric_columns, ref, temporal_columns, text_columns)
+                                         numeric_columns, ref, require, temporal_columns,
+                                         text_columns)
 from riskpanel.functions.numbers import ratio
+from riskpanel.operators import frequent
+from riskpanel.operators.attach import attach
 from riskpanel.operators.correlation import correlation_matrix
 from riskpanel.operators.describe import exact_quantiles
 from riskpanel.operators.ranks import GATHER_ROWS, long_numbers
 from riskpanel.operators.row_ranks import rank_correlation
+from riskpanel.session import kept
 
 # Quantiles of the numeric section.
 PROFILE_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -165,29 +169,37 @@ def _check_k(k: int) -> None:
         raise ValueError("k must be at least 1")
 
 
-def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 10) -> DataFrame:
-    """The k most frequent values of each text column, ties by value.
-
-    Each task keeps only its own k best per column before the last shuffle.
-    """
-    _check_k(k)
+def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 10,
+               counts: DataFrame | None = None) -> DataFrame:
+    """The k most frequent values of each text column, ties by value; see
+    :mod:`riskpanel.operators.frequent`. ``counts`` are the columns' key counts, if known."""
     columns = text_columns(df) if columns is None else columns
-    order = Window.partitionBy("column").orderBy(F.desc("n"), "value")
-    return (value_counts(df, columns)
-            .withColumn("position", F.row_number().over(order))
-            .where(F.col("position") <= k))
+    return frequent.top_values(df, columns, k, counts=counts).select(
+        "column", "value", "n", "position")
 
 
-def text_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row per text column: counts, distinct values, mode, and text lengths."""
+def text_summary(df: DataFrame, columns: list[str] | None = None,
+                 counts: DataFrame | None = None) -> DataFrame:
+    """One row per text column with values: counts, distinct values, mode, and text lengths.
+
+    Long texts are told apart by a 128-bit digest and their length.
+    """
     columns = text_columns(df) if columns is None else columns
+    counts = kept(frequent.key_counts(df, columns)) if counts is None else counts
     length = F.char_length("value")
-    return value_counts(df, columns).groupBy("column").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_distinct"),
-        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"),
-        F.max("n").alias("mode_count"), F.min(length).alias("min_length"),
-        ratio(F.sum(length * F.col("n")), F.sum("n")).alias("mean_length"),
+    # as many rows as columns
+    totals = frequent.stacked_texts(df, columns).groupBy("slot").agg(
+        F.count("*").alias("n"), F.min(length).alias("min_length"),
+        ratio(F.sum(length), F.count("*")).alias("mean_length"),
         F.max(length).alias("max_length"))
+    distinct = counts.groupBy("slot").agg(F.count("*").alias("n_distinct"))
+    modes = top_values(df, columns, 1, counts).select(
+        "column", F.col("value").alias("mode"), F.col("n").alias("mode_count"))
+    named = F.array(*[F.lit(c) for c in columns])[F.col("slot")]
+    return (totals.join(F.broadcast(distinct), "slot").withColumn("column", named)
+            .join(F.broadcast(modes), "column")
+            .select("column", "n", "n_distinct", "mode", "mode_count", "min_length",
+                    "mean_length", "max_length"))
 
 
 def date_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -268,11 +280,26 @@ def missing_correlation(df: DataFrame, columns: list[str] | None = None) -> Data
     return correlation_matrix(flags, columns)
 
 
+def _row_digest(df: DataFrame, columns: list[str]) -> list[Column]:
+    """128 bits of a row; rows that differ may share them, equal rows always do."""
+    return [F.xxhash64(F.lit(i), *[ref(c) for c in columns]).alias(f"__digest{i}")
+            for i in range(2)]
+
+
 def duplicate_rows(df: DataFrame, columns: list[str] | None = None,
                    k: int | None = None) -> DataFrame:
-    """Rows that occur more than once with their count ``n``; the k most frequent if given."""
+    """Rows that occur more than once with their count ``n``; the k most frequent if given.
+
+    Digests are counted first. Only rows with a digest that occurs twice are compared as
+    a whole.
+    """
     columns = df.columns if columns is None else columns
-    repeated = (df.groupBy(*[ref(c) for c in columns]).agg(F.count(F.lit(1)).alias("n"))
+    rows = df.select(*[ref(c) for c in columns], *_row_digest(df, columns))
+    keys = ["__digest0", "__digest1"]
+    twice = kept(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+                 .select(*keys))
+    suspected = attach(rows, twice, keys, how="inner", check_unique=False)
+    repeated = (suspected.groupBy(*[ref(c) for c in columns]).agg(F.count(F.lit(1)).alias("n"))
                 .where("n > 1"))
     if k is None:
         return repeated
@@ -374,10 +401,37 @@ def _beyond(numbers: DataFrame, cuts: dict[str, tuple], k: int) -> DataFrame:
 
 
 def first_rows(df: DataFrame, k: int = 10) -> DataFrame:
-    """The report's sample of the first rows."""
+    """Some rows, as the table's files give them."""
     return df.limit(k)
 
 
+def sample_rows(df: DataFrame, order: list[str] | None = None, k: int = 10,
+                seed: int = 0) -> DataFrame:
+    """The first, the last and k random rows: ``sample`` and ``position`` before the columns.
+
+    Rows are in the order of the columns ``order``, all if None, NULL first. The random
+    ones have the smallest digests of seed and these columns, so they are the same
+    however the table is split. Each task keeps its own k rows.
+    """
+    _check_k(k)
+    order = df.columns if order is None else order
+    require(df, order)
+    keys = [ref(c) for c in order]
+    told = F.md5(F.concat_ws(",", F.lit(str(seed)), *[
+        F.coalesce(x.cast("string"), F.lit("\\N")) for x in keys]))
+    ordered = {"first": [x.asc_nulls_first() for x in keys],
+               "last": [x.desc_nulls_last() for x in keys],
+               "random": [told.asc(), *[x.asc_nulls_first() for x in keys]]}
+    out = None
+    for name, by in ordered.items():
+        some = df.orderBy(*by).limit(k)
+        # k rows of one task, already in order
+        found = some.select(F.lit(name).alias("sample"), F.row_number().over(
+            Window.orderBy(*by)).alias("position"), *[ref(c) for c in df.columns])
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @dataclass(frozen=True)
 class AlertLimits:
     """Thresholds of the alert rules."""
@@ -390,22 +444,27 @@ class AlertLimits:
 
 
 def alerts(df: DataFrame, limits: AlertLimits = AlertLimits(),
-           exact_distinct: bool = True) -> DataFrame:
-    """Rows (column, alert, value) for every rule that fires."""
+           exact_distinct: bool = True, sections: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Rows (column, alert, value) for every rule that fires. ``sections`` are tables of
+    :func:`profile_tables` that are known already."""
     numbers, texts = numeric_columns(df), text_columns(df)
-    missing = missing_counts(df).where(F.col("missing_share") > limits.missing_share).select(
-        "column", F.lit("missing").alias("alert"), F.col("missing_share").alias("value"))
-    found = [missing]
+    known = sections or {}
+    missing = known["missing"] if "missing" in known else missing_counts(df)
+    found = [missing.where(F.col("missing_share") > limits.missing_share).select(
+        "column", F.lit("missing").alias("alert"), F.col("missing_share").alias("value"))]
     if numbers:
-        found.append(_numeric_alerts(numeric_summary(df, numbers, exact_distinct), limits))
-        pairs = correlation_matrix(df, numbers)
+        summary = (known["numeric"] if "numeric" in known
+                   else numeric_summary(df, numbers, exact_distinct))
+        found.append(_numeric_alerts(summary, limits))
+        pairs = known["correlation"] if "correlation" in known else correlation_matrix(df, numbers)
         found.append(pairs.where((F.col("col_x") != F.col("col_y"))
                                  & (F.abs("corr") > limits.correlation))
                      .groupBy(F.col("col_x").alias("column"))
                      .agg(F.max(F.abs("corr")).alias("value"))
                      .select("column", F.lit("high_correlation").alias("alert"), "value"))
     if texts:
-        found.append(_text_alerts(text_summary(df, texts), limits))
+        found.append(_text_alerts(known["text"] if "text" in known else text_summary(df, texts),
+                                  limits))
     result = found[0]
     for extra in found[1:]:
         result = result.unionByName(extra)
@@ -439,19 +498,27 @@ def _text_alerts(summary: DataFrame, limits: AlertLimits) -> DataFrame:
 
 
 def profile_tables(df: DataFrame, k: int = 10, bins: int = 10) -> dict[str, DataFrame]:
-    """Every section of the report by name."""
+    """Every section of the report by name.
+
+    What several sections need is computed once and kept: the counts of text keys for
+    distinct values, modes and top values; the summaries, missing counts and
+    correlations for their own sections and the alerts.
+    """
     numbers, texts, dates = numeric_columns(df), text_columns(df), temporal_columns(df)
-    tables = {"overview": overview(df), "missing": missing_counts(df),
+    tables = {"overview": overview(df), "missing": kept(missing_counts(df)),
               "missing_correlation": missing_correlation(df),
-              "duplicates": duplicate_rows(df, k=k), "alerts": alerts(df),
-              "sample": first_rows(df, k)}
+              "duplicates": duplicate_rows(df, k=k), "sample": sample_rows(df, k=k)}
     if numbers:
-        tables.update(numeric=numeric_summary(df, numbers), quantiles=quantiles(df, numbers),
-                      histogram=histogram(df, numbers, bins), extremes=extremes(df, numbers, k, as_text=True),
-                      correlation=correlation_matrix(df, numbers),
+        tables.update(numeric=kept(numeric_summary(df, numbers)), quantiles=quantiles(df, numbers),
+                      histogram=histogram(df, numbers, bins),
+                      extremes=extremes(df, numbers, k, as_text=True),
+                      correlation=kept(correlation_matrix(df, numbers)),
                       rank_correlation=rank_correlation(df, numbers))
     if texts:
-        tables.update(text=text_summary(df, texts), top_values=top_values(df, texts, k))
+        counts = kept(frequent.key_counts(df, texts))
+        tables.update(text=kept(text_summary(df, texts, counts)),
+                      top_values=top_values(df, texts, k, counts))
     if dates:
         tables["dates"] = date_summary(df, dates)
+    tables["alerts"] = alerts(df, sections=tables)
     return tables

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskpanel.operators import profile
+from riskpanel.operators import frequent, profile
 from riskpanel.operators.correlation import correlation_matrix
 
 
@@ -101,7 +101,9 @@ def test_text_ties(spark):
 
 
 def test_top_values_limit_before_the_last_shuffle(df):
-    text = profile.top_values(df, k=2)._jdf.queryExecution().executedPlan().toString()
+    counted = frequent.stacked_texts(df, ["c"]).groupBy("slot", "value").agg(
+        F.count("*").alias("n"))
+    text = frequent._first(counted, 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text and text.index("Final") < text.index("Partial")
     assert "SinglePartition" not in text
 
