@@ -13,14 +13,21 @@ found in four steps, none of which can lose one.
    first, are cut to a prefix. Rare shingles are indexed alone. Frequent ones are
    dealt by hash into token classes and indexed as pairs within these. A token class
    with m shingles in the prefix survives m - k + 1 missing ones (k = 1 or 2), so
-   the prefix is extended until the sum of these exceeds what a partner may lack.
-   The number of token classes follows the set's size; a set is indexed under each
-   number that a partner's size may ask for.
+   the prefix is extended until the sum of these, its strength, exceeds what a partner
+   may lack. Of two linked sets the smaller lacks a seventh at most, so every set has
+   a short prefix as the smaller one and a longer one as the larger. The number of
+   token classes follows the smaller set's size.
+   A key also carries its room: if two sets share no earlier key, each has, before the
+   shingle that completes this one, as many unshared shingles as the prefix has
+   strength there, and they have no more in common than either has left. So keys
+   whose sets are too long for their room are dropped before any pair is made: sets
+   around a frequent passage meet only if the passage itself nearly links them.
 4. Verification, in rounds. A round pairs every class with the pivot of one of its index
-   keys, so the work is linear in the classes; links found join components, and keys
-   whose holders are in one component are done with. Once the pairs of different
-   components under one key are few, or after some rounds, all of these are
-   verified. Bitmaps bound the overlap of such a pair before its sets are compared.
+   keys, so the work is linear in the classes; pivots are sets with nearly nothing
+   of their own, which link with whatever links in a group of near copies. Links found
+   join components, and keys whose holders are in one component are done with. After
+   some rounds all pairs of a key whose rooms allow a link are verified. Bitmaps bound the
+   overlap of such a pair before its sets are compared.
 
 Defined results: a null or empty text and one without words have no shingles, no
 links and their own doc_id as component; a null doc_id never names a component
@@ -46,7 +53,8 @@ RARE = 16  # classes that hold a rare shingle, at most
 PER_CLASS = 8  # shingles of a set for each of its token classes
 BITS = 2048
 STAR_ROUNDS = 3
-PAIRS_PER_ROW = 20  # of index keys; beyond it pivots settle some first
+#: Roles of a set under a key: as the smaller one of a pair, and as the larger.
+SMALLER, LARGER = 1, 2
 SMALL = 1_000_000  # rows of a few bytes that may be broadcast
 
 
@@ -234,39 +242,70 @@ def _shared(parts: int):
 
 
 def token_classes(n: int) -> int:
-    """Into how many token classes the frequent shingles of a set of n are dealt."""
+    """Into how many token classes the frequent shingles are dealt where the smaller set has n."""
     return 1 << max(0, (n // PER_CLASS).bit_length() - 1)
 
 
-def prefix_keys(n: int, keys: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """The index keys of a set: n shingles, of which ``keys`` are shared by ``held`` classes."""
+def least_overlap(n: int, other: int) -> int:
+    """What linked sets of these sizes have in common at least: 3/7 of their sum."""
+    return -(-3 * (n + other) // 7)
+
+
+def roles(n: int) -> list[tuple[int, int, int]]:
+    """(role, least overlap, token classes) of a set of n: as the smaller set, and as the
+    larger one for each number of token classes that a smaller partner may have."""
+    out = [(SMALLER, least_overlap(n, n), token_classes(n))]
+    low = -(-3 * n // 4)
+    for deal in sorted({token_classes(low), token_classes(n)}):
+        out.append((LARGER, least_overlap(n, max(low, PER_CLASS * deal if deal > 1 else 1)), deal))
+    return out
+
+
+def pairs_within(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (earlier, later) of all pairs of equal numbers in ``group`` (-1: of none)."""
+    order = np.argsort(group, kind="stable")
+    order = order[group[order] >= 0]
+    sorted_ = group[order]
+    first = np.searchsorted(sorted_, sorted_, "left")
+    rank = np.arange(len(order)) - first
+    later = np.repeat(np.arange(len(order)), rank)
+    earlier = first[later] + np.arange(len(later)) - np.repeat(np.cumsum(rank) - rank, rank)
+    return order[earlier], order[later]
+
+
+def prefix_keys(n: int, keys: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Index keys, rooms and roles of a set: n shingles, of which ``keys`` are shared by
+    ``held`` classes."""
     order = np.lexsort((keys, held))
     keys, held = keys[order], held[order]
-    lack = may_lack(n) - (n - len(keys))
+    m = len(keys)
+    frequent = held > RARE
     out = []
-    for deal in sorted({token_classes(m) for m in (-(-3 * n // 4), n, 4 * n // 3)}):
-        frequent = held > RARE
+    for role, least, deal in roles(n):
+        if m < least:
+            continue
         group = np.where(frequent, (texts.mix(keys) % np.uint64(deal)).astype(np.int64), -1)
         # what each shingle adds to the prefix's strength: the first of a pair class nothing
-        adds = np.ones(len(keys), np.int64)
+        adds = np.ones(m, np.int64)
         _, first = np.unique(group, return_index=True)
         adds[first[group[first] >= 0]] = 0
         strength = np.cumsum(adds)
-        size = int(np.searchsorted(strength, lack + 1)) + 1
-        whole = size > len(keys)
-        head, group, rare = keys[:size], group[:size], ~frequent[:size]
-        if whole:  # too few for pairs: partners that are as short meet by single shingles
-            out.append(texts.mix(head + np.uint64(3)))
-        out.append(texts.mix(head[rare] + np.uint64(1)))
-        by_group = np.argsort(group, kind="stable")
-        by_group = by_group[group[by_group] >= 0]
-        cuts = np.flatnonzero(np.append(True, np.diff(group[by_group]) != 0)) if len(by_group) else []
-        for a, b in zip(cuts, [*cuts[1:], len(by_group)]):
-            own = np.sort(head[by_group[a:b]])
-            i, j = np.triu_indices(len(own), 1)
-            out.append(texts.mix(own[i] * texts.FACTORS[0] + own[j] * texts.FACTORS[1]
-                                 + np.uint64(deal)))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+        size = int(np.searchsorted(strength, m - least + 1)) + 1
+        room = m - (strength - adds)
+        head, group = keys[:size], group[:size]
+        alone = np.flatnonzero(group < 0)
+        i, j = pairs_within(group)
+        low, high = np.minimum(head[i], head[j]), np.maximum(head[i], head[j])
+        out.append((texts.mix(head[alone] + np.uint64(1)), room[alone], role))
+        out.append((texts.mix(low * texts.FACTORS[0] + high * texts.FACTORS[1] + np.uint64(deal)),
+                    room[j], role))
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found, at = np.unique(np.concatenate([k for k, _, _ in out]), return_inverse=True)
+    rooms, bits = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
+    np.maximum.at(rooms, at, np.concatenate([r for _, r, _ in out]))
+    np.bitwise_or.at(bits, at, np.concatenate([np.full(len(k), b) for k, _, b in out]))
+    return found, rooms, bits
 
 
 def _sets(table: pa.Table) -> pa.Table:
@@ -282,13 +321,20 @@ def _sets(table: pa.Table) -> pa.Table:
             continue
         bits = np.zeros(BITS, np.uint8)
         bits[(own >> np.uint64(20)) % np.uint64(BITS)] = 1
+        index, rooms, role = prefix_keys(n, own, held[a:b])
         out.append((int(classes[a]), n, b - a, own.tobytes(), np.packbits(bits).tobytes(),
-                    prefix_keys(n, own, held[a:b]).view(np.int64)))
-    c, n, m, keys, bits, index = zip(*out) if out else [()] * 6
+                    index.view(np.int64), rooms.astype(np.int32), role.astype(np.int32)))
+    c, n, m, keys, bits, index, rooms, role = zip(*out) if out else [()] * 8
     return pa.table({"class": pa.array(c, pa.int64()), "n": pa.array(n, pa.int64()),
                      "m": pa.array(m, pa.int64()), "keys": pa.array(keys, pa.binary()),
                      "bits": pa.array(bits, pa.binary()),
-                     "index": pa.array(index, pa.list_(pa.int64()))})
+                     "key": pa.array(index, pa.list_(pa.int64())),
+                     "room": pa.array(rooms, pa.list_(pa.int32())),
+                     "role": pa.array(role, pa.list_(pa.int32()))})
+
+
+SET_FIELDS = ("class bigint, n bigint, m bigint, keys binary, bits binary, key array<bigint>, "
+              "room array<int>, role array<int>")
 
 
 # -- verification ---------------------------------------------------------------------
@@ -362,45 +408,76 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
             "class", F.coalesce("above", "label").alias("label")))
 
 
+def index_of(sets: DataFrame) -> DataFrame:
+    """Rows (class, n, key, room, role, most) of all index keys; ``most`` is the size of the
+    largest partner that the room allows."""
+    return sets.select("class", "n", F.inline(F.arrays_zip("key", "room", "role"))).select(
+        "*", F.expr("int(7 * room div 3 - n)").alias("most"))
+
+
+def _active(rows: DataFrame, star: int) -> DataFrame:
+    """The rows (with ``label``) under keys that more than one component holds, with the
+    key's pivot; rows whose room fits no partner under the key go."""
+    smaller, larger = F.col("role").bitwiseAND(SMALLER) > 0, F.col("role").bitwiseAND(LARGER) > 0
+    # sets with little of their own come first, in another order in each round
+    order = F.struct((F.lit(16) * (F.col("n") - F.col("room")) / F.col("n")).cast("int").alias("own"),
+                     F.xxhash64("class", F.lit(star)).alias("o"), "class", "label")
+    keys = texts.stored(rows.groupBy("key").agg(
+        F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high"),
+        F.min(F.when(smaller, F.col("n"))).alias("least_n"),
+        F.max(F.when(larger, F.col("n"))).alias("most_n"),
+        F.max(F.when(larger, F.col("most"))).alias("reach"), F.min(order).alias("pivot"))
+        .where("low <> high AND least_n <= most_n AND least_n <= reach"))
+    total = keys.agg(F.sum("held")).first()[0] or 0
+    # at most four keys for each shuffle partition have that many rows
+    often = total // (4 * texts.partitions(rows.sparkSession))
+    keys = keys.drop("low", "high")
+    hot = F.broadcast(keys.where(F.col("held") > often))
+    met = rows.join(hot, "key").unionByName(
+        rows.join(hot, "key", "left_anti").join(keys.where(F.col("held") <= often), "key"))
+    fits = ((larger & (F.col("least_n") <= F.least("n", "most")))
+            | (smaller & (F.col("n") <= F.least("most_n", "reach"))))
+    return texts.stored(met.where(fits).select(
+        "class", "n", "key", "room", "role", "most", "label", "pivot"))
+
+
 def components(sets: DataFrame, index: DataFrame) -> DataFrame:
     """class and label of every class in ``sets``; linked classes have one label."""
     labels = sets.select("class", F.col("class").alias("label"))
+    rows = index.withColumn("label", F.col("class"))
     tested = None
-    by_key, by_label = Window.partitionBy("key"), Window.partitionBy("key", "label")
-    star = 0
-    while True:
-        # keys whose holders are in one component are done with
-        order = F.xxhash64("class", F.lit(star)) if star else F.col("class")
-        held = index.join(_small(labels), "class").select(
-            "*", F.min("label").over(by_key).alias("low"), F.max("label").over(by_key).alias("high"),
-            F.min(F.struct(order.alias("o"), "class", "label")).over(by_key).alias("p"),
-            (F.count("*").over(by_key) - F.count("*").over(by_label)).alias("others"))
-        active = texts.stored(held.where("low <> high").select(
-            "key", "class", "label", F.col("p.class").alias("pivot"),
-            F.col("p.label").alias("pivot_label"), "others"))
-        rows, others = active.agg(F.count("*"), F.sum("others")).first()
-        if not rows:
-            return labels
-        index = active.select("key", "class")
-        last = star == STAR_ROUNDS or others <= PAIRS_PER_ROW * rows
+    for star in range(STAR_ROUNDS + 1):
+        active = _active(rows, star)
+        if active.isEmpty():
+            break
+        last = star == STAR_ROUNDS
         if last:
-            other = active.select("key", F.col("class").alias("other"), F.col("label").alias("to"))
-            pairs = (active.select("key", "class", "label").join(other, "key")
-                     .where("label < to").select("class", "other"))
+            pairs = _all_pairs(active)
         else:
             # every holder with one of its keys' pivots: a pair for each class at most
-            pairs = (active.where("label <> pivot_label").groupBy("class")
-                     .agg(F.min("pivot").alias("other")))
+            pairs = (active.where(F.col("label") != F.col("pivot.label")).groupBy("class")
+                     .agg(F.min("pivot").alias("pivot"))
+                     .select("class", F.col("pivot.class").alias("other")))
         pairs = pairs.select(F.least("class", "other").alias("a"),
                              F.greatest("class", "other").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(_small(tested), ["a", "b"], "left_anti")
         pairs = texts.stored(pairs)
         labels = joined(labels, verified(pairs, sets, last))
-        if last:
-            return labels
         tested = pairs if tested is None else tested.unionByName(pairs)
-        star += 1
+        rows = active.drop("label", "pivot").join(_small(labels), "class")
+    return labels
+
+
+def _all_pairs(active: DataFrame) -> DataFrame:
+    """Pairs (class, other) of different components that a key's rooms allow to be linked."""
+    one = active.where(F.col("role").bitwiseAND(SMALLER) > 0).select(
+        "key", "class", "n", "room", "most", "label")
+    two = active.where(F.col("role").bitwiseAND(LARGER) > 0).select(
+        "key", F.col("class").alias("other"), F.col("n").alias("size"),
+        F.col("room").alias("space"), F.col("most").alias("limit"), F.col("label").alias("to"))
+    return one.join(two, "key").where(
+        "label <> to AND n <= size AND size <= most AND n <= limit").select("class", "other")
 
 
 # -- the join --------------------------------------------------------------------------
@@ -427,10 +504,8 @@ def grouped(documents: DataFrame) -> DataFrame:
         rows.join(stay, rows["doc_id"].eqNullSafe(stay["head"]), "left_semi")
         .mapInArrow(_tokens(buckets), "bucket int, runs binary")
         .groupBy("bucket").applyInArrow(_shared(buckets), "bucket int, runs binary")
-        .groupBy("bucket").applyInArrow(_sets, "class bigint, n bigint, m bigint, keys binary, "
-                                               "bits binary, index array<bigint>"))
-    index = sets.select("class", F.explode("index").alias("key"))
-    labels = components(sets.drop("index"), index)
+        .groupBy("bucket").applyInArrow(_sets, SET_FIELDS))
+    labels = components(sets.drop("key", "room", "role"), index_of(sets))
     named = texts.stored(
         found.join(_small(labels), "class", "left")
         .select("doc_id", "class", "n", F.coalesce("label", "class").alias("label")))

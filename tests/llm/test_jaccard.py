@@ -88,8 +88,8 @@ def test_pair_by_pair_when_pivots_do_not_settle_a_key(spark, monkeypatch):
     assert got(odd_documents(spark, rows)) == plain([r[:2] for r in rows])
 
 
-def test_pivots_settle_hot_keys_first(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "PAIRS_PER_ROW", -1)
+def test_many_rounds_of_pivots(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", 6)
     rows = family_rows(5)
     assert got(odd_documents(spark, rows)) == plain([r[:2] for r in rows])
 
@@ -111,26 +111,73 @@ def test_linked_sets_share_an_index_key():
     """The prefixes of any two linked sets have a key in common, for all frequencies."""
     r = np.random.default_rng(5)
     pool = r.integers(1, 1 << 62, 3000).astype(np.uint64)
-    held_by = dict(zip(pool.tolist(), r.choice([1, 2, 10, 17, 40, 900], 3000).tolist()))
+    held_by = dict(zip(pool.tolist(), r.choice([2, 10, 17, 40, 900], 3000).tolist()))
 
-    def keys_of(s):
-        shared = np.array([k for k in s if held_by[int(k)] > 1], np.uint64)
+    def keys_of(s, alone):
+        shared = np.setdiff1d(s, alone)
         held = np.array([held_by[int(k)] for k in shared])
         if len(s) - len(shared) > jaccard.may_lack(len(s)):
             return None
-        return set(jaccard.prefix_keys(len(s), shared, held).tolist())
+        keys, rooms, roles = jaccard.prefix_keys(len(s), shared, held)
+        return {k: (room, role) for k, room, role in zip(*(
+            x.tolist() for x in (keys, rooms, roles)))}
 
-    for _ in range(1500):
-        n = int(r.choice([1, 2, 3, 4, 5, 8, 20, 40, 100, 300]))
+    checked = 0
+    for _ in range(2500):
+        n = int(r.choice([1, 2, 3, 4, 5, 8, 15, 16, 20, 31, 32, 40, 100, 300]))
         one = r.choice(pool, n, replace=False)
         lost = int(r.integers(0, n // 4 + 1))
         other = np.concatenate([one[lost:], r.choice(pool, int(r.integers(0, n // 4 + 1)))])
         other = np.unique(other)
         both = len(np.intersect1d(one, other))
-        common = [held_by[int(k)] for k in np.intersect1d(one, other)]
-        if jaccard.linked(both, len(one), len(other)) and min(common) > 1:
-            a, b = keys_of(one), keys_of(other)
-            assert a is not None and b is not None and a & b
+        if (jaccard.linked(both, len(one), len(other))
+                and not np.array_equal(np.sort(one), other)):
+            checked += 1
+            apart = np.setxor1d(one, other)
+            alone = apart[r.random(len(apart)) < r.choice([0, .5, 1])]  # in no other set
+            small, large = sorted((one, other), key=len)
+            a, b = keys_of(small, alone), keys_of(large, alone)
+            sizes = len(small), len(large)
+            # a key that both have in their roles, and whose rooms allow the link
+            assert any(a[k][1] & jaccard.SMALLER and b[k][1] & jaccard.LARGER
+                       and jaccard.least_overlap(*sizes) <= min(a[k][0], b[k][0])
+                       for k in a.keys() & b.keys())
+    assert checked > 400
+
+
+def test_all_pairs_within_groups():
+    group = np.array([3, -1, 5, 3, 3, -1, 5, 7])
+    i, j = jaccard.pairs_within(group)
+    assert set(zip(i.tolist(), j.tolist())) == {(0, 3), (0, 4), (3, 4), (2, 6)}
+    assert all(len(x) == 0 for x in jaccard.pairs_within(np.array([-1, -1, 2])))
+
+
+def around_a_passage(texts_, copies):
+    """Texts of a passage and words of their own, unlinked, in near copies."""
+    passage = [f"p{i}" for i in range(44)]
+    rows = []
+    for t in range(texts_):
+        own = [f"o{t}x{i}" for i in range(7 + t % 3)]
+        for c in range(copies):
+            rows.append(" ".join([*passage, *own, *(["c"] * c)]))
+    return [(i, t, "en", "s", 0) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_pairs_around_a_passage_grow_with_the_texts(spark, monkeypatch, copies):
+    made = []
+    plain_pairs = jaccard._all_pairs
+
+    def counting(active):
+        pairs = plain_pairs(active)
+        made.append((active.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_all_pairs", counting)
+    rows = around_a_passage(5000 // copies, copies)
+    found = jaccard.report(odd_documents(spark, rows)).collect()
+    assert len({r["component_id"] for r in found}) == 5000 // copies
+    assert sum(n for pair in made for n in pair) <= 4 * len(rows)
 
 
 def test_odd_rows(spark):
