@@ -4,8 +4,8 @@ Every window of 50 bytes belongs to the smallest hash among its 16-byte groups.
 Consecutive windows with one such minimiser travel as a packed string to the
 minimiser's bucket, so all occurrences of a window meet there. A bucket drops
 strings whose minimiser is in no other string or document, collapses equal
-strings to one with a list of occurrences, and builds an enhanced suffix array
-of what is left: suffix order by prefix doubling, and common prefixes of
+strings to one with a list of occurrences, leaves out bytes under windows that occur
+once, and builds an enhanced suffix array of what is left: suffix order by prefix doubling, and common prefixes of
 neighbours. A scan with a stack gives the common-prefix intervals of 50 bytes or more.
 An interval whose suffixes have different letters before them (or a string's
 start) is a maximal repeat; the others say no more than the interval of the same
@@ -38,32 +38,69 @@ PASSES = 2
 LEVELS = (8, 16, 32, 64, 128)
 
 
-def _words8(data: np.ndarray, width: int = 8) -> np.ndarray:
+def _words8(data: np.ndarray) -> np.ndarray:
     """The 8 bytes at every place as a number whose order is theirs; 0 beyond the end."""
-    out = np.zeros(len(data), np.uint64)
-    padded = np.concatenate([data, np.zeros(width, np.uint8)])
-    for j in range(width):
-        out = (out << np.uint64(8)) | padded[j:j + len(data)].astype(np.uint64)
-    return out
+    return _words8_at(data).astype(np.uint64)
 
 
-def minimisers_of(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The minimiser of the window at each start, as ``byte_runs`` finds it."""
-    groups = _groups(data)
-    best = groups[starts]
-    for j in range(1, LENGTH - MINIMISER + 1):
-        other = groups[starts + j]
-        best = np.where(other >> np.uint64(32) < best >> np.uint64(32), other, best)
-    return best
+def _words8_at(data: np.ndarray) -> np.ndarray:
+    """The same as a view that is read where it is asked for."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data), ">u8", padded, strides=(1,))
 
 
 def _groups(data: np.ndarray) -> np.ndarray:
     """Hashes of all groups of MINIMISER bytes."""
     words = _words8(data)
-    groups = texts.mix(words[:-8] * texts.FACTORS[0] + words[8:] * texts.FACTORS[1])
+    groups = _group_hash(words[:-8], words[8:])
     return groups[:len(data) - MINIMISER + 1]
 
 
+def _group_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return texts.mix(first * texts.FACTORS[0] + second * texts.FACTORS[1])
+
+
+def minimisers_at(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The hashes of the groups at some places."""
+    words = _words8_at(data)
+    return _group_hash(words[places].astype(np.uint64), words[places + 8].astype(np.uint64))
+
+
+def window_hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of all windows of LENGTH bytes, across strings too, some CHUNK at a time."""
+    out = np.empty(max(len(data) - LENGTH + 1, 0), np.uint64)
+    parts = [*range(0, LENGTH - 8, 8), LENGTH - 8]
+    for low in range(0, len(out), texts.CHUNK):
+        high = min(low + texts.CHUNK, len(out))
+        words = _words8(data[low:high + LENGTH])
+        total = np.zeros(high - low, np.uint64)
+        for k, at in enumerate(parts):
+            total += words[at:at + high - low] * texts.FACTORS[k]
+        out[low:high] = texts.mix(total)
+    return out
+
+
+def repeated_windows(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The starts of the windows within strings whose hash occurs twice or more.
+
+    ``ends`` is for each place the end of its string. A table of counts by some bits of
+    the hashes leaves out nearly all that occur once, a sort of the others the rest.
+    """
+    count = max(len(data) - LENGTH + 1, 0)
+    at = np.flatnonzero(np.arange(count) + LENGTH <= ends[:count])
+    hashes = window_hashes(data)[at]
+    bits = min(24, max(10, len(at).bit_length() + 2))
+    slot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    often = np.bincount(slot, minlength=1 << bits)[slot] > 1
+    at, hashes = at[often], hashes[often]
+    order = np.argsort(hashes)
+    same = hashes[order][1:] == hashes[order][:-1]
+    found = np.zeros(len(at), bool)
+    found[order[1:][same]] = True
+    found[order[:-1][same]] = True
+    return at[found]
+
+
 def byte_runs(buckets: int, number: int, passes: int):
     """A task's texts as (bucket, packed runs of windows); of the passes, those of one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,12 +116,13 @@ def byte_runs(buckets: int, number: int, passes: int):
             low, high = substring.run_bounds(place[at], at)
             low, high = at[low], at[high]
             minimiser = groups[place[low]]
+            lead = place[low] - low  # where the minimiser is in the run
             own = substring.in_pass(minimiser, number, passes)
             low, high, minimiser = low[own], high[own], minimiser[own]
             document = np.searchsorted(offsets, low, "right") - 1
             keys = np.asarray(rows.column("class"))[heads]
             columns = [keys[document], documents[document], copies[document],
-                       (low - offsets[document]).astype(np.int32)]
+                       (low - offsets[document]).astype(np.int32), lead[own].astype(np.uint8)]
             bucket = texts.mix(minimiser) % np.uint64(buckets)
             found = list(substring.packed_runs(bucket, columns, data, low, high + LENGTH - low))
             yield pa.RecordBatch.from_arrays(
@@ -180,13 +218,13 @@ def maximal_repeats(order: np.ndarray, shared: np.ndarray, before: np.ndarray,
 
 def find_repeats(table: pa.Table) -> pa.Table:
     """The ranges of bytes of a bucket's strings that a smaller document has too."""
-    pieces = [texts.unpack(b, np.int64, np.int64, np.bool_, np.int32, np.int32, np.uint8)
+    pieces = [texts.unpack(b, np.int64, np.int64, np.bool_, np.int32, np.uint8, np.int32, np.uint8)
               for b in table.column("runs").to_pylist()]
-    keys, documents, copies, places, lengths, data = map(np.concatenate, zip(*pieces))
+    keys, documents, copies, places, lead, lengths, data = map(np.concatenate, zip(*pieces))
     least, first, copied = substring.smallest_of_classes(keys, documents, copies)
     starts = np.cumsum(lengths, dtype=np.int64) - lengths
     # entries whose minimiser is nowhere else hold no repeat
-    minimisers = minimisers_of(data, starts)
+    minimisers = minimisers_at(data, starts + lead)
     _, at, count = np.unique(minimisers, return_inverse=True, return_counts=True)
     entry = np.flatnonzero(count[at] > 1)
     string, strings = _equal_strings(data, starts[entry], lengths[entry])
@@ -197,34 +235,11 @@ def find_repeats(table: pa.Table) -> pa.Table:
     owner = np.full(len(strings), texts.NO_ID)
     np.minimum.at(owner, string, least[entry])
     string_length = lengths[entry][strings].astype(np.int64)
-    used = np.where(mixed, string_length, 0)
-    text = texts.slices(data, starts[entry][strings], used)
-    string_end = np.cumsum(used)
-    string_start = string_end - used
-    whose = np.repeat(np.arange(len(strings)), used)
-    ends = string_end[whose] if len(text) else np.zeros(0, np.int64)
-    removed: list[tuple[int, int, int, int]] = []  # string, start, length, smallest document
-    if len(text):
-        rank, ranks = suffix_order(text, ends)
-        order = np.argsort(rank, kind="stable")
-        order = order[ends[order] - order >= LENGTH]
-        shared = np.zeros(len(order), np.int64)
-        shared[1:] = common_prefix(order[:-1], order[1:], text, ends, ranks)
-        near = shared >= LENGTH
-        near[:-1] |= near[1:]
-        order, shared = order[near], shared[near]  # the others are in no interval
-        before = np.where(np.arange(len(text)) > string_start[whose],
-                          np.concatenate([[0], text[:-1]]).astype(np.int64), -1)
-        for length, low, high in maximal_repeats(order, shared, before):
-            found = order[low:high + 1]
-            who = whose[found]
-            smallest = owner[who].min()
-            removed += zip(who.tolist(), (found - string_start[who]).tolist(),
-                           [length] * len(found), [int(smallest)] * len(found))
+    removed = _shared_ranges(data, starts[entry][strings], np.where(mixed, string_length, 0), owner)
     # equal strings repeat as a whole
     whole = np.arange(len(strings))
-    removed += zip(whole.tolist(), [0] * len(whole), string_length.tolist(), owner.tolist())
-    what = np.array(removed, np.int64).reshape(-1, 4)
+    what = np.concatenate([removed, np.stack([
+        whole, np.zeros(len(whole), np.int64), string_length, owner], 1)])
     # occurrences of each string
     by_string = np.argsort(string, kind="stable")
     count = np.bincount(string, minlength=len(strings))
@@ -240,6 +255,53 @@ def find_repeats(table: pa.Table) -> pa.Table:
     return substring.span_rows(first, copied, *spans.T)
 
 
+def _shared_ranges(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
+                   owner: np.ndarray) -> np.ndarray:
+    """Rows (string, start, length, smallest owner) of the maximal repeats of the strings.
+
+    Bytes under no window that occurs twice are in no repeat; the suffix array is that of
+    the runs of the others. A run's first byte has nothing before it that could be in the
+    same repeat.
+    """
+    text = texts.slices(data, starts, lengths)
+    end = np.cumsum(lengths)
+    ends = np.repeat(end, lengths)
+    at = repeated_windows(text, ends)
+    if not len(at):
+        return np.zeros((0, 4), np.int64)
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (ends[at[1:]] != ends[at[:-1]])
+    first = at[new]
+    size = at[np.append(np.flatnonzero(new)[1:], len(at)) - 1] + LENGTH - first
+    string = np.searchsorted(end, first, "right")
+    offset = first - (end - lengths)[string]
+    text = texts.slices(text, first, size)
+    run_end = np.cumsum(size)
+    run_start = run_end - size
+    whose = np.repeat(np.arange(len(size)), size)
+    ends = run_end[whose]
+    rank, ranks = suffix_order(text, ends)
+    order = np.argsort(rank, kind="stable")
+    order = order[ends[order] - order >= LENGTH]
+    shared = np.zeros(len(order), np.int64)
+    shared[1:] = common_prefix(order[:-1], order[1:], text, ends, ranks)
+    near = shared >= LENGTH
+    near[:-1] |= near[1:]
+    order, shared = order[near], shared[near]  # the others are in no interval
+    before = np.where(np.arange(len(text)) > run_start[whose],
+                      np.concatenate([[0], text[:-1]]).astype(np.int64), -1)
+    found = np.array(list(maximal_repeats(order, shared, before)), np.int64).reshape(-1, 3)
+    length, low, high = found.T
+    times = high - low + 1
+    row = np.repeat(np.arange(len(found)), times)
+    member = order[np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times) + low[row]]
+    run = whose[member]
+    smallest = np.full(len(found), texts.NO_ID)
+    np.minimum.at(smallest, row, owner[string[run]])
+    return np.stack([string[run], member - run_start[run] + offset[run], length[row],
+                     smallest[row]], 1)
+
+
 def _equal_strings(data: np.ndarray, starts: np.ndarray,
                    lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each string the number of its content, and a string of each content."""
