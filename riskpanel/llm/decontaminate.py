@@ -56,7 +56,7 @@ def template(text: F.Column) -> F.Column:
     named = F.regexp_replace(text, NAME, "<name>")
     numbered = F.regexp_replace(F.regexp_replace(F.regexp_replace(
         named, NUMBER, "<num>"), UNIT, "<unit>"), CURRENCY, "<unit>")
-    return F.lower(F.when(text.rlike("[0-9]"), numbered).otherwise(named))
+    return F.lower(F.when(text.rlike(r"\p{Nd}"), numbered).otherwise(named))
 
 
 def _words(text: F.Column) -> F.Column:
@@ -103,10 +103,22 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= SMALL else table
 
 
+def _row(documents: DataFrame) -> F.Column:
+    """Tells rows apart that share a doc_id."""
+    return F.xxhash64(documents["doc_id"], documents["text"])
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, matched words of the item, its words and their share."""
+    return contaminated_rows(documents, benchmark).groupBy(
+        "doc_id", "item_id", "n_item_words").agg(F.max("n_words").alias("n_words")).withColumn(
+        "share", F.col("n_words") / F.col("n_item_words"))
+
+
+def contaminated_rows(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, row, item_id, n_item_words and n_words of the rows with an item's passage."""
     texts_ = documents.select("doc_id", "text")
-    row = F.xxhash64("doc_id", "text")
+    row = _row(documents)
     items = texts.stored(windows(benchmark.select("item_id", "text"), ["item_id"], "text"))
     keys = _small(texts.stored(items.select("key").distinct()))
     probed = probes(texts_.withColumn("row", row), ["row"], "text")
@@ -155,11 +167,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sum("words").cast("int").alias("n_words"), F.max("longest").alias("longest"))
     return (pairs.where((F.col("n_words") - F.col("against") >= SHARE * F.col("n_item_words"))
                         | (F.col("longest") >= RUN))
-            .groupBy("doc_id", "item_id", "n_item_words").agg(F.max("n_words").alias("n_words"))
-            .withColumn("share", F.col("n_words") / F.col("n_item_words")))
+            .select("doc_id", "row", "item_id", "n_item_words", "n_words"))
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those that hold an item's passage, with their columns."""
-    bad = _small(texts.stored(contaminated(documents, benchmark).select("doc_id").distinct()))
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    bad = _small(texts.stored(contaminated_rows(documents, benchmark).select(
+        F.col("doc_id").alias("__bad_doc"), F.col("row").alias("__bad_row")).distinct()))
+    same = (documents["doc_id"].eqNullSafe(bad["__bad_doc"])
+            & (_row(documents) == bad["__bad_row"]))
+    return documents.join(bad, same, "left_anti")

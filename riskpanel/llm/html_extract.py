@@ -62,14 +62,17 @@ nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar widget
 consent notice gdpr popup modal newsletter subscribe share sharing social comment comments disqus
 replies respond related pagination pager toolbar copyright disclaimer""".split())
 
+#: In a name with one of these, the other pieces tell a state of the element.
+STATES = {"has", "no", "not", "with", "without", "is", "enabled", "disabled"}
+
 ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>script|style|textarea|title|noscript|template|svg|iframe|select|button|object)\b"
     rf"{ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
-    rf"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>{ATTRIBUTES})>"
-    r"|<(?P<end2>/?)(?P<tag2>[A-Za-z][^\s/>]*)(?P<rest2>[^>]*)>", re.S | re.I)
+    rf"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>{ATTRIBUTES})>"
+    r"|<(?P<end2>/?)(?P<tag2>[A-Za-z][^\s/>]*+)(?P<rest2>[^>]*+)>", re.S | re.I)
 ATTRIBUTE = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
 
@@ -100,7 +103,11 @@ def _open(tag: str, rest: str, parent: Node) -> Node:
         for name, *values in ATTRIBUTE.findall(rest):
             found.setdefault(name.lower(), next(filter(None, values), "").lower())
     named = found.get("class", "") + " " + found.get("id", "")
-    names = set(re.split(r"[^a-z0-9]+", named))
+    names = set()
+    for token in named.split():  # "has-sidebar" says what is around an element
+        pieces = re.split(r"[^a-z0-9]+", token)
+        if not STATES.intersection(pieces):
+            names.update(pieces)
     noise = (parent.noise or tag in NOISE_TAGS or bool(names & NOISE_NAMES)
              or found.get("role") in NOISE_ROLES or "display:none" in found.get("style", "").replace(" ", "")
              or _hidden(rest, found)
@@ -115,6 +122,14 @@ def _open(tag: str, rest: str, parent: Node) -> Node:
                 or found.get("role") == "main")
 
 
+def _tail_as_text(page: str) -> str:
+    """The page with what looks like a tag behind the last end of one made plain, so that it
+    is not tried as a tag again and again."""
+    last = page.rfind(">") + 1
+    tail, comment, rest = page[last:].partition("<!--")
+    return page[:last] + tail.replace("<", "&lt;") + comment + rest if "<" in tail else page
+
+
 def walked(page: str) -> tuple[list[tuple[str, list[Node]]], list[tuple[Node, Node]]]:
     """Text blocks with the open elements around them, and the elements with their parents."""
     root = Node("", 0, 0, False, False)
@@ -136,6 +151,7 @@ def walked(page: str) -> tuple[list[tuple[str, list[Node]]], list[tuple[Node, No
             if stack[i].tag in bounds:
                 return
 
+    page = _tail_as_text(page)
     for token in TOKEN.finditer(page):
         if token.start() > at:
             pieces.append(page[at:token.start()])

@@ -103,7 +103,8 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 def passes(kind: str, found: str) -> bool:
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found.split("."))
+        return all(len(p) <= 3 and int(p or 0) <= 255
+                   for p in (part.lstrip("0") for part in found.split(".")))
     if kind == "card":
         return 14 <= len(d := _digits(found)) <= 19 and luhn(d)
     if kind == "phone":

@@ -3,8 +3,9 @@
 One pass counts the rules' figures per document. Failures of the soft rules are
 summed by host, each host's rate is shrunk towards a beta prior fitted to all
 hosts, and the verdict is joined back: a host whose shrunk rate of some rule is
-above ``HOST_RATE`` loses the documents that fail this rule. Base failures go
-on every host.
+clearly above that of all documents loses the documents that fail this rule, and one
+whose rate of base failures is, those that fail any soft rule. Clearly means that nine
+tenths of the rate's posterior are above. Base failures go on every host.
 
 Defined results: a null or empty text has no words and fails the base rule; a
 null host is a host of its own; repeated rows are judged one by one; an empty
@@ -29,12 +30,13 @@ REPEAT_SHARE = 30  # per cent of the words
 SYMBOL_SHARE = 10  # per cent of the characters in words
 LINE_SHARE = 30  # per cent of the lines with a word
 WORD_CHARS = (2, 14)  # mean length of a word
-HOST_RATE = 0.5
+ABOVE = 1.2816  # standard errors that hold nine tenths on one side
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RULES = ["symbols", "lines", "word_length"]
+HOST_RULES = ["base", *RULES]
 
 
 def _repeated_words(hashes: np.ndarray, words: texts.Words) -> np.ndarray:
@@ -100,28 +102,32 @@ def measured(documents: DataFrame, keep: list[str] | None = None, text: str = "t
     return out.withColumns({"__base": base} | {f"__{r}": failed[r] for r in RULES})
 
 
-def host_verdicts(flags: DataFrame, rate: float = HOST_RATE) -> DataFrame:
+def host_verdicts(flags: DataFrame, above: float = ABOVE) -> DataFrame:
     """Hosts that fail a rule: their key and one flag per rule.
 
     A host's rate is (failures + a) / (documents + a + b). The beta prior (a, b) of
     each rule has the mean and the spread of all hosts' rates, weighted by their
-    documents, less the spread that sampling alone gives.
+    documents, less the spread that sampling alone gives. A host fails if its rate less
+    ``above`` standard errors of its posterior is over the rate of all documents.
     """
     hosts = texts.stored(flags.groupBy("__host").agg(
-        F.count("*").alias("n"), *(F.count_if(f"__{r}").alias(r) for r in RULES)))
+        F.count("*").alias("n"), *(F.count_if(f"__{r}").alias(r) for r in HOST_RULES)))
     total = F.sum("n")
     one = hosts.agg(
         total.alias("n"), F.count("*").alias("hosts"),
-        *(F.sum(r).alias(f"sum_{r}") for r in RULES),
-        *(F.sum(F.col(r) * F.col(r) / F.col("n")).alias(f"square_{r}") for r in RULES),
+        *(F.sum(r).alias(f"sum_{r}") for r in HOST_RULES),
+        *(F.sum(F.col(r) * F.col(r) / F.col("n")).alias(f"square_{r}") for r in HOST_RULES),
     ).first()
-    shrunk = {}
-    for r in RULES:
-        a, b = beta_prior(one["n"] or 0, one["hosts"], one[f"sum_{r}"] or 0,
-                          one[f"square_{r}"] or 0.0)
-        shrunk[f"__bad_{r}"] = (F.col(r) + a) / (F.col("n") + a + b) > rate
-    bad = hosts.select(F.col("__host").alias("__judged"), *(v.alias(k) for k, v in shrunk.items()))
-    return bad.where(" or ".join(f"__bad_{r}" for r in RULES))
+    bad_flags = {}
+    for r in HOST_RULES:
+        n, failed = one["n"] or 0, one[f"sum_{r}"] or 0
+        a, b = beta_prior(n, one["hosts"], failed, one[f"square_{r}"] or 0.0)
+        size = F.col("n") + a + b
+        rate = (F.col(r) + a) / size
+        error = F.sqrt(rate * (1 - rate) / (size + 1))
+        bad_flags[f"__bad_{r}"] = rate - above * error > (failed / n if n else 0.0)
+    bad = hosts.select(F.col("__host").alias("__judged"), *(v.alias(k) for k, v in bad_flags.items()))
+    return bad.where(" or ".join(f"__bad_{r}" for r in HOST_RULES))
 
 
 def beta_prior(n: int, hosts: int, failed: int, square: float) -> tuple[float, float]:
@@ -143,7 +149,8 @@ def judged(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
     joined = rows.join(verdicts, F.col("__host").eqNullSafe(F.col("__judged")), "left")
     failed = F.lit(False)
     for r in RULES:
-        failed = failed | (F.col(f"__{r}") & F.coalesce(f"__bad_{r}", F.lit(False)))
+        failed = failed | (F.col(f"__{r}") & F.coalesce(
+            F.col(f"__bad_{r}") | F.col("__bad_base"), F.lit(False)))
     return joined.withColumn("__kept", ~F.col("__base") & ~failed)
 
 
@@ -192,7 +199,8 @@ g AS (
     n_words > 0 AND NOT (word_chars / n_words BETWEEN {WORD_CHARS[0]} AND {WORD_CHARS[1]}) AS r3
   FROM f),
 long AS (
-  SELECT source, 1 AS rule, r1 AS bad FROM g UNION ALL
+  SELECT source, 0 AS rule, base_failed AS bad FROM g UNION ALL
+  SELECT source, 1, r1 FROM g UNION ALL
   SELECT source, 2, r2 FROM g UNION ALL SELECT source, 3, r3 FROM g),
 h AS (
   SELECT source, rule, count(*)::DOUBLE AS n, count(*) FILTER (bad) AS k
@@ -204,14 +212,18 @@ q AS (
   SELECT rule, n, k, p, least(greatest(((sq - p * p) / nullif(p * (1 - p), 0) - (hosts - 1) / n)
     / greatest(1 - (hosts - 1) / n, 1e-9), 1e-3), 0.999) AS rho FROM m),
 ab AS (
-  SELECT rule, CASE WHEN k = 0 THEN 0.5 WHEN k = n THEN 1.5 ELSE p * (1 / rho - 1) END AS a,
+  SELECT rule, p, CASE WHEN k = 0 THEN 0.5 WHEN k = n THEN 1.5 ELSE p * (1 / rho - 1) END AS a,
     CASE WHEN k = 0 THEN 1.5 WHEN k = n THEN 0.5 ELSE (1 - p) * (1 / rho - 1) END AS b FROM q),
+u AS (
+  SELECT source, h.rule, p, (h.k + a) / (h.n + a + b) AS rate, h.n + a + b AS size
+  FROM h JOIN ab ON h.rule = ab.rule),
 v AS (
   SELECT source, bool_or(rule = 1 AND bad) AS b1, bool_or(rule = 2 AND bad) AS b2,
-    bool_or(rule = 3 AND bad) AS b3
-  FROM (SELECT source, h.rule, (h.k + a) / (h.n + a + b) > {HOST_RATE} AS bad
-        FROM h JOIN ab ON h.rule = ab.rule) GROUP BY source)
+    bool_or(rule = 3 AND bad) AS b3, bool_or(rule = 0 AND bad) AS b0
+  FROM (SELECT source, rule, rate - {ABOVE} * sqrt(rate * (1 - rate) / (size + 1)) > p AS bad
+        FROM u) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (r1 AND b1) AND NOT (r2 AND b2) AND NOT (r3 AND b3) AS kept
+  NOT base_failed AND NOT (r1 AND (b0 OR b1)) AND NOT (r2 AND (b0 OR b2))
+    AND NOT (r3 AND (b0 OR b3)) AS kept
 FROM g JOIN v ON g.source IS NOT DISTINCT FROM v.source
 """

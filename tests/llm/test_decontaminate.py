@@ -105,3 +105,12 @@ def test_a_value_that_breaks_takes_only_its_own_windows(spark):
     cut = f"{prose(72, 4)} 7 {prose(77, 30)}"
     df = docs(spark, item, first, both, name.replace("Anna", "Berta", 1), cut)
     assert pairs(df, [(1, item), (2, name)], spark) == [(0, 1), (1, 1), (2, 1), (3, 2)]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_text(spark):
+    item = prose(70, 40)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item, "en", "x", 0), (None, prose(71, 60), "en", "x", 0),
+            (4, "before " + item, "en", "x", 0), (4, prose(72, 60), "en", "x", 0)]
+    left = decontaminate.drop_contaminated(odd_documents(spark, rows), bench).collect()
+    assert sorted(r["text"] for r in left) == sorted([prose(71, 60), prose(72, 60)])

@@ -1,5 +1,7 @@
 import random
 
+import time
+
 import pytest
 
 from riskpanel.llm import html_extract
@@ -110,3 +112,20 @@ def test_odd_rows(spark, monkeypatch):
 def test_hidden_is_an_attribute(attributes, kept):
     text = html_extract.main_text(f"<div {attributes}><p>x</p></div><p>y</p>", set())
     assert text == ("x\ny" if kept else "y")
+
+
+@pytest.mark.parametrize("page", ["<b" * 50_000, "<b" * 50_000 + "<!-- x", "<b " * 30_000 + ">",
+                                  "<p>x</p>" + "<b" * 50_000])
+def test_tags_without_an_end_take_no_time(page):
+    start = time.perf_counter()
+    html_extract.walked(page)
+    assert time.perf_counter() - start < 2
+
+
+@pytest.mark.parametrize("wrapper", ["has-sidebar", "no-comments", "share-enabled", "with_nav"])
+def test_names_of_states_are_no_noise(wrapper):
+    blocks, _ = html_extract.walked(f'<div class="page {wrapper}"><p>Real story text</p></div>')
+    assert [(text, any(n.noise for n in nodes)) for text, nodes in blocks] == [
+        ("Real story text", False)]
+    blocks, _ = html_extract.walked('<div class="sidebar"><p>Links</p></div>')
+    assert blocks[0][1][-1].noise

@@ -111,3 +111,9 @@ def test_mask(spark):
 def test_empty_table(spark):
     assert rows_of(pii.report(empty_documents(spark))) == []
     assert rows_of(pii.mask(empty_documents(spark))) == []
+
+
+def test_very_long_digit_runs():
+    text = "0" * 5000 + ".1.2.3 and " + "9" * 6000 + ".1.1.1 at " + "0" * 6000 + "7.2.3.4"
+    got = [(kind, passed) for kind, _, _, passed in pii.matches(text) if kind == "ip"]
+    assert got == [("ip", True), ("ip", False), ("ip", True)]

@@ -55,3 +55,22 @@ def test_prior_follows_the_hosts_spread():
 def test_empty_table(spark):
     assert rows_of(quality.quality_report(empty_documents(spark))) == []
     assert rows_of(quality.keep_good(empty_documents(spark))) == []
+
+
+def test_base_failures_of_a_host_count_against_its_doubtful_documents(spark):
+    junk = " ".join(f"{w}#%*" for w in prose(99, 40).split())
+    good = [(i, prose(i, 40), "en", f"h{i % 6}", 0) for i in range(240)]
+    short = [(1000 + i, "too short", "en", "bad", 0) for i in range(60)]
+    doubtful = [(2000, junk, "en", "bad", 0), (2001, junk, "en", "h1", 0)]
+    clean = [(3000, prose(500, 40), "en", "bad", 0)]
+    df = odd_documents(spark, good + short + doubtful + clean)
+    kept = {r["doc_id"] for r in quality.quality_report(df).where("kept").collect()}
+    assert kept == {r[0] for r in good + clean} | {2001}
+
+
+def test_hosts_alike_lose_nothing(spark):
+    junk = " ".join(f"{w}#%*" for w in prose(99, 40).split())
+    rows = [(100 * h + i, junk if i == 0 else prose(100 * h + i, 40), "en", f"h{h}", 0)
+            for h in range(6) for i in range(20)]
+    report = quality.quality_report(odd_documents(spark, rows))
+    assert report.where("kept").count() == len(rows)
