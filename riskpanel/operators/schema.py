@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskpanel.functions.columns import quoted, ref
@@ -13,7 +13,8 @@ from riskpanel.functions.columns import quoted, ref
 #: Holds the text of a row whose number of cells is not the header's.
 CORRUPT = "__corrupt"
 #: Numbers of the checks that an ingested row breaks.
-BROKEN = "__broken"
+#: Where a located row is from: its file and the start of its block there.
+FILE, BLOCK = "__file", "__block"
 DATE_TEXTS = ((r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"), (r"^[0-9]{8}$", "yyyyMMdd"))
 
 
@@ -143,22 +144,51 @@ def validate(df: DataFrame, rules: tuple[ColumnRule, ...] = PANEL_RULES) -> Data
 def ingest(df: DataFrame, path: str, rules: tuple[ColumnRule, ...] = PANEL_RULES) -> DataFrame:
     """The coerced table written as Parquet and read back, or :class:`SchemaViolation`.
 
-    ``df`` is read once: each written row lists the checks that it breaks, and the
-    report counts that narrow column of the Parquet table.
+    ``df`` is read once: the rows that break a check are counted while they are written.
+    """
+    report = ingest_report(df, path, rules).where("n_failed > 0").collect()
+    if report:
+        raise SchemaViolation([(r["column"], r["check"], r["n_failed"]) for r in report])
+    return df.sparkSession.read.parquet(path)
+
+
+def ingest_report(df: DataFrame, path: str,
+                  rules: tuple[ColumnRule, ...] = PANEL_RULES) -> DataFrame:
+    """Writes the coerced table as Parquet; the rows of :func:`violation_report`, observed
+    on the way. A table that lacks columns is not written."""
+    spark = df.sparkSession
+    absent = set(missing_columns(df, rules))
+    rows = [(r.name, "present", int(r.name in absent)) for r in rules]
+    checks = _checks(df, rules)
+    if not absent:
+        # flags in front of the observation, so that it counts plain columns
+        by_name = {r.name: r for r in rules}
+        columns = [c for c in df.columns if c != CORRUPT]
+        flags = [bad.alias(f"__broken{i}") for i, (_, _, bad) in enumerate(checks)]
+        seen = Observation()
+        clean = df.select(*[_clean(by_name[c]).alias(c) if c in by_name else ref(c)
+                            for c in columns], *flags)
+        counted = [F.count_if(F.col(f"__broken{i}")).alias(f"k{i}") for i in range(len(checks))]
+        observed = clean.observe(seen, F.count(F.lit(1)).alias("rows"), *counted)
+        observed.select(*[ref(c) for c in columns]).write.mode("overwrite").parquet(path)
+        rows += [(column, check, seen.get[f"k{i}"] or 0)
+                 for i, (column, check, _) in enumerate(checks)]
+    return spark.createDataFrame(rows, "column string, check string, n_failed bigint")
+
+
+def located_violations(df: DataFrame, rules: tuple[ColumnRule, ...] = PANEL_RULES) -> DataFrame:
+    """Rows (file, block, column, check, n_failed): where the rows that break a check are.
+
+    ``df`` is read from files and has the columns ``FILE`` and ``BLOCK``.
+    One scan with a map-side combine; a file that breaks nothing has no row.
     """
-    absent = missing_columns(df, rules)
-    if absent:
-        raise SchemaViolation([(c, "present", 1) for c in absent])
     checks = _checks(df, rules)
+    names = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("check"))
+                      for c, k, _ in checks])
     broken = F.filter(F.array(*[F.when(bad, F.lit(i)) for i, (_, _, bad) in enumerate(checks)]),
                       lambda i: i.isNotNull())
-    by_name = {r.name: r for r in rules}
-    columns = [c for c in df.columns if c != CORRUPT]
-    df.select(*[_clean(by_name[c]).alias(c) if c in by_name else ref(c) for c in columns],
-              broken.alias(BROKEN)).write.mode("overwrite").parquet(path)
-    table = df.sparkSession.read.parquet(path)
-    found = table.select(F.explode(BROKEN).alias("i")).groupBy("i").count().collect()
-    if found:
-        raise SchemaViolation([(*checks[r["i"]][:2], r["count"])
-                               for r in sorted(found, key=lambda r: r["i"])])
-    return table.drop(BROKEN)
+    counted = df.select(ref(FILE).alias("file"), ref(BLOCK).alias("block"),
+                        F.explode(broken).alias("i")).groupBy("file", "block", "i").agg(
+        F.count("*").alias("n_failed"))
+    return counted.select("file", "block", names[F.col("i")]["column"].alias("column"),
+                          names[F.col("i")]["check"].alias("check"), "n_failed")

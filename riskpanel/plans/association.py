@@ -1,14 +1,15 @@
-"""Registered queries over pairs of columns: wide correlation and rank correlation."""
+"""Registered queries over pairs of columns and over moments: correlations, as-of prices."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskpanel.operators.asof import attach_asof
 from riskpanel.operators.correlation import correlation_matrix
 from riskpanel.operators.row_ranks import average_ranks, rank_correlation
 from riskpanel.plans import tables as T
-from riskpanel.plans.catalog import PANEL_SQL, PROFILED, register, rounded
+from riskpanel.plans.catalog import ORACLES, PANEL_SQL, PROFILED, register, rounded
 
 RANKED = [*PROFILED, "y"]
 
@@ -65,3 +66,20 @@ def correlation_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                - F.col("l_quantity") * F.col("l_partkey") % (100 + i)).alias(f"w{i}")
         for i in range(WIDE)])
     return rounded(correlation_matrix(rows))
+
+
+# --- the last price at or before a date ---------------------------------------------------
+
+@register(ORACLES["aux_join_by_symbol"])
+def aux_asof_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the filled calendar gives, from the traded days alone."""
+    rows = T.panel(spark, sf_dir).select("o_orderkey", "Date", F.col("nation").alias("symbol"))
+    return attach_asof(rows, T.nation_prices(spark, sf_dir), ["symbol"])
+
+
+@register(ORACLES["aux_join"])
+def aux_asof_one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows on one symbol, in segments of time, joined by a salted shuffle."""
+    rows = T.panel(spark, sf_dir).select("o_orderkey", "Date", F.lit(T.MARKET).alias("symbol"))
+    return attach_asof(rows, T.market_prices(spark, sf_dir), ["symbol"],
+                       broadcast_bytes=0).drop("symbol")

@@ -9,10 +9,12 @@ from riskpanel.operators import metrics, profile
 from riskpanel.operators.attach import attach
 from riskpanel.operators.encode import apply_one_hot, fit_one_hot
 from riskpanel.operators.rows import split_frames, with_split
-from riskpanel.operators.schema import ColumnRule, coerce, violation_report
+from riskpanel.operators.schema import (ColumnRule, coerce, ingest_report, located_violations,
+                                        violation_report)
 from riskpanel.plans import tables as T
-from riskpanel.plans.catalog import (ALL_PROFILED, ORACLES, PANEL_SQL, PROFILED, _profiled,
-                                     _winsorized, daily_return, register, rounded)
+from riskpanel.plans.catalog import (ALL_PROFILED, ORACLES, PANEL_SQL, PROFILED, TEXT_RULES,
+                                     _profiled, _winsorized, daily_return, register, rounded,
+                                     text_panel)
 from riskpanel.session import shared_folder
 from riskpanel.sources.outputs import save_processed, save_profile
 from riskpanel.sources.panel import read_panel_csv
@@ -122,3 +124,39 @@ def schema_loose_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("Date", "M/d/yyyy").alias("D1"), F.date_format("Date", "yyyyMMdd").alias("D2"))
     return coerce(rows, (ColumnRule("Y", "int"), ColumnRule("D1", "timestamp_ntz"),
                          ColumnRule("D2", "timestamp_ntz")))
+
+
+# --- validation while writing, and where broken rows are ------------------------------
+
+@register(f"""SELECT "column", "check", n_failed FROM ({ORACLES["schema_report"]}) q
+WHERE "column" <> 'StkIndx'""")
+def schema_report_while_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report counted by the pass that writes the table."""
+    rules = tuple(r for r in TEXT_RULES if r.name != "StkIndx")
+    return ingest_report(text_panel(spark, sf_dir), f"{shared_folder(spark)}/table", rules)
+
+
+@register("WITH" + PANEL_SQL + """, r_t AS (
+  SELECT 'part' || (o_orderkey % 3) AS part, o_orderkey AS k FROM panel_t)
+SELECT part, '(row)' AS "column", 'cells' AS "check", count(*) AS n_failed FROM r_t
+WHERE k % 101 = 0 GROUP BY part
+UNION ALL SELECT part, 'Y', 'in_domain', count(*) FROM r_t WHERE k % 53 = 0 GROUP BY part
+UNION ALL SELECT part, 'Y', 'convertible', count(*) FROM r_t
+WHERE k % 29 = 0 AND k % 53 <> 0 GROUP BY part
+""")
+def csv_located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a cell too many or a bad label, by the file that they are in."""
+    key = F.col("o_orderkey")
+    label = F.when(key % 53 == 0, "7").when(key % 29 == 0, "many").otherwise("1")
+    line = F.concat_ws(",", key.cast("string"), label, F.when(key % 101 == 0, "surplus"))
+    folder = f"{shared_folder(spark)}/csv"
+    rows = T.panel(spark, sf_dir)
+    for i in range(3):
+        (rows.where(key % 3 == i).select(line.alias("key,Y")).write.option("header", True)
+         .option("sep", "\x01").csv(f"{folder}/part{i}"))
+    raw = read_panel_csv(spark, f"{folder}/*", located=True)
+    rules = (ColumnRule("key", "bigint"), ColumnRule("Y", "int", allowed=(0, 1)))
+    found = located_violations(raw, rules).withColumn(
+        "part", F.regexp_extract("file", r"/(part\d)/", 1))
+    # a folder's files may be several
+    return found.groupBy("part", "column", "check").agg(F.sum("n_failed").alias("n_failed"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskpanel.functions.columns import ref
-from riskpanel.operators.schema import CORRUPT, PANEL_RULES, ColumnRule, ingest
+from riskpanel.operators.schema import BLOCK, CORRUPT, FILE, PANEL_RULES, ColumnRule, ingest
 
 # Texts that mean a missing value in a CSV cell.
 MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -15,7 +15,7 @@ MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "
                  "nan", "null")
 
 
-def read_panel_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_panel_csv(spark: SparkSession, path: str, located: bool = False) -> DataFrame:
     """All columns as text, by the header's names, with missing texts as NULL.
 
     Types come from the declared schema afterwards; nothing is inferred from the
@@ -29,7 +29,9 @@ def read_panel_csv(spark: SparkSession, path: str) -> DataFrame:
     raw = (reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
            .option("enforceSchema", False).option("columnPruning", False).csv(path))
     return raw.select(*[F.when(~ref(c).isin(*MISSING_TEXTS), ref(c)).alias(c) for c in names],
-                      CORRUPT)
+                      CORRUPT, *([F.col("_metadata.file_path").alias(FILE),
+                                  F.col("_metadata.file_block_start").alias(BLOCK)]
+                                 if located else []))
 
 
 def ingest_panel(spark: SparkSession, csv_path: str, table_path: str,
