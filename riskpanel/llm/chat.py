@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from riskpanel.llm import texts
 
@@ -147,19 +148,20 @@ def formatted(conversations: DataFrame, path: str | None = None) -> DataFrame:
         for item in conversations_of(batches):
             some.append(item)
             if len(some) == SHARE:
-                yield _batch(some, encoder)
+                yield _batch(some, encoder, key)
                 some = []
         if some:
-            yield _batch(some, encoder)
+            yield _batch(some, encoder, key)
 
     kind = conversations.schema["conv_id"].dataType.simpleString()
+    key = to_arrow_type(conversations.schema["conv_id"].dataType)
     return (conversations.select("conv_id", "turn", "role", "text")
             .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
             .mapInArrow(run, f"conv_id {kind}, formatted string, tokens array<int>, "
                              "mask array<boolean>, loss_starts array<int>, loss_ends array<int>"))
 
 
-def _batch(some: list, encoder) -> pa.RecordBatch:
+def _batch(some: list, encoder, key: pa.DataType) -> pa.RecordBatch:
     made = [rendered(turns) for _, turns in some]
     out = []
     for (text, spans), code in zip(made, encoder.encode_batch([t for t, _ in made],
@@ -169,7 +171,7 @@ def _batch(some: list, encoder) -> pa.RecordBatch:
         out.append((text, code.ids, mask, pieces[:, 0], pieces[:, 1]))
     text, numbers, mask, starts, ends = zip(*out)
     return pa.RecordBatch.from_arrays(
-        [pa.array([c for c, _ in some], pa.int64()), pa.array(text, pa.string()),
+        [pa.array([c for c, _ in some], key), pa.array(text, pa.string()),
          pa.array(numbers, pa.list_(pa.int32())), pa.array(mask, pa.list_(pa.bool_())),
          pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))],
         names=["conv_id", "formatted", "tokens", "mask", "loss_starts", "loss_ends"])

@@ -93,5 +93,14 @@ def test_many_conversations(spark):
                     r["loss_sha256"], r["formatted_chars"]) for r in got), key=repr) == plain(rows)
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "short"])
+def test_other_types_of_ids(spark, kind):
+    df = spark.createDataFrame(ROWS, TURNS)
+    wanted = chat.report(df).selectExpr(f"cast(conv_id as {kind}) as conv_id", "* except (conv_id)")
+    got = chat.report(df.withColumn("conv_id", df["conv_id"].cast(kind)))
+    assert got.schema["conv_id"].dataType.simpleString() == ("smallint" if kind == "short" else kind)
+    assert rows_of(got) == rows_of(wanted)
+
+
 def test_empty_table(spark):
     assert rows_of(chat.report(spark.createDataFrame([], TURNS))) == []
