@@ -201,13 +201,15 @@ def _longer(cells: DataFrame, n: int, k: int, few: int) -> DataFrame:
 def top_values(df: DataFrame, columns: list[str], k: int, most: int = SUMMARY,
                few: int = FEW, counts: DataFrame | None = None) -> DataFrame:
     """Rows (column, value, n, position): the k most frequent values of each column, ties by
-    value. ``counts`` are the columns' ``key_counts``, if they are known."""
+    value. ``counts`` are the columns' ``key_counts``, which decide at once if they are known."""
     if k < 1:
         raise ValueError("k must be at least 1")
     spark = df.sparkSession
     workers_find_package(spark)
     cells = stacked_texts(df, columns)
-    rows, unsettled = _by_proposals(cells, len(columns), k, max(most, k))
+    rows, unsettled = [], list(range(len(columns)))
+    if counts is None:
+        rows, unsettled = _by_proposals(cells, len(columns), k, max(most, k))
     if unsettled:
         counts = kept(key_counts(df, columns)) if counts is None else counts
         wanted = _candidates(counts, cells, unsettled, k, few)
