@@ -22,12 +22,13 @@ found in four steps, none of which can lose one.
    strength there, and they have no more in common than either has left. So keys
    whose sets are too long for their room are dropped before any pair is made: sets
    around a frequent passage meet only if the passage itself nearly links them.
-4. Verification, in rounds. A round pairs every class with the pivot of one of its index
-   keys, so the work is linear in the classes; pivots are sets with nearly nothing
-   of their own, which link with whatever links in a group of near copies. Links found
-   join components, and keys whose holders are in one component are done with. After
-   some rounds all pairs of a key whose rooms allow a link are verified. Bitmaps bound the
-   overlap of such a pair before its sets are compared.
+4. Verification, in rounds. A round pairs every class with pivots of its index keys, so
+   the work is linear in the index; pivots are sets with nearly nothing of their own, which
+   link with whatever links in a group of near copies: in the first round the one that
+   lacks least, later another one for each key. Links found join components, and keys
+   whose holders are in one component are done with. After some rounds all pairs of a key
+   are verified whose rooms, and whose numbers of shingles by frequency, allow a link.
+   Bitmaps bound the overlap of a pair before its sets are compared.
 
 Defined results: a null or empty text and one without words have no shingles, no
 links and their own doc_id as component; a null doc_id never names a component
@@ -52,6 +53,8 @@ SHINGLE = 5
 RARE = 16  # classes that hold a rare shingle, at most
 PER_CLASS = 8  # shingles of a set for each of its token classes
 BITS = 2048
+OCTAVES = 12  # of the number of classes that hold a shingle; the last one has no end
+DEALT = 4  # parts by hash of each octave
 STAR_ROUNDS = 3
 #: Roles of a set under a key: as the smaller one of a pair, and as the larger.
 SMALLER, LARGER = 1, 2
@@ -308,6 +311,13 @@ def prefix_keys(n: int, keys: np.ndarray, held: np.ndarray) -> tuple[np.ndarray,
     return found, rooms, bits
 
 
+def by_octave(keys: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """How many shingles are held by 1, 2 to 3, 4 to 7, ... classes, by parts of the hash."""
+    octave = np.minimum(np.frexp(held)[1] - 1, OCTAVES - 1)
+    part = ((keys >> np.uint64(40)) % np.uint64(DEALT)).astype(np.int64)
+    return np.bincount(octave * DEALT + part, minlength=OCTAVES * DEALT).astype(np.int32)
+
+
 def _sets(table: pa.Table) -> pa.Table:
     """Classes that may have a partner, with their shared shingles, a bitmap and index keys."""
     classes, sizes, keys, held = _gathered(table, np.int64, np.uint64, np.int32)
@@ -323,18 +333,20 @@ def _sets(table: pa.Table) -> pa.Table:
         bits[(own >> np.uint64(20)) % np.uint64(BITS)] = 1
         index, rooms, role = prefix_keys(n, own, held[a:b])
         out.append((int(classes[a]), n, b - a, own.tobytes(), np.packbits(bits).tobytes(),
-                    index.view(np.int64), rooms.astype(np.int32), role.astype(np.int32)))
-    c, n, m, keys, bits, index, rooms, role = zip(*out) if out else [()] * 8
+                    index.view(np.int64), rooms.astype(np.int32), role.astype(np.int32),
+                    by_octave(own, held[a:b])))
+    c, n, m, keys, bits, index, rooms, role, octaves = zip(*out) if out else [()] * 9
     return pa.table({"class": pa.array(c, pa.int64()), "n": pa.array(n, pa.int64()),
                      "m": pa.array(m, pa.int64()), "keys": pa.array(keys, pa.binary()),
                      "bits": pa.array(bits, pa.binary()),
                      "key": pa.array(index, pa.list_(pa.int64())),
                      "room": pa.array(rooms, pa.list_(pa.int32())),
-                     "role": pa.array(role, pa.list_(pa.int32()))})
+                     "role": pa.array(role, pa.list_(pa.int32())),
+                     "octaves": pa.array(octaves, pa.list_(pa.int32()))})
 
 
 SET_FIELDS = ("class bigint, n bigint, m bigint, keys binary, bits binary, key array<bigint>, "
-              "room array<int>, role array<int>")
+              "room array<int>, role array<int>, octaves array<int>")
 
 
 # -- verification ---------------------------------------------------------------------
@@ -409,9 +421,9 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def index_of(sets: DataFrame) -> DataFrame:
-    """Rows (class, n, key, room, role, most) of all index keys; ``most`` is the size of the
+    """Rows (class, n, m, key, room, role, most) of all index keys; ``most`` is the size of the
     largest partner that the room allows."""
-    return sets.select("class", "n", F.inline(F.arrays_zip("key", "room", "role"))).select(
+    return sets.select("class", "n", "m", F.inline(F.arrays_zip("key", "room", "role"))).select(
         "*", F.expr("int(7 * room div 3 - n)").alias("most"))
 
 
@@ -419,9 +431,14 @@ def _active(rows: DataFrame, star: int) -> DataFrame:
     """The rows (with ``label``) under keys that more than one component holds, with the
     key's pivot; rows whose room fits no partner under the key go."""
     smaller, larger = F.col("role").bitwiseAND(SMALLER) > 0, F.col("role").bitwiseAND(LARGER) > 0
-    # sets with little of their own come first, in another order in each round
+    # Sets with little of their own come first. Of these the first round takes those that lack
+    # least, which is the text that a group of near copies comes from if the group has it; the
+    # later ones another set for each key.
+    lacks = F.col("n") - F.col("m") if star == 0 else F.lit(0)
     order = F.struct((F.lit(16) * (F.col("n") - F.col("room")) / F.col("n")).cast("int").alias("own"),
-                     F.xxhash64("class", F.lit(star)).alias("o"), "class", "label")
+                     (lacks / F.col("n")).alias("lacks"),
+                     F.xxhash64("class", *(["key"] if star else []), F.lit(star)).alias("o"),
+                     "class", "label")
     keys = texts.stored(rows.groupBy("key").agg(
         F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high"),
         F.min(F.when(smaller, F.col("n"))).alias("least_n"),
@@ -438,7 +455,7 @@ def _active(rows: DataFrame, star: int) -> DataFrame:
     fits = ((larger & (F.col("least_n") <= F.least("n", "most")))
             | (smaller & (F.col("n") <= F.least("most_n", "reach"))))
     return texts.stored(met.where(fits).select(
-        "class", "n", "key", "room", "role", "most", "label", "pivot"))
+        "class", "n", "m", "key", "room", "role", "most", "label", "pivot"))
 
 
 def components(sets: DataFrame, index: DataFrame) -> DataFrame:
@@ -452,32 +469,42 @@ def components(sets: DataFrame, index: DataFrame) -> DataFrame:
             break
         last = star == STAR_ROUNDS
         if last:
-            pairs = _all_pairs(active)
+            pairs = _all_pairs(active.join(sets.select("class", "octaves"), "class"))
         else:
-            # every holder with one of its keys' pivots: a pair for each class at most
-            pairs = (active.where(F.col("label") != F.col("pivot.label")).groupBy("class")
-                     .agg(F.min("pivot").alias("pivot"))
-                     .select("class", F.col("pivot.class").alias("other")))
+            # every holder with its keys' pivots: a pair for each row of the index at most,
+            # in the first round for each class
+            pairs = active.where(F.col("label") != F.col("pivot.label"))
+            if star == 0:
+                pairs = pairs.groupBy("class").agg(F.min("pivot").alias("pivot"))
+            pairs = pairs.select("class", F.col("pivot.class").alias("other"))
         pairs = pairs.select(F.least("class", "other").alias("a"),
                              F.greatest("class", "other").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(_small(tested), ["a", "b"], "left_anti")
         pairs = texts.stored(pairs)
-        labels = joined(labels, verified(pairs, sets, last))
+        labels = joined(labels, verified(pairs, sets, star > 0))
         tested = pairs if tested is None else tested.unionByName(pairs)
         rows = active.drop("label", "pivot").join(_small(labels), "class")
     return labels
 
 
 def _all_pairs(active: DataFrame) -> DataFrame:
-    """Pairs (class, other) of different components that a key's rooms allow to be linked."""
+    """Pairs (class, other) of different components that a key's rooms allow to be linked.
+
+    Two sets have, by each part of each octave, no more in common than either has there. So a
+    set that lacks too much of what a whole group holds, and has rarer shingles instead, is
+    not paired with that group.
+    """
     one = active.where(F.col("role").bitwiseAND(SMALLER) > 0).select(
-        "key", "class", "n", "room", "most", "label")
+        "key", "class", "n", "room", "most", "label", "octaves")
     two = active.where(F.col("role").bitwiseAND(LARGER) > 0).select(
         "key", F.col("class").alias("other"), F.col("n").alias("size"),
-        F.col("room").alias("space"), F.col("most").alias("limit"), F.col("label").alias("to"))
+        F.col("room").alias("space"), F.col("most").alias("limit"), F.col("label").alias("to"),
+        F.col("octaves").alias("others"))
+    both = " + ".join(f"least(octaves[{i}], others[{i}])" for i in range(OCTAVES * DEALT))
     return one.join(two, "key").where(
-        "label <> to AND n <= size AND size <= most AND n <= limit").select("class", "other")
+        "label <> to AND n <= size AND size <= most AND n <= limit "
+        f"AND 7 * ({both}) >= 3 * (n + size)").select("class", "other")
 
 
 # -- the join --------------------------------------------------------------------------

@@ -203,3 +203,54 @@ def test_one_of_each_keeps_the_first_document(spark):
 def test_empty_table(spark):
     assert rows_of(jaccard.report(empty_documents(spark))) == []
     assert rows_of(jaccard.one_of_each(empty_documents(spark))) == []
+
+
+def near_group(copies, source, seed=7):
+    """Near copies of one text of 150 words, four words changed at most or, in some, five to seven.
+
+    A changed word comes from a short list, so that what a copy has instead is in other copies
+    too. ``source``: whether the text itself is among them.
+    """
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    rows = [base] * source
+    for i in range(copies - source):
+        words = list(base)
+        for _ in range(r.choice([5, 6, 7]) if i % 8 == 0 else r.randrange(1, 5)):
+            words[r.randrange(len(words))] = f"e{r.randrange(4)}"
+        rows.append(words)
+    return [(i, " ".join(w), "en", "s", 0) for i, w in enumerate(rows)]
+
+
+def test_a_group_of_near_copies_gives_few_pairs(spark, monkeypatch):
+    """The copies that link with none are not paired with the whole group."""
+    made = []
+    plain_pairs = jaccard._all_pairs
+
+    def counting(active):
+        pairs = plain_pairs(active)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_all_pairs", counting)
+    rows = near_group(1500, True)
+    found = jaccard.report(odd_documents(spark, rows)).collect()
+    assert len({r["component_id"] for r in found}) > 50
+    assert sum(made) <= 20 * len(rows)  # 330 times the rows by rooms alone
+
+
+def test_group_of_near_copies_without_their_source(spark):
+    rows = near_group(250, False)
+    assert got(odd_documents(spark, rows)) == plain([r[:2] for r in rows])
+
+
+def test_octaves_bound_what_sets_share():
+    r = np.random.default_rng(8)
+    keys = r.integers(1, 1 << 62, 500).astype(np.uint64)
+    held = r.choice([1, 2, 3, 4, 7, 8, 100, 70_000, 10 ** 7], 500).astype(np.int32)
+    few = jaccard.by_octave(keys[:6], np.array([1, 2, 3, 4, 7, 8], np.int32))
+    assert few.reshape(jaccard.OCTAVES, -1).sum(1).tolist()[:5] == [1, 2, 2, 1, 0]
+    for _ in range(50):
+        one, other = (r.choice(500, 200, replace=False) for _ in range(2))
+        bound = np.minimum(*(jaccard.by_octave(keys[x], held[x]) for x in (one, other))).sum()
+        assert len(np.intersect1d(one, other)) <= bound <= 200
