@@ -33,8 +33,8 @@ from riskpanel.llm import texts
 
 VOCABULARY = "word_bpe_49k.json"
 END = "</w>"
-#: Words kept with their tokens in a Python worker.
-KEPT_WORDS = 400_000
+#: Words kept with their tokens in a Python worker, in two halves; the older one goes first.
+KEPT_WORDS = 300_000
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 
 
@@ -81,6 +81,7 @@ class Encoder:
         self._cut = regex.compile("(" + "|".join(map(regex.escape, added)) + ")")
         self._hint = added[0][0] if added else None
         self._kept: dict[str, tuple[bytes, bytes]] = {}
+        self._older: dict[str, tuple[bytes, bytes]] = {}
         base = [n for n in model["vocab"].values() if self.left[n] == n]
         if whole is None:
             whole = np.array(sorted([*base, *(
@@ -176,8 +177,6 @@ class Encoder:
 
     def learn(self, words: set[str]) -> None:
         """Adds the tokens of new words to the kept ones."""
-        if len(self._kept) + len(words) > KEPT_WORDS:
-            self._kept.clear()
         plain = list(words)
         spelled = [w.encode().decode("latin-1").translate(self.letters) + END for w in plain]
         cuts = [self.proposed(w) for w in spelled]
@@ -211,20 +210,23 @@ class Encoder:
         return out
 
     def encoded(self, batch: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        """Per text its token numbers and its decoded text, as bytes."""
-        for text in batch:
-            words = self.words(text)
-            kept = self._kept
-            new = {w for w in words if w not in kept}
-            if new:
-                if len(kept) + len(new) > KEPT_WORDS:
-                    new = set(words)
-                for special in self.added & new:
-                    new.discard(special)
-                self.learn(new)
-                for special in self.added:
-                    n = self.number[special]
-                    self._kept[special] = (str(n).encode(), self.decoded([n]).encode())
+        """Per text its token numbers and its decoded text, as bytes. The new words of all texts
+        are learned together."""
+        split = [self.words(text) for text in batch]
+        every = set().union(*split)
+        new = every.difference(self._kept)
+        if len(self._kept) + len(new) > KEPT_WORDS // 2:
+            self._older, self._kept, new = self._kept, {}, every
+        kept, older = self._kept, self._older
+        for w in new & older.keys():
+            kept[w] = older[w]
+        new = new.difference(kept, self.added)
+        if new:
+            self.learn(new)
+        for special in self.added & every:
+            n = self.number[special]
+            kept[special] = (str(n).encode(), self.decoded([n]).encode())
+        for words in split:
             pairs = [kept[w] for w in words]
             yield b" ".join([p[0] for p in pairs]), b" ".join([p[1] for p in pairs])
 

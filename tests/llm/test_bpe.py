@@ -64,6 +64,31 @@ def test_some_words_need_merging(encoder):
     assert any(" ".join(map(str, cut[w])).encode() != encoder._kept[w][0] for w in words)
 
 
+def test_a_part_learns_its_words_at_once(encoder, monkeypatch):
+    """One call for the new words of all texts, each word once."""
+    learned = []
+    plain = bpe.Encoder.learn
+    monkeypatch.setattr(bpe.Encoder, "learn", lambda e, words: (learned.append(set(words)),
+                                                                plain(e, words)))
+    tried = [f"zqj{chr(97 + i % 26)}{chr(97 + i // 26)}x zqjyy" for i in range(40)]
+    list(encoder.encoded(tried))
+    assert [len(x) for x in learned] == [41]
+    list(encoder.encoded(tried))
+    assert len(learned) == 1
+
+
+def test_kept_words_stay_few_and_right(encoder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 60)
+    tried = [t for t in texts_to_try(encoder) if t.strip()][:300]
+    for i in range(0, len(tried), 10):
+        part = tried[i:i + 10]
+        for (ids, _), want in zip(encoder.encoded(part), library.encode_batch(
+                part, add_special_tokens=False)):
+            assert ids.decode() == " ".join(map(str, want.ids))
+    words = {w for t in part for w in encoder.words(t)}
+    assert len(encoder._kept) <= max(30, len(words))
+
+
 def test_odd_rows(spark, library):
     want = []
     for row in odd_rows():
