@@ -63,12 +63,26 @@ def _lines(text: bytes) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
+def _count_until(found: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many of ``found`` are before each offset."""
+    sums = np.zeros(len(found) + 1, np.int32)
+    np.cumsum(found, out=sums[1:])
+    return sums[offsets].astype(np.int64)
+
+
+def with_text(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
+    """The batches with ``__text``, the field at ``place`` of the kept row, not copied."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([*b.columns, b.column("__kept_row").field(place)],
+                                         names=[*b.schema.names, "__text"])
+
+
 def figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in texts.parts(batches, "__text"):
         words = texts.words_of(data, offsets)
         hashes = texts.word_hashes(data, words)
         in_words = ~texts.SPACE[data] & ((data & 0xC0) != 0x80)
-        sums = [np.concatenate([[0], np.cumsum(x)])[offsets] for x in (in_words, SYMBOLS[data])]
+        sums = [_count_until(in_words, offsets), _count_until(SYMBOLS[data], offsets)]
         raw = data.tobytes()
         lines = np.array([_lines(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])],
                          np.int64).reshape(-1, 2)
@@ -83,13 +97,19 @@ def figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def measured(documents: DataFrame, keep: list[str] | None = None, text: str = "text",
              host: str = "source") -> DataFrame:
     """``__kept_row`` (the columns ``keep``, all if None), ``__host``, the figures and one flag
-    per rule."""
+    per rule. A text that is kept goes to Python once."""
     texts.workers_find_package(documents.sparkSession)
     keep = documents.columns if keep is None else keep
+    place = keep.index(text) if text in keep else None
     rows = documents.select(
         *([F.struct(*(documents[f"`{c}`"] for c in keep)).alias("__kept_row")] if keep else []),
-        documents[host].alias("__host"), documents[text].alias("__text"))
-    out = rows.mapInArrow(figures, texts.with_fields(
+        documents[host].alias("__host"),
+        *([documents[text].alias("__text")] if place is None else []))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return figures(batches if place is None else with_text(batches, place))
+
+    out = rows.mapInArrow(run, texts.with_fields(
         rows.drop("__text").schema, *((f"__{x}", "bigint") for x in [*FIGURES, "lines"])))
     chars, words = F.col("__word_chars"), F.col("__n_words")
     failed = {

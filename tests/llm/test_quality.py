@@ -27,6 +27,19 @@ def test_figures_equal_definitions(spark):
     assert all(not r["kept"] for r in got if r["base_failed"])
 
 
+def test_a_kept_text_goes_to_python_once(spark, monkeypatch):
+    df = odd_documents(spark)
+    sent = []
+    plain = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow",
+                        lambda d, *a, **k: (sent.append(d.schema.simpleString()), plain(d, *a, **k))[1])
+    rows = quality.measured(df)
+    assert [x.count("text:string") for x in sent] == [1]
+    assert rows_of(rows.select("__kept_row.*", "__n_words", "__lines")) == rows_of(
+        quality.measured(df.withColumn("again", df["text"]), df.columns, "again")
+        .select("__kept_row.*", "__n_words", "__lines"))
+
+
 def test_bad_host_loses_what_fails_and_keeps_clean_documents(spark):
     good = [(i, prose(i, 40), "en", f"h{i % 5}", 0) for i in range(50)]
     junk = " ".join(f"{w}#%*" for w in prose(99, 40).split())
